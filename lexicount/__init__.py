@@ -5,7 +5,7 @@ from native Spark expressions; nothing is collected to the driver and no
 Python UDF runs.
 """
 
-from lexicount.functions import java_split, line_count, text_lines, text_tokens
+from lexicount.functions import java_split, line_count, line_words, text_lines, text_words
 from lexicount.operators import (
     count_by_value,
     get,
@@ -43,6 +43,7 @@ __all__ = [
     "is_cached",
     "java_split",
     "line_count",
+    "line_words",
     "line_counts",
     "lines_from_column",
     "lines_from_literal",
@@ -57,7 +58,7 @@ __all__ = [
     "sum_of_squares",
     "table",
     "text_lines",
-    "text_tokens",
+    "text_words",
     "total",
     "values",
     "word_count",

@@ -6,8 +6,9 @@ from lexicount.functions.text import (
     as_column,
     java_split,
     line_count,
+    line_words,
     text_lines,
-    text_tokens,
+    text_words,
 )
 
 __all__ = [
@@ -17,5 +18,6 @@ __all__ = [
     "java_split",
     "line_count",
     "text_lines",
-    "text_tokens",
+    "line_words",
+    "text_words",
 ]

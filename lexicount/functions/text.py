@@ -16,9 +16,14 @@ from pyspark.sql import functions as F
 #   lines end at "\r\n", "\n" or "\r", like Spark's text reader.
 WORD_SEPARATOR = " "
 LINE_BREAK = r"\r\n|\n|\r"
-LINE_BREAK_CHARS = "\r\n"
 
-_EMPTY = F.array().cast("array<string>")
+# Runs of separators, for the forms that drop empty words anyway.
+LINE_SEPARATORS = " +"
+TEXT_SEPARATORS = r"[ \r\n]+"
+
+
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def as_column(c: str | Column) -> Column:
@@ -37,7 +42,7 @@ def java_split(c: str | Column) -> Column:
     trimmed = F.rtrim(c)
     return (
         F.when(c == "", F.array(F.lit("")))
-        .when(trimmed == "", _EMPTY)
+        .when(trimmed == "", _empty())
         .otherwise(F.split(trimmed, WORD_SEPARATOR))
     )
 
@@ -50,13 +55,16 @@ def text_lines(c: str | Column) -> Column:
     """The lines of a text value, exactly as ``spark.read.text`` would read it.
 
     A final terminator adds no extra line, an empty text has no lines and
-    NULL gives NULL. One split, then the last piece is dropped when the text
-    ends with a terminator.
+    NULL gives NULL. Texts without a final terminator (the common case) are
+    split once; otherwise the last, empty piece is dropped.
     """
     c = as_column(c)
     parts = F.split(c, LINE_BREAK)
-    drop = ((c == "") | _ends_with_break(c)).cast("int")
-    return F.slice(parts, 1, F.size(parts) - drop)
+    return (
+        F.when(c == "", _empty())
+        .when(_ends_with_break(c), F.slice(parts, 1, F.size(parts) - 1))
+        .otherwise(parts)
+    )
 
 
 def line_count(c: str | Column) -> Column:
@@ -68,14 +76,20 @@ def line_count(c: str | Column) -> Column:
     )
 
 
-def text_tokens(c: str | Column) -> Column:
-    """Space-separated pieces of a whole multi-line text, empties included.
+def text_words(c: str | Column) -> Column:
+    """The non-empty words of a whole multi-line text, in order.
 
-    Turning both line-break characters into spaces and splitting once yields
-    the same *non-empty* pieces as splitting into lines and then every line
-    on a space; the empty pieces differ, so callers drop them. One
-    single-character split per text instead of a regex split plus one split
-    per line.
+    Splitting on runs of spaces and line-break characters and dropping the
+    (at most two) empty edge pieces yields exactly the non-empty words of
+    "cut into lines, then every line on a space". One regex split per text
+    instead of a line split plus one split per line; empties are removed
+    before ``explode`` so they never become rows.
     """
     c = as_column(c)
-    return F.split(F.translate(c, LINE_BREAK_CHARS, "  "), WORD_SEPARATOR)
+    return F.array_remove(F.split(c, TEXT_SEPARATORS), "")
+
+
+def line_words(c: str | Column) -> Column:
+    """The non-empty words of one line: pieces between spaces, empties dropped."""
+    c = as_column(c)
+    return F.array_remove(F.split(c, LINE_SEPARATORS), "")

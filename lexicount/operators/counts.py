@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexicount.functions.text import as_column, line_count
 from lexicount.operators.tokens import words
+from lexicount.plans.partitioning import spread
 
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -108,8 +109,5 @@ def line_counts(df: DataFrame, key: str = "doc_id", col: str | Column = "text")
     (NULL or empty) do not appear, as with the exploded form.
     """
     c = as_column(col)
-    return (
-        df.filter(c.isNotNull() & (c != ""))
-        .groupBy(key)
-        .agg(F.sum(line_count(c)).cast("bigint").alias("n_lines"))
-    )
+    texts = spread(df.filter(c.isNotNull() & (c != "")).select(key, c.alias("__text")))
+    return texts.groupBy(key).agg(F.sum(line_count("__text")).cast("bigint").alias("n_lines"))

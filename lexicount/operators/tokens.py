@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexicount.functions.text import as_column, java_split, text_lines, text_tokens
+from lexicount.functions.text import as_column, java_split, line_words, text_lines, text_words
+from lexicount.plans.partitioning import spread
 
 
 def non_empty(df: DataFrame, col: str = "word") -> DataFrame:
@@ -29,15 +30,14 @@ def words(
     whole texts and is first cut into lines with the text-reader rule.
     ``keep_empty=False`` (the default) drops empty words; ``True`` keeps them
     under the Java split rule (see ``java_split``). ``keep`` names columns
-    carried next to every word. Map-only: every row is tokenised in the task
-    that read it.
+    carried next to every word. Map-only apart from ``spread``, which moves a
+    small input onto all cores before it is tokenised.
     """
-    c = as_column(col)
-    if not keep_empty:
-        pieces = text_tokens(c) if multiline else F.split(c, " ")
-        return non_empty(df.select(*keep, F.explode(pieces).alias("word")))
     keep = list(keep)
+    src = spread(df.select(*keep, as_column(col).alias("__text")))
+    if not keep_empty:
+        pieces = text_words("__text") if multiline else line_words("__text")
+        return src.select(*keep, F.explode(pieces).alias("word"))
     if multiline:
-        df = df.select(*keep, F.explode(text_lines(c)).alias("__line"))
-        c = F.col("__line")
-    return df.select(*keep, F.explode(java_split(c)).alias("word"))
+        src = src.select(*keep, F.explode(text_lines("__text")).alias("__text"))
+    return src.select(*keep, F.explode(java_split("__text")).alias("word"))

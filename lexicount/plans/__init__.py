@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame
 
+from lexicount.plans.partitioning import SPREAD_MAX_BYTES_CONF, estimated_bytes, spread
+
 
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
     """``df.explain(mode)`` captured as a string."""
@@ -55,6 +57,9 @@ def read_schemas(df: DataFrame) -> list[str]:
 
 
 __all__ = [
+    "SPREAD_MAX_BYTES_CONF",
+    "estimated_bytes",
+    "spread",
     "explain_text",
     "node_names",
     "optimized_plan",

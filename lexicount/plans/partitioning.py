@@ -1,0 +1,65 @@
+"""Partitioning decisions taken from the plan's own size estimate.
+
+A parquet file written as a single row group is read by a single task, however
+many splits Spark plans for it, and a small text input may likewise fill fewer
+tasks than there are cores. Tokenising is the heavy per-row work, so such an
+input is spread round-robin over all task slots first. The spread is applied
+only when Catalyst's size estimate of the input is at most
+``lexicount.spread.maxBytes`` (default 1 GiB): the extra shuffle then moves a
+bounded amount of data. Larger inputs come as many files and row groups and
+keep the scan's own splits, so raw text is never shuffled at scale.
+
+Round-robin ``repartition`` sorts rows locally first, which makes its output
+the same when a task is retried after an executor loss.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SPREAD_MAX_BYTES_CONF = "lexicount.spread.maxBytes"
+SPREAD_MAX_BYTES_DEFAULT = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job runs), or None if unknown."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+
+
+# Row-wise operators: they keep the number of partitions of their child.
+_NARROW = {"Project", "Filter", "Generate"}
+
+
+def already_spread(df: DataFrame, slots: int) -> bool:
+    """True when ``df`` is a repartition into at least ``slots`` partitions
+    followed only by row-wise operators (so spreading again would be waste)."""
+    try:
+        node = df._jdf.queryExecution().optimizedPlan()
+        while node.nodeName() in _NARROW:
+            node = node.child()
+        if node.nodeName() in ("Repartition", "RepartitionByExpression"):
+            return node.numPartitions() >= slots
+    except Exception:  # noqa: BLE001 - a missed shortcut only costs a shuffle
+        pass
+    return False
+
+
+def spread(df: DataFrame, partitions: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """``df`` spread round-robin over ``partitions`` (default: all task slots)
+    when its estimated size is at most ``max_bytes``; otherwise ``df`` itself."""
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    slots = partitions or spark.sparkContext.defaultParallelism
+    if slots <= 1 or already_spread(df, slots):
+        return df
+    if max_bytes is None:
+        max_bytes = int(spark.conf.get(SPREAD_MAX_BYTES_CONF, str(SPREAD_MAX_BYTES_DEFAULT)))
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
+        return df
+    return df.repartition(slots)

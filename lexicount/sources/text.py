@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from lexicount.functions.text import as_column, text_lines
+from lexicount.plans.partitioning import spread
 
 
 def lines_from_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -28,14 +29,17 @@ def lines_from_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
 
 
 def lines_from_column(
-    df: DataFrame, col: str | Column = "text", keep: Iterable[str | Column] = ()
+    df: DataFrame, col: str | Column = "text", keep: Iterable[str] = ()
 ) -> DataFrame:
     """One row per line of a string column, same rule as ``lines_from_text``.
 
     ``keep`` lists columns carried next to every line (for example a
-    document id). NULL and ``''`` give no rows. Map-only: no shuffle.
+    document id). NULL and ``''`` give no rows. Map-only, apart from
+    ``spread`` for a small input.
     """
-    return df.select(*keep, F.explode(text_lines(as_column(col))).alias("value"))
+    keep = list(keep)
+    src = spread(df.select(*keep, as_column(col).alias("__text")))
+    return src.select(*keep, F.explode(text_lines("__text")).alias("value"))
 
 
 def lines_from_literal(spark: SparkSession, text: str | None) -> DataFrame:

@@ -1,0 +1,36 @@
+"""Named cached datasets."""
+
+import pytest
+
+from lexicount import get, get_or_create, is_cached, release, sum_of_squares
+
+
+def test_get_or_create_builds_once(spark):
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(1, 6)
+
+    name = "numbers_once"
+    first = get_or_create(spark, name, build)
+    second = get_or_create(spark, name, build)
+    assert len(calls) == 1
+    assert first.sameSemantics(second)
+    assert get(spark, name).sameSemantics(first)
+    assert is_cached(spark, name)
+    assert sum_of_squares(second, "id").collect()[0].sum_sq == 55
+    assert release(spark, name)
+    assert get(spark, name) is None
+    assert not release(spark, name)
+
+
+def test_get_missing_is_none(spark):
+    assert get(spark, "no_such_dataset") is None
+
+
+def test_bad_name(spark):
+    with pytest.raises(ValueError):
+        get_or_create(spark, "a b", lambda: spark.range(1))
+    with pytest.raises(ValueError):
+        get_or_create(spark, "not_a_df", lambda: 1)

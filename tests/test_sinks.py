@@ -1,0 +1,28 @@
+"""Text output of (word, count) pairs and the shared folder."""
+
+import os
+
+from lexicount import (
+    fresh_path,
+    lines_from_text,
+    pair_lines,
+    shared_dir,
+    word_count,
+    write_pairs_as_text,
+)
+
+
+def test_pairs_round_trip(spark, wordcount_file, scratch):
+    counts = word_count(lines_from_text(spark, wordcount_file))
+    out = os.path.join(scratch, "pairs")
+    write_pairs_as_text(counts, out)
+    got = sorted(r.value for r in lines_from_text(spark, out).collect())
+    assert got == ["A: 3", "B: 2", "C: 2", "D: 2"]
+    assert sorted(r.value for r in pair_lines(counts).collect()) == got
+
+
+def test_shared_dir_is_session_setting(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured
+    p1, p2 = fresh_path(spark, "x"), fresh_path(spark, "x")
+    assert p1 != p2 and p1.startswith(configured.rstrip("/") + "/")
