@@ -26,3 +26,15 @@ def test_shared_dir_is_session_setting(spark):
     assert shared_dir(spark) == configured
     p1, p2 = fresh_path(spark, "x"), fresh_path(spark, "x")
     assert p1 != p2 and p1.startswith(configured.rstrip("/") + "/")
+
+
+def test_table_schema_remembered(spark, scratch):
+    from lexicount.sources import parquet, refresh
+
+    path = os.path.join(scratch, "t.parquet")
+    spark.range(3).write.parquet(path)
+    assert parquet(spark, path).columns == ["id"]
+    assert parquet(spark, path).count() == 3
+    spark.range(3).selectExpr("id", "id * 2 AS y").write.mode("overwrite").parquet(path)
+    refresh(spark, path)
+    assert parquet(spark, path).columns == ["id", "y"]
