@@ -63,6 +63,12 @@ def q_word_count_raw(spark: SparkSession, d: str) -> DataFrame:
     return word_count(_docs(spark, d), "text", keep_empty=True, multiline=True)
 
 
+def q_string_word_count(spark: SparkSession, d: str) -> DataFrame:
+    # The job-parameter form: each text is one string, split on spaces only
+    # (line breaks stay inside words), empty words counted.
+    return word_count(_docs(spark, d), "text", keep_empty=True)
+
+
 def _edge_line(doc_id):
     # Six bad lines chosen by document, covering every Java split edge.
     k = doc_id % 6
@@ -179,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "line_word_count": q_line_word_count,
     "word_count_raw": q_word_count_raw,
     "word_count_raw_edge": q_word_count_raw_edge,
+    "string_word_count": q_string_word_count,
     "word_count_raw_spaced": q_word_count_raw_spaced,
     "text_file_word_count": q_text_file_word_count,
     "line_counts": q_line_counts,
@@ -247,6 +254,10 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT word, count(*) AS count FROM (SELECT {_java_words('value')} AS word "
         f"FROM ({_EDGE})) GROUP BY word"
     ),
+    "string_word_count": (
+        f"SELECT word, count(*) AS count FROM (SELECT {_java_words('text')} AS word "
+        f"FROM documents) GROUP BY word"
+    ),
     "word_count_raw_spaced": (
         f"SELECT word, count(*) AS count FROM (SELECT {_java_words('value')} AS word "
         f"FROM ({_lines('(' + _SPACED + ')')})) GROUP BY word"
