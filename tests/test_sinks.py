@@ -38,3 +38,29 @@ def test_table_schema_remembered(spark, scratch):
     spark.range(3).selectExpr("id", "id * 2 AS y").write.mode("overwrite").parquet(path)
     refresh(spark, path)
     assert parquet(spark, path).columns == ["id", "y"]
+
+
+def test_shared_dir_required_on_cluster():
+    import pytest
+
+    from lexicount.sinks import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class SC:
+        master = "spark://cluster:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = SC()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
