@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 WORD_SEPARATOR = " "
 LINE_BREAK = r"\r\n|\n|\r"
 
-# Runs of separators, for the forms that drop empty words anyway.
-LINE_SEPARATORS = " +"
-TEXT_SEPARATORS = r"[ \r\n]+"
-
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -51,15 +47,26 @@ def _ends_with_break(c: Column) -> Column:
     return c.endswith("\n") | c.endswith("\r")
 
 
+def unix_breaks(c: str | Column) -> Column:
+    """``c`` with every line break (``\r\n``, ``\r``) written as one ``\n``.
+
+    ``replace`` returns its input unchanged when the search text is absent,
+    so on texts without ``\r`` this costs two byte scans and no copy.
+    """
+    c = as_column(c)
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+
+
 def text_lines(c: str | Column) -> Column:
     """The lines of a text value, exactly as ``spark.read.text`` would read it.
 
     A final terminator adds no extra line, an empty text has no lines and
-    NULL gives NULL. Texts without a final terminator (the common case) are
-    split once; otherwise the last, empty piece is dropped.
+    NULL gives NULL. Breaks are normalised to ``\n`` and split on that one
+    character (the JVM's single-character split path, no regex); when the
+    text ends with a break, the last, empty piece is dropped.
     """
     c = as_column(c)
-    parts = F.split(c, LINE_BREAK)
+    parts = F.split(unix_breaks(c), "\n")
     return (
         F.when(c == "", _empty())
         .when(_ends_with_break(c), F.slice(parts, 1, F.size(parts) - 1))
@@ -69,27 +76,57 @@ def text_lines(c: str | Column) -> Column:
 
 def line_count(c: str | Column) -> Column:
     """Number of lines of a text value (``size(text_lines(c))``) without
-    materialising the lines: terminators are counted, not split out."""
+    materialising the lines: the breaks are counted as removed bytes."""
     c = as_column(c)
-    return F.when(c == "", F.lit(0)).otherwise(
-        F.regexp_count(c, F.lit(LINE_BREAK)) + 1 - _ends_with_break(c).cast("int")
-    )
+    n = unix_breaks(c)
+    breaks = F.octet_length(n) - F.octet_length(F.replace(n, F.lit("\n"), F.lit("")))
+    return F.when(c == "", F.lit(0)).otherwise(breaks + 1 - _ends_with_break(c).cast("int"))
 
 
 def text_words(c: str | Column) -> Column:
     """The non-empty words of a whole multi-line text, in order.
 
-    Splitting on runs of spaces and line-break characters and dropping the
-    (at most two) empty edge pieces yields exactly the non-empty words of
-    "cut into lines, then every line on a space". One regex split per text
-    instead of a line split plus one split per line; empties are removed
-    before ``explode`` so they never become rows.
+    Turning both line-break characters into spaces and splitting on a space
+    yields exactly the non-empty words of "cut into lines, then every line
+    on a space". One single-character split per text instead of a line split
+    plus one split per line; empties are removed before ``explode`` so they
+    never become rows.
     """
     c = as_column(c)
-    return F.array_remove(F.split(c, TEXT_SEPARATORS), "")
+    spaced = F.replace(F.replace(c, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    return F.array_remove(F.split(spaced, WORD_SEPARATOR), "")
 
 
 def line_words(c: str | Column) -> Column:
     """The non-empty words of one line: pieces between spaces, empties dropped."""
     c = as_column(c)
-    return F.array_remove(F.split(c, LINE_SEPARATORS), "")
+    return F.array_remove(F.split(c, WORD_SEPARATOR), "")
+
+
+def _regex_quote(s: str) -> str:
+    """``s`` as a literal Java regex (the ``Pattern.quote`` rule)."""
+    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def _separators(multiline: bool) -> str:
+    return " \r\n" if multiline else " "
+
+
+def can_be_word(word: str, multiline: bool = False) -> bool:
+    """Whether tokenising can ever produce the non-empty word ``word``."""
+    return word != "" and not any(ch in word for ch in _separators(multiline))
+
+
+def word_occurrences(c: str | Column, word: str, multiline: bool = False) -> Column:
+    """How many words of ``c`` equal ``word`` (empty words never match).
+
+    Counted with one regex scan for ``word`` bounded by separators (or the
+    text's ends), so no array of words is built. Separators are the space,
+    plus both line-break characters when ``multiline``. A word that is
+    empty or contains a separator can never be produced: 0.
+    """
+    if not can_be_word(word, multiline):
+        return F.lit(0)
+    cls = _separators(multiline).replace("\r", "\\r").replace("\n", "\\n")
+    pattern = f"(?<![^{cls}]){_regex_quote(word)}(?![^{cls}])"
+    return F.regexp_count(as_column(c), F.lit(pattern))

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicount.functions.text import as_column, line_count
+from lexicount.functions.text import as_column, can_be_word, line_count, word_occurrences
 from lexicount.operators.tokens import words
 from lexicount.plans.partitioning import spread
 
@@ -55,15 +55,21 @@ def word_lookup(
 ) -> DataFrame:
     """One row ``(word, count)``: occurrences of ``word``, 0 when absent.
 
-    The equality filter runs before any aggregation, so only matching words
-    reach the (global, one-row) count; texts that do not even contain the
-    word as a substring are skipped before they are split.
+    Only texts that contain ``word`` as a substring are read past the scan
+    filter (pushed to parquet as ``StringContains``); in those, matching
+    words are counted in place and summed by a global aggregate, so no row
+    per word is ever made. A word that cannot occur (empty, or holding a
+    separator) gives 0 without reading any text.
     """
     word = _check_word(word)
     c = as_column(col)
-    src = df.filter(c.contains(word)) if word else df
-    hits = words(src, c, multiline=multiline).filter(F.col("word") == F.lit(word))
-    return hits.agg(_count()).select(F.lit(word).alias("word"), "count")
+    hits = word_occurrences("__text", word, multiline=multiline)
+    if not can_be_word(word, multiline):
+        src = df.filter(F.lit(False)).select(c.alias("__text"))
+    else:
+        src = spread(df.filter(c.contains(word)).select(c.alias("__text")))
+    total = F.coalesce(F.sum(hits), F.lit(0)).cast("bigint").alias("count")
+    return src.agg(total).select(F.lit(word).alias("word"), "count")
 
 
 def word_lookup_sql(

@@ -54,7 +54,10 @@ def spread(df: DataFrame, partitions: int | None = None, max_bytes: int | None =
     if df.isStreaming:
         return df
     spark = df.sparkSession
-    slots = partitions or spark.sparkContext.defaultParallelism
+    try:
+        slots = partitions or spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no driver-side context (remote session)
+        return df
     if slots <= 1 or already_spread(df, slots):
         return df
     if max_bytes is None:

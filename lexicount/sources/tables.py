@@ -20,7 +20,11 @@ _schemas: dict[tuple[str, str], StructType] = {}
 
 
 def _key(spark: SparkSession, path: str) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session: key by the session object
+        app = f"session-{id(spark)}"
+    return (app, path)
 
 
 def parquet(spark: SparkSession, path: str) -> DataFrame:

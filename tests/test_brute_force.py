@@ -23,7 +23,8 @@ def brute_counts(texts, keep_empty, multiline):
     return dict(c)
 
 
-texts = st.lists(st.one_of(st.none(), st.text(alphabet="ab \r\n\t.", max_size=20)), min_size=1, max_size=30)
+texts = st.lists(st.one_of(st.none(), st.text(alphabet="ab \r\n\t.\\E(", max_size=20)), min_size=1, max_size=30)
+LOOKUP_WORDS = ["a", "b", "ab", "a.", "", "a b", "\t", "a\nb", "\\E", "a\\Eb", "\\Q", "(", "a*", ".", "E"]
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
@@ -34,8 +35,8 @@ def test_word_count_brute_force(spark, batch, keep_empty, multiline):
     assert got == brute_counts(batch, keep_empty, multiline)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(texts, st.sampled_from(["a", "b", "ab", "a.", "", "a b", "\t", "a\nb"]), st.booleans())
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts, st.sampled_from(LOOKUP_WORDS), st.booleans())
 def test_lookup_brute_force(spark, batch, word, multiline):
     df = spark.createDataFrame([(t,) for t in batch], "text string")
     row = word_lookup(df, word, "text", multiline=multiline).collect()

@@ -33,13 +33,21 @@ def test_word_count_partial_then_final(spark):
     assert read_schemas(df) == ["struct<text:string>"]
 
 
-def test_lookup_filters_below_aggregate_and_prunes(spark):
+def test_lookup_counts_in_place_and_prunes(spark):
     df = QUERIES["word_lookup"](spark, SF_ORACLE)
-    plan = physical_plan(df)
-    agg_at = plan.index("HashAggregate")
-    assert plan.index("Filter (word") > agg_at  # printed below = runs before
-    assert "Sort" not in node_names(df)
+    names = node_names(df)
+    assert "Generate" not in names and "Sort" not in names  # no row per word, no sort
+    assert names.count("HashAggregate") == 2  # partial + final global sum
     assert any("StringContains(text,the)" in f for f in pushed_filters(df))
+    assert read_schemas(df) == ["struct<text:string>"]
+
+
+def test_impossible_lookup_reads_nothing(spark):
+    from lexicount import word_lookup
+
+    df = word_lookup(table(spark, SF_ORACLE, "documents"), "a b", "text", multiline=True)
+    assert "FileScan" not in physical_plan(df)
+    assert [(r.word, r["count"]) for r in df.collect()] == [("a b", 0)]
 
 
 def test_lookup_sql_filter_pushed_below_view_aggregate(spark):
