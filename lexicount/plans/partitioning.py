@@ -9,7 +9,9 @@ only when Catalyst's size estimate of the input is at most
 bounded amount of data. Larger inputs come as many files and row groups and
 keep the scan's own splits, so raw text is never shuffled at scale.
 
-Round-robin ``repartition`` sorts rows locally first, which makes its output
+A text, CSV or JSON-lines input whose scan is already planned into at least
+half as many byte-range splits as there are slots is left alone: those splits all hold
+rows. Round-robin ``repartition`` sorts rows locally first, which makes its output
 the same when a task is retried after an executor loss.
 """
 
@@ -32,17 +34,29 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 # Row-wise operators: they keep the number of partitions of their child.
 _NARROW = {"Project", "Filter", "Generate"}
+# File formats split by byte ranges: every planned split holds rows. (Parquet
+# and ORC splits follow row groups and stripes, so a split may hold none.)
+_BYTE_SPLIT_FORMATS = {"TextFileFormat", "CSVFileFormat", "JsonFileFormat"}
 
 
 def already_spread(df: DataFrame, slots: int) -> bool:
-    """True when ``df`` is a repartition into at least ``slots`` partitions
-    followed only by row-wise operators (so spreading again would be waste)."""
+    """True when ``df`` already fills at least half of ``slots`` partitions
+    with rows: it is a repartition into that many, or a scan of a byte-split
+    format planned into that many splits, followed only by row-wise
+    operators. Past half the slots, another pass over all the raw rows costs
+    more than the idle slots do."""
+    enough = max(2, (slots + 1) // 2)
     try:
         node = df._jdf.queryExecution().optimizedPlan()
         while node.nodeName() in _NARROW:
             node = node.child()
-        if node.nodeName() in ("Repartition", "RepartitionByExpression"):
-            return node.numPartitions() >= slots
+        name = node.nodeName()
+        if name in ("Repartition", "RepartitionByExpression"):
+            return node.numPartitions() >= enough
+        if name == "LogicalRelation":
+            fmt = node.relation().fileFormat().getClass().getSimpleName()
+            if fmt in _BYTE_SPLIT_FORMATS:
+                return df.rdd.getNumPartitions() >= enough
     except Exception:  # noqa: BLE001 - a missed shortcut only costs a shuffle
         pass
     return False

@@ -94,3 +94,16 @@ def test_word_count_large_input_not_shuffled_raw(spark):
         spark.conf.unset("lexicount.spread.maxBytes")
     assert "RoundRobinPartitioning" not in plan
     assert plan.count("Exchange") == 1
+
+
+def test_split_text_input_not_spread_again(spark, scratch):
+    import os
+
+    from lexicount import lines_from_text
+
+    path = os.path.join(scratch, "t")
+    table(spark, SF_ORACLE, "documents").select("text").repartition(8).write.text(path)
+    lines = lines_from_text(spark, path)
+    assert lines.rdd.getNumPartitions() >= 8
+    assert "RoundRobinPartitioning" not in physical_plan(spread(lines, partitions=8))
+    assert "RoundRobinPartitioning(64)" in physical_plan(spread(lines, partitions=64))
