@@ -48,7 +48,7 @@ def _ends_with_break(c: Column) -> Column:
 
 
 def unix_breaks(c: str | Column) -> Column:
-    """``c`` with every line break (``\r\n``, ``\r``) written as one ``\n``.
+    r"""``c`` with every line break (``\r\n``, ``\r``) written as one ``\n``.
 
     ``replace`` returns its input unchanged when the search text is absent,
     so on texts without ``\r`` this costs two byte scans and no copy.
@@ -58,7 +58,7 @@ def unix_breaks(c: str | Column) -> Column:
 
 
 def text_lines(c: str | Column) -> Column:
-    """The lines of a text value, exactly as ``spark.read.text`` would read it.
+    r"""The lines of a text value, exactly as ``spark.read.text`` would read it.
 
     A final terminator adds no extra line, an empty text has no lines and
     NULL gives NULL. Breaks are normalised to ``\n`` and split on that one

@@ -10,9 +10,9 @@ bounded amount of data. Larger inputs come as many files and row groups and
 keep the scan's own splits, so raw text is never shuffled at scale.
 
 A text, CSV or JSON-lines input whose scan is already planned into at least
-half as many byte-range splits as there are slots is left alone: those splits all hold
-rows. Round-robin ``repartition`` sorts rows locally first, which makes its output
-the same when a task is retried after an executor loss.
+half as many byte-range splits as there are slots is left alone: those splits
+all hold rows. Round-robin ``repartition`` sorts rows locally first, which
+makes its output the same when a task is retried after an executor loss.
 """
 
 from __future__ import annotations
@@ -72,11 +72,11 @@ def spread(df: DataFrame, partitions: int | None = None, max_bytes: int | None =
         slots = partitions or spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no driver-side context (remote session)
         return df
-    if slots <= 1 or already_spread(df, slots):
+    if slots <= 1:
         return df
     if max_bytes is None:
         max_bytes = int(spark.conf.get(SPREAD_MAX_BYTES_CONF, str(SPREAD_MAX_BYTES_DEFAULT)))
     size = estimated_bytes(df)
-    if size is None or size > max_bytes:
+    if size is None or size > max_bytes or already_spread(df, slots):
         return df
     return df.repartition(slots)
