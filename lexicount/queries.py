@@ -217,8 +217,18 @@ def _java_words(v: str) -> str:
     )
 
 
+def _line_array(t: str) -> str:
+    # Text-reader rule: no lines for '', no extra line after a final break.
+    parts = f"regexp_split_to_array({t},{_BREAK})"
+    return (
+        f"CASE WHEN {t}='' THEN []::VARCHAR[] "
+        f"WHEN ends_with({t},chr(10)) OR ends_with({t},chr(13)) "
+        f"THEN list_slice({parts},1,len({parts})-1) ELSE {parts} END"
+    )
+
+
 def _lines(src: str = "documents", text: str = "text") -> str:
-    return f"SELECT unnest(regexp_split_to_array({text},{_BREAK})) AS value FROM {src}"
+    return f"SELECT unnest({_line_array(text)}) AS value FROM {src}"
 
 
 def _words(src: str = "documents", text: str = "text") -> str:
@@ -265,7 +275,7 @@ ORACLE_SQL: dict[str, str] = {
     "text_file_word_count": _WORD_COUNT,
     "line_counts": (
         f"SELECT doc_id, count(*) AS n_lines FROM (SELECT doc_id, "
-        f"unnest(regexp_split_to_array(text,{_BREAK})) AS value FROM documents) GROUP BY doc_id"
+        f"unnest({_line_array('text')}) AS value FROM documents) GROUP BY doc_id"
     ),
     "word_lookup": _lookup(LOOKUP_WORD),
     "word_lookup_missing": _lookup(LOOKUP_MISSING_WORD),

@@ -34,3 +34,18 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.schema.simpleString() == "struct<word:string,count:bigint>"
     assert df.count() > 0
+
+
+def test_oracle_line_rule_matches_spark_on_edges(spark):
+    import duckdb
+
+    from lexicount import text_lines
+    from lexicount.queries import _line_array
+    from test_text_rules import EDGE_FILES
+
+    con = duckdb.connect()
+    df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(EDGE_FILES)], "i int, t string")
+    got = {r.i: r.lines for r in df.select("i", text_lines("t").alias("lines")).collect()}
+    for i, (c, want) in enumerate(EDGE_FILES):
+        duck = con.execute(f"SELECT {_line_array('t')} FROM (SELECT ? AS t)", [c]).fetchone()[0]
+        assert got[i] == duck == want
