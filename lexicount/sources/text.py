@@ -24,7 +24,9 @@ def lines_from_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     ``spark.sql.files.maxPartitionBytes``, so a large file is read by many
     tasks.
     """
-    paths = [path] if isinstance(path, str) else list(path)
+    paths = [path] if isinstance(path, str) else list(path or ())
+    if not paths or not all(isinstance(p, str) and p for p in paths):
+        raise ValueError(f"a text file path is required, got {path!r}")
     return spark.read.text(paths)
 
 

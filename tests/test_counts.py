@@ -96,6 +96,12 @@ def test_literal_required(spark):
         lines_from_literal(spark, None)
 
 
+@pytest.mark.parametrize("path", [None, "", [], [None]])
+def test_text_path_required(spark, path):
+    with pytest.raises(ValueError):
+        lines_from_text(spark, path)
+
+
 def test_multiline_matches_lines_first(spark):
     texts = [("x  y\n\nz \r\n w",), ("",), (None,), ("a\rb c\n",)]
     df = spark.createDataFrame(texts, "text string")
