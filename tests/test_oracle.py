@@ -8,6 +8,7 @@ import __spark_entry__ as entry_mod
 from tools.oracle_check import duck, rows_of
 
 NAMES = sorted(entry_mod.queries())
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 
 
 def test_every_query_has_oracle():
@@ -24,6 +25,8 @@ def test_query_matches_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SF_ORACLE)
     rel = con.sql(entry_mod.oracle_sql()[name])
     assert df.columns == rel.columns
+    spark_types = [SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields]
+    assert spark_types == [str(t) for t in rel.types]
     s_rows = [tuple(r) for r in df.collect()]
     d_rows = rel.fetchall()
     assert len(s_rows) == len(d_rows)
