@@ -7,6 +7,8 @@ streaming.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,25 @@ WORD_SEPARATOR = " "
 LINE_BREAK = r"\r\n|\n|\r"
 
 
+def _by_name(fn):
+    """Build the expression once per column name (and options).
+
+    A Column is an unresolved expression, not tied to a session or plan, so
+    one built for a name is valid for every DataFrame. Building it costs one
+    JVM round trip per function call, which adds up on the driver when plans
+    are built repeatedly; Column arguments are built fresh each time.
+    """
+    cached = functools.lru_cache(maxsize=256)(fn)
+
+    @functools.wraps(fn)
+    def wrapper(c, *args, **kwargs):
+        if isinstance(c, str):
+            return cached(c, *args, **kwargs)
+        return fn(c, *args, **kwargs)
+
+    return wrapper
+
+
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
@@ -26,6 +47,7 @@ def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@_by_name
 def java_split(c: str | Column) -> Column:
     """Split one line on a single space with java.util.regex.Pattern.split rules.
 
@@ -47,6 +69,7 @@ def _ends_with_break(c: Column) -> Column:
     return c.endswith("\n") | c.endswith("\r")
 
 
+@_by_name
 def unix_breaks(c: str | Column) -> Column:
     r"""``c`` with every line break (``\r\n``, ``\r``) written as one ``\n``.
 
@@ -57,6 +80,7 @@ def unix_breaks(c: str | Column) -> Column:
     return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
+@_by_name
 def text_lines(c: str | Column) -> Column:
     r"""The lines of a text value, exactly as ``spark.read.text`` would read it.
 
@@ -74,6 +98,7 @@ def text_lines(c: str | Column) -> Column:
     )
 
 
+@_by_name
 def line_count(c: str | Column) -> Column:
     """Number of lines of a text value (``size(text_lines(c))``) without
     materialising the lines: the breaks are counted as removed bytes."""
@@ -83,6 +108,7 @@ def line_count(c: str | Column) -> Column:
     return F.when(c == "", F.lit(0)).otherwise(breaks + 1 - _ends_with_break(c).cast("int"))
 
 
+@_by_name
 def text_words(c: str | Column) -> Column:
     """The non-empty words of a whole multi-line text, in order.
 
@@ -97,6 +123,7 @@ def text_words(c: str | Column) -> Column:
     return F.array_remove(F.split(spaced, WORD_SEPARATOR), "")
 
 
+@_by_name
 def line_words(c: str | Column) -> Column:
     """The non-empty words of one line: pieces between spaces, empties dropped."""
     c = as_column(c)
@@ -117,6 +144,7 @@ def can_be_word(word: str, multiline: bool = False) -> bool:
     return word != "" and not any(ch in word for ch in _separators(multiline))
 
 
+@_by_name
 def word_occurrences(c: str | Column, word: str, multiline: bool = False) -> Column:
     """How many words of ``c`` equal ``word`` (empty words never match).
 
