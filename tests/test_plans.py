@@ -107,3 +107,25 @@ def test_split_text_input_not_spread_again(spark, scratch):
     assert lines.rdd.getNumPartitions() >= 8
     assert "RoundRobinPartitioning" not in physical_plan(spread(lines, partitions=8))
     assert "RoundRobinPartitioning(64)" in physical_plan(spread(lines, partitions=64))
+
+
+def test_large_input_path_uses_scan_splits(spark, scratch):
+    """At scale the input comes as many files/row groups: no spread, same answer."""
+    import os
+
+    from lexicount.sources import parquet
+
+    path = os.path.join(scratch, "docs.parquet")
+    table(spark, SF_ORACLE, "documents").repartition(8).write.parquet(path)
+    many = parquet(spark, path)
+    small = word_count(table(spark, SF_ORACLE, "documents"), "text", multiline=True)
+    spark.conf.set("lexicount.spread.maxBytes", "0")
+    try:
+        big = word_count(many, "text", multiline=True)
+        plan = physical_plan(big)
+        got = {r.word: r["count"] for r in big.collect()}
+    finally:
+        spark.conf.unset("lexicount.spread.maxBytes")
+    assert "RoundRobinPartitioning" not in plan and plan.count("Exchange") == 1
+    assert many.rdd.getNumPartitions() >= 4
+    assert got == {r.word: r["count"] for r in small.collect()}
