@@ -32,7 +32,7 @@ def scale(df: DataFrame, col: str | Column, k: int | float, out: str = "scaled")
 
 def total(df: DataFrame, col: str | Column, k: int | float = 1, out: str = "total") -> DataFrame:
     """One row: exact ``sum(k * col)`` (B14); NULL over no rows, as in SQL."""
-    expr = as_column(col).cast("bigint") if k == 1 and isinstance(k, int) else _scaled(col, k)
+    expr = as_column(col).cast("bigint") if type(k) is int and k == 1 else _scaled(col, k)
     return df.agg(F.sum(expr).alias(out))
 
 

@@ -40,6 +40,15 @@ def test_overflow_widened(spark):
     assert sum_of_squares(df, "x").collect()[0].sum_sq == (2**31 - 1) ** 2
 
 
+def test_bad_factor(spark):
+    df = values(spark, [1], "int")
+    for k in (True, "2", None):
+        with pytest.raises(ValueError):
+            total(df, "x", k=k)
+        with pytest.raises(ValueError):
+            scale(df, "x", k)
+
+
 def test_float_factor(spark):
     df = scale(values(spark, [1, 3], "int"), "x", 0.5, out="y")
     assert [r.y for r in df.orderBy("x").collect()] == [0.5, 1.5]
