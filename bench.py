@@ -15,7 +15,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -36,10 +35,8 @@ def session(cpus: int):
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        builder = builder.config(
-            "spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexicount-bench-ckpt-")
-        )
+    # spark.checkpoint.dir comes from the session's configuration when set;
+    # on a local master without it, sinks.shared_dir makes a private folder.
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -74,7 +71,7 @@ def main() -> None:
         statistics.median(run_once(spark, word_count_single_partition, data_dir) for _ in range(runs)), 4
     )
 
-    m = re.search(r"sf([0-9.]+)", data_dir)
+    m = re.search(r"sf(\d+(?:\.\d+)?)(?![\d.])", os.path.basename(data_dir.rstrip("/")))
     print(
         json.dumps(
             {

@@ -7,24 +7,14 @@ one row per occurrence. Nothing is collected to the driver.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexicount._checks import identifier, string
 from lexicount.functions.text import as_column, can_be_word, line_count, word_occurrences
 from lexicount.operators.tokens import words
 from lexicount.plans.partitioning import spread
 
-_IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
-
-
-def _check_word(word: object) -> str:
-    if not isinstance(word, str):
-        raise ValueError(f"word must be a str, got {type(word).__name__}")
-    return word
-
-
 def _count() -> Column:
     return F.count(F.lit(1)).alias("count")
 
@@ -61,7 +51,7 @@ def word_lookup(
     per word is ever made. A word that cannot occur (empty, or holding a
     separator) gives 0 without reading any text.
     """
-    word = _check_word(word)
+    word = string(word, "word")
     c = as_column(col)
     hits = word_occurrences("__text", word, multiline=multiline)
     if not can_be_word(word, multiline):
@@ -81,9 +71,8 @@ def word_lookup_sql(
     so quotes, backslashes or SQL fragments in it are plain data. Catalyst
     pushes ``word = :w`` below the view's aggregate.
     """
-    word = _check_word(word)
-    if not _IDENT.fullmatch(view):
-        raise ValueError(f"view name must be an identifier, got {view!r}")
+    word = string(word, "word")
+    view = identifier(view, "view name")
     counts.createOrReplaceTempView(view)
     return spark.sql(
         f"SELECT CAST(:w AS STRING) AS word, coalesce(max(`count`), 0L) AS `count` "

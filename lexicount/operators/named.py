@@ -9,25 +9,28 @@ answer. Not atomic across threads sharing one session: two concurrent
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+from lexicount._checks import identifier
 
 
 def _check_name(name: object) -> str:
-    if not isinstance(name, str) or not _IDENT.fullmatch(name):
-        raise ValueError(f"dataset name must be an identifier, got {name!r}")
-    return name
+    return identifier(name, "dataset name")
+
+
+def _registered(spark: SparkSession, name: str) -> bool:
+    # Only session temp views are datasets here; a permanent table of the
+    # same name is neither returned nor dropped.
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
 
 
 def get(spark: SparkSession, name: str) -> DataFrame | None:
     """The dataset registered as ``name``, or None."""
     name = _check_name(name)
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+    return spark.table(name) if _registered(spark, name) else None
 
 
 def get_or_create(
@@ -54,13 +57,13 @@ def get_or_create(
 
 def is_cached(spark: SparkSession, name: str) -> bool:
     name = _check_name(name)
-    return spark.catalog.tableExists(name) and spark.catalog.isCached(name)
+    return _registered(spark, name) and spark.catalog.isCached(name)
 
 
 def release(spark: SparkSession, name: str) -> bool:
     """Uncache and unregister ``name``; False if it was not registered."""
     name = _check_name(name)
-    if not spark.catalog.tableExists(name):
+    if not _registered(spark, name):
         return False
     spark.catalog.uncacheTable(name)
     spark.catalog.dropTempView(name)

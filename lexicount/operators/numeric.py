@@ -9,20 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexicount._checks import factor, string
 from lexicount.functions.text import as_column
 
 
 def _factor(k: int | float) -> Column:
-    if isinstance(k, bool) or not isinstance(k, (int, float)):
-        raise ValueError(f"factor must be a number, got {k!r}")
+    k = factor(k)
     return F.lit(k).cast("bigint") if isinstance(k, int) else F.lit(float(k))
 
 
 def _scaled(col: str | Column, k: int | float) -> Column:
+    k = factor(k)
     c = as_column(col)
-    if isinstance(k, int) and not isinstance(k, bool):
-        return c.cast("bigint") * _factor(k)
-    return c.cast("double") * _factor(k)
+    return c.cast("bigint" if isinstance(k, int) else "double") * _factor(k)
 
 
 def scale(df: DataFrame, col: str | Column, k: int | float, out: str = "scaled") -> DataFrame:
@@ -32,7 +31,8 @@ def scale(df: DataFrame, col: str | Column, k: int | float, out: str = "scaled")
 
 def total(df: DataFrame, col: str | Column, k: int | float = 1, out: str = "total") -> DataFrame:
     """One row: exact ``sum(k * col)`` (B14); NULL over no rows, as in SQL."""
-    expr = as_column(col).cast("bigint") if type(k) is int and k == 1 else _scaled(col, k)
+    k = factor(k)
+    expr = as_column(col).cast("bigint") if isinstance(k, int) and k == 1 else _scaled(col, k)
     return df.agg(F.sum(expr).alias(out))
 
 
@@ -55,7 +55,7 @@ def hit_ratio(df: DataFrame, predicate: Column, k: float = 1.0) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
     )
     return counted.select(
-        "hit", "total", F.try_divide(_factor(float(k)) * F.col("hit"), F.col("total")).alias("ratio")
+        "hit", "total", F.try_divide(F.lit(float(factor(k))) * F.col("hit"), F.col("total")).alias("ratio")
     )
 
 
@@ -64,6 +64,5 @@ def prefix_filter(df: DataFrame, col: str | Column, prefix: str) -> DataFrame:
 
     ``startswith`` reaches the parquet reader as a pushed ``StringStartsWith``.
     """
-    if not isinstance(prefix, str):
-        raise ValueError(f"prefix must be a str, got {type(prefix).__name__}")
+    prefix = string(prefix, "prefix")
     return df.filter(as_column(col).startswith(prefix))

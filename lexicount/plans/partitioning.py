@@ -51,7 +51,8 @@ def already_spread(df: DataFrame, slots: int) -> bool:
         while node.nodeName() in _NARROW:
             node = node.child()
         name = node.nodeName()
-        if name in ("Repartition", "RepartitionByExpression"):
+        if name == "RepartitionByExpression" or (name == "Repartition" and node.shuffle()):
+            # (a Repartition without shuffle is a coalesce: it only merges)
             return node.numPartitions() >= enough
         if name == "LogicalRelation":
             fmt = node.relation().fileFormat().getClass().getSimpleName()

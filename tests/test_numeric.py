@@ -47,6 +47,8 @@ def test_bad_factor(spark):
             total(df, "x", k=k)
         with pytest.raises(ValueError):
             scale(df, "x", k)
+        with pytest.raises(ValueError):
+            hit_ratio(df, F.col("x") > 0, k=k)
 
 
 def test_float_factor(spark):

@@ -129,3 +129,8 @@ def test_large_input_path_uses_scan_splits(spark, scratch):
     assert "RoundRobinPartitioning" not in plan and plan.count("Exchange") == 1
     assert many.rdd.getNumPartitions() >= 4
     assert got == {r.word: r["count"] for r in small.collect()}
+
+
+def test_coalesce_is_not_a_spread(spark):
+    one = spark.range(0, 1000, 1, 1).coalesce(8)
+    assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8))

@@ -64,3 +64,13 @@ def test_shared_dir_required_on_cluster():
 
     with pytest.raises(RuntimeError):
         shared_dir(Session())
+
+
+def test_text_copy_written_once_per_folder(spark):
+    from conftest import SF_SMALL
+    from lexicount.queries import _text_copy, q_text_file_word_count
+
+    first = _text_copy(spark, SF_SMALL)
+    assert _text_copy(spark, SF_SMALL + "/") == first
+    assert first.startswith(shared_dir(spark).rstrip("/") + "/")
+    assert q_text_file_word_count(spark, SF_SMALL).count() > 1000
