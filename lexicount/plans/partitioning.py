@@ -9,9 +9,9 @@ only when Catalyst's size estimate of the input is at most
 bounded amount of data. Larger inputs come as many files and row groups and
 keep the scan's own splits, so raw text is never shuffled at scale.
 
-A text, CSV or JSON-lines input whose scan is already planned into at least
-half as many byte-range splits as there are slots is left alone: those splits
-all hold rows. Round-robin ``repartition`` sorts rows locally first, which
+An input whose scan already fills at least half the slots with rows (text,
+CSV or JSON-lines byte splits; parquet or ORC as many files and splits) is
+left alone. Round-robin ``repartition`` sorts rows locally first, which
 makes its output the same when a task is retried after an executor loss.
 """
 
@@ -34,17 +34,21 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 # Row-wise operators: they keep the number of partitions of their child.
 _NARROW = {"Project", "Filter", "Generate"}
-# File formats split by byte ranges: every planned split holds rows. (Parquet
-# and ORC splits follow row groups and stripes, so a split may hold none.)
+# File formats split by byte ranges: every planned split holds rows.
 _BYTE_SPLIT_FORMATS = {"TextFileFormat", "CSVFileFormat", "JsonFileFormat"}
 
 
 def already_spread(df: DataFrame, slots: int) -> bool:
     """True when ``df`` already fills at least half of ``slots`` partitions
-    with rows: it is a repartition into that many, or a scan of a byte-split
-    format planned into that many splits, followed only by row-wise
-    operators. Past half the slots, another pass over all the raw rows costs
-    more than the idle slots do."""
+    with rows, followed only by row-wise operators: it is a shuffle into that
+    many partitions, or a file scan that many of whose splits hold rows.
+
+    For text, CSV and JSON lines every planned split holds rows. For parquet
+    and ORC a split holds rows only if a row group (stripe) starts in it, so
+    the count is bounded by ``min(files, splits)``: every file holds at least
+    one row group. Past half the slots, another pass over all the raw rows
+    costs more than the idle slots do.
+    """
     enough = max(2, (slots + 1) // 2)
     try:
         node = df._jdf.queryExecution().optimizedPlan()
@@ -56,8 +60,10 @@ def already_spread(df: DataFrame, slots: int) -> bool:
             return node.numPartitions() >= enough
         if name == "LogicalRelation":
             fmt = node.relation().fileFormat().getClass().getSimpleName()
+            splits = df.rdd.getNumPartitions()
             if fmt in _BYTE_SPLIT_FORMATS:
-                return df.rdd.getNumPartitions() >= enough
+                return splits >= enough
+            return min(len(df.inputFiles()), splits) >= enough
     except Exception:  # noqa: BLE001 - a missed shortcut only costs a shuffle
         pass
     return False

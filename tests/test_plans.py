@@ -134,3 +134,24 @@ def test_large_input_path_uses_scan_splits(spark, scratch):
 def test_coalesce_is_not_a_spread(spark):
     one = spark.range(0, 1000, 1, 1).coalesce(8)
     assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8))
+
+
+def test_parquet_spread_counts_files_not_splits(spark, scratch):
+    """One file with one row group is spread however many splits it plans;
+    many files that fill the slots are not."""
+    import os
+
+    from lexicount.sources import parquet
+
+    path = os.path.join(scratch, "many.parquet")
+    table(spark, SF_ORACLE, "documents").select("text").repartition(8).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        one = table(spark, SF_ORACLE, "documents").select("text")
+        assert one.rdd.getNumPartitions() >= 8  # many planned splits, one row group
+        assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8))
+        many = parquet(spark, path)
+        assert len(many.inputFiles()) == 8
+        assert "RoundRobinPartitioning" not in physical_plan(spread(many, partitions=8))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
