@@ -25,7 +25,7 @@ from lexicount.operators import (
     word_lookup_sql,
     words,
 )
-from lexicount.sinks import fresh_path, pair_lines, shared_dir, write_pairs_as_text
+from lexicount.sinks import fresh_path, pair_lines, shared_dir, to_dict, write_pairs_as_text
 from lexicount.sources import (
     lines_from_column,
     lines_from_literal,
@@ -59,6 +59,7 @@ __all__ = [
     "table",
     "text_lines",
     "text_words",
+    "to_dict",
     "total",
     "values",
     "word_count",

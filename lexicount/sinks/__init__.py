@@ -1,4 +1,4 @@
-"""Sinks: ``word: n`` text lines and the shared folder for written tables."""
+"""Sinks: ``word: n`` text lines, bounded driver maps and the shared folder."""
 
 from __future__ import annotations
 
@@ -24,6 +24,22 @@ def write_pairs_as_text(counts: DataFrame, path: str, mode: str = "errorifexists
     pair_lines(counts).write.mode(mode).text(path)
 
 
+def to_dict(counts: DataFrame, max_rows: int = 10_000, key: str = "word", value: str = "count") -> dict:
+    """A small result as a ``{key: value}`` dict on the driver (the reference's
+    result map), refusing anything larger than ``max_rows``.
+
+    Only ``max_rows + 1`` rows are ever fetched, so an unexpectedly large
+    result fails fast instead of filling driver memory. For large results keep
+    the DataFrame, or rank first: ``to_dict(rank_by_count(counts, n))``.
+    """
+    if isinstance(max_rows, bool) or not isinstance(max_rows, int) or max_rows < 0:
+        raise ValueError(f"max_rows must be a non-negative int, got {max_rows!r}")
+    rows = counts.select(key, value).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; keep it as a DataFrame")
+    return {r[0]: r[1] for r in rows}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
@@ -54,4 +70,4 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-__all__ = ["fresh_path", "pair_lines", "shared_dir", "write_pairs_as_text"]
+__all__ = ["fresh_path", "pair_lines", "shared_dir", "to_dict", "write_pairs_as_text"]

@@ -74,3 +74,17 @@ def test_text_copy_written_once_per_folder(spark):
     assert _text_copy(spark, SF_SMALL + "/") == first
     assert first.startswith(shared_dir(spark).rstrip("/") + "/")
     assert q_text_file_word_count(spark, SF_SMALL).count() > 1000
+
+
+def test_to_dict_bounded(spark, wordcount_file):
+    import pytest
+
+    from lexicount import rank_by_count, to_dict
+
+    counts = word_count(lines_from_text(spark, wordcount_file))
+    assert to_dict(counts) == {"A": 3, "B": 2, "C": 2, "D": 2}
+    assert to_dict(rank_by_count(counts, 1), max_rows=1) == {"A": 3}
+    with pytest.raises(ValueError):
+        to_dict(counts, max_rows=3)
+    with pytest.raises(ValueError):
+        to_dict(counts, max_rows=-1)
