@@ -1,8 +1,8 @@
 """lexicount: word counting and simple column statistics as lazy Spark plans.
 
 Every public function takes and returns DataFrames (or Columns) built only
-from native Spark expressions; nothing is collected to the driver and no
-Python UDF runs.
+from native Spark expressions, and no Python UDF runs. Nothing is collected
+to the driver except by ``to_dict``, which refuses results over a row bound.
 """
 
 from lexicount.functions import java_split, line_count, line_words, text_lines, text_words
