@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexicount.functions.text import text_words
 from lexicount.operators import (
     count_by_value,
     get_or_create,
@@ -28,21 +29,24 @@ from lexicount.operators import (
     word_lookup,
     word_lookup_sql,
 )
-from lexicount.functions.text import text_words
 from lexicount.sinks import fresh_path, pair_lines
 from lexicount.sources import lines_from_column, lines_from_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed values from the reference's jobs: the name prefix "ho" and the
+# ratio factor 4.0 (hits inside the disc times 4 over all darts).
+PREFIX = "ho"
+HIT_FACTOR = 4.0
+
+# Our parameters: the top-n size, the looked-up words and the disc. The dart
+# predicate is re-aimed at table rows: the first two vector components are
+# the point and the disc has radius^2 0.02 around the origin.
 TOP_N = 50
 LOOKUP_WORD = "the"
 LOOKUP_MISSING_WORD = "zzzz"
 LOOKUP_SQL_WORD = "of"
-PREFIX = "ho"
-# Dart predicate re-aimed at table rows: the first two vector components are
-# the point, the disc has radius^2 0.02 around the origin, the factor is 4.
 HIT_RADIUS_SQ = 0.02
-HIT_FACTOR = 4.0
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
