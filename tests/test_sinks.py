@@ -21,6 +21,13 @@ def test_pairs_round_trip(spark, wordcount_file, scratch):
     assert sorted(r.value for r in pair_lines(counts).collect()) == got
 
 
+def test_pair_lines_with_empty_word(spark):
+    from lexicount import lines_from_literal
+
+    counts = word_count(lines_from_literal(spark, "a  b a"), keep_empty=True)
+    assert sorted(r.value for r in pair_lines(counts).collect()) == [": 1", "a: 2", "b: 1"]
+
+
 def test_shared_dir_is_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured
