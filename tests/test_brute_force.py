@@ -1,6 +1,5 @@
 """Word count and lookup against a plain-Python brute force on random texts."""
 
-import re
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings

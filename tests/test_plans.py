@@ -1,7 +1,6 @@
 """Plan checks: the plans Catalyst picks for the registered queries."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
 from lexicount import table, word_count
