@@ -70,3 +70,16 @@ def test_spread_does_not_change_results(spark):
     finally:
         spark.conf.unset("lexicount.spread.maxBytes")
     assert spread_on == spread_off and len(spread_on) > 1000
+
+
+def test_lookup_agrees_with_word_count_on_real_text(spark):
+    from conftest import SF_SMALL
+    from lexicount import rank_by_count, table
+
+    docs = table(spark, SF_SMALL, "documents")
+    counts = word_count(docs, "text", multiline=True)
+    top = [(r.word, r["count"]) for r in rank_by_count(counts, 30).collect()]
+    rare = [(r.word, r["count"]) for r in counts.filter("count = 1").orderBy("word").limit(5).collect()]
+    for w, n in top + rare:
+        got = word_lookup(docs, w, "text", multiline=True).collect()[0]["count"]
+        assert got == n, w
