@@ -58,18 +58,32 @@ def main() -> None:
     from lexicount.queries import QUERIES, word_count_single_partition
 
     names = only or list(QUERIES)
+    errors: dict[str, str] = {}
+
+    def attempt(name, build) -> float | None:
+        try:
+            return run_once(spark, build, data_dir)
+        except Exception as e:  # noqa: BLE001 - report the query, keep the others
+            errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200] if str(e) else ''}"
+            return None
+
     for name in names:  # warm-up pass: JIT, file listing, caches
-        run_once(spark, QUERIES[name], data_dir)
-    run_once(spark, word_count_single_partition, data_dir)
+        attempt(name, QUERIES[name])
+    attempt("reference_shape", word_count_single_partition)
 
     medians: dict[str, float] = {}
     for name in names:
-        build = QUERIES[name]
-        medians[name] = round(statistics.median(run_once(spark, build, data_dir) for _ in range(runs)), 4)
-
-    ref_shape = round(
-        statistics.median(run_once(spark, word_count_single_partition, data_dir) for _ in range(runs)), 4
-    )
+        if name in errors:
+            continue
+        ts = [attempt(name, QUERIES[name]) for _ in range(runs)]
+        if name not in errors:
+            medians[name] = round(statistics.median(ts), 4)
+
+    ref_shape = None
+    if "reference_shape" not in errors:
+        ts = [attempt("reference_shape", word_count_single_partition) for _ in range(runs)]
+        if "reference_shape" not in errors:
+            ref_shape = round(statistics.median(ts), 4)
 
     m = re.search(r"sf(\d+(?:\.\d+)?)(?![\d.])", os.path.basename(data_dir.rstrip("/")))
     print(
@@ -85,6 +99,7 @@ def main() -> None:
                 "spark": spark.version,
                 "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
                 "reference_shape": {"word_count_coalesce1": ref_shape},
+                **({"errors": errors} if errors else {}),
             }
         )
     )
