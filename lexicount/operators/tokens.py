@@ -34,7 +34,7 @@ def words(
     small input onto all cores before it is tokenised.
     """
     keep = list(keep)
-    src = spread(df.select(*keep, as_column(col).alias("__text")))
+    src = spread(df.select(*keep, as_column(col).alias("__text")), work="tokenize")
     if not keep_empty:
         pieces = text_words("__text") if multiline else line_words("__text")
         return src.select(*keep, F.explode(pieces).alias("word"))

@@ -12,7 +12,13 @@ import re
 
 from pyspark.sql import DataFrame
 
-from lexicount.plans.partitioning import SPREAD_MAX_BYTES_CONF, estimated_bytes, spread
+from lexicount.plans.partitioning import (
+    SPREAD_MAX_BYTES_CONF,
+    SPREAD_MIN_BYTES_CONF,
+    estimated_bytes,
+    file_bytes,
+    spread,
+)
 
 
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
@@ -58,7 +64,9 @@ def read_schemas(df: DataFrame) -> list[str]:
 
 __all__ = [
     "SPREAD_MAX_BYTES_CONF",
+    "SPREAD_MIN_BYTES_CONF",
     "estimated_bytes",
+    "file_bytes",
     "spread",
     "explain_text",
     "node_names",

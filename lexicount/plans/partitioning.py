@@ -7,7 +7,11 @@ input is spread round-robin over all task slots first. The spread is applied
 only when Catalyst's size estimate of the input is at most
 ``lexicount.spread.maxBytes`` (default 1 GiB): the extra shuffle then moves a
 bounded amount of data. Larger inputs come as many files and row groups and
-keep the scan's own splits, so raw text is never shuffled at scale.
+keep the scan's own splits, so raw text is never shuffled at scale. A scan of
+files smaller than a floor is not spread either: one task handles it faster
+than a shuffle stage starts. The floor is 1 MiB for tokenising operators and
+4 MiB for light scans (Spark's own minimum partition and file-open sizes),
+or ``lexicount.spread.minBytes``.
 
 An input whose scan already fills at least half the slots with rows (text,
 CSV or JSON-lines byte splits; parquet or ORC as many files and splits) is
@@ -21,6 +25,26 @@ from pyspark.sql import DataFrame
 
 SPREAD_MAX_BYTES_CONF = "lexicount.spread.maxBytes"
 SPREAD_MAX_BYTES_DEFAULT = 1 << 30
+# Below this many bytes of files read, one task is cheaper than a shuffle
+# stage. The floor depends on the work per byte, and both defaults are
+# Spark's own sizes: tokenising and aggregating every word ("tokenize") pays
+# off above AQE's smallest partition (1 MiB), a light per-row scan ("scan")
+# above the cost Spark charges for opening a file (4 MiB). The setting
+# below overrides both.
+SPREAD_MIN_BYTES_CONF = "lexicount.spread.minBytes"
+_MIN_BYTES_DEFAULTS = {
+    "tokenize": ("spark.sql.adaptive.coalescePartitions.minPartitionSize", 1 << 20),
+    "scan": ("spark.sql.files.openCostInBytes", 4 << 20),
+}
+
+
+def _size_conf(spark, key: str, default: int) -> int:
+    value = str(spark.conf.get(key, str(default))).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if value.endswith(suffix) and value[: -len(suffix)].strip().isdigit():
+            return int(value[: -len(suffix)]) * units[suffix]
+    return int(value)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -38,6 +62,26 @@ _NARROW = {"Project", "Filter", "Generate"}
 _BYTE_SPLIT_FORMATS = {"TextFileFormat", "CSVFileFormat", "JsonFileFormat"}
 
 
+def _leaf(df: DataFrame):
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in _NARROW:
+        node = node.child()
+    return node
+
+
+def file_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files ``df`` scans, when it is row-wise operators over one
+    file scan; None otherwise."""
+    try:
+        node = _leaf(df)
+        if node.nodeName() == "LogicalRelation":
+            size = node.relation().sizeInBytes()
+            return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - unknown size: no lower bound applies
+        pass
+    return None
+
+
 def already_spread(df: DataFrame, slots: int) -> bool:
     """True when ``df`` already fills at least half of ``slots`` partitions
     with rows, followed only by row-wise operators: it is a shuffle into that
@@ -51,9 +95,7 @@ def already_spread(df: DataFrame, slots: int) -> bool:
     """
     enough = max(2, (slots + 1) // 2)
     try:
-        node = df._jdf.queryExecution().optimizedPlan()
-        while node.nodeName() in _NARROW:
-            node = node.child()
+        node = _leaf(df)
         name = node.nodeName()
         if name == "RepartitionByExpression" or (name == "Repartition" and node.shuffle()):
             # (a Repartition without shuffle is a coalesce: it only merges)
@@ -69,9 +111,17 @@ def already_spread(df: DataFrame, slots: int) -> bool:
     return False
 
 
-def spread(df: DataFrame, partitions: int | None = None, max_bytes: int | None = None) -> DataFrame:
+def spread(
+    df: DataFrame,
+    partitions: int | None = None,
+    max_bytes: int | None = None,
+    min_bytes: int | None = None,
+    work: str = "scan",
+) -> DataFrame:
     """``df`` spread round-robin over ``partitions`` (default: all task slots)
-    when its estimated size is at most ``max_bytes``; otherwise ``df`` itself."""
+    when its estimated size is at most ``max_bytes`` and the files it scans
+    hold at least ``min_bytes`` (default by ``work``: "tokenize" or "scan");
+    otherwise ``df`` itself."""
     if df.isStreaming:
         return df
     spark = df.sparkSession
@@ -83,7 +133,15 @@ def spread(df: DataFrame, partitions: int | None = None, max_bytes: int | None =
         return df
     if max_bytes is None:
         max_bytes = int(spark.conf.get(SPREAD_MAX_BYTES_CONF, str(SPREAD_MAX_BYTES_DEFAULT)))
+    if min_bytes is None:
+        key, default = _MIN_BYTES_DEFAULTS[work]
+        min_bytes = _size_conf(spark, SPREAD_MIN_BYTES_CONF, _size_conf(spark, key, default))
     size = estimated_bytes(df)
-    if size is None or size > max_bytes or already_spread(df, slots):
+    if size is None or size > max_bytes:
+        return df
+    read = file_bytes(df)
+    if read is not None and read < min_bytes:
+        return df
+    if already_spread(df, slots):
         return df
     return df.repartition(slots)

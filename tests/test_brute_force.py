@@ -63,7 +63,11 @@ def test_spread_does_not_change_results(spark):
     from lexicount import table
 
     docs = table(spark, SF_SMALL, "documents")
-    spread_on = {r.word: r["count"] for r in word_count(docs, "text", keep_empty=True, multiline=True).collect()}
+    spark.conf.set("lexicount.spread.minBytes", "0")  # spread even this small input
+    try:
+        spread_on = {r.word: r["count"] for r in word_count(docs, "text", keep_empty=True, multiline=True).collect()}
+    finally:
+        spark.conf.unset("lexicount.spread.minBytes")
     spark.conf.set("lexicount.spread.maxBytes", "0")
     try:
         spread_off = {r.word: r["count"] for r in word_count(docs, "text", keep_empty=True, multiline=True).collect()}

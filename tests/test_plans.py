@@ -76,12 +76,12 @@ def test_numeric_queries_prune_columns(spark):
 def test_spread_only_small_inputs(spark):
     docs = table(spark, SF_ORACLE, "documents").select("text")
     assert estimated_bytes(docs) is not None
-    small = physical_plan(spread(docs, partitions=8))
+    small = physical_plan(spread(docs, partitions=8, min_bytes=0))
     assert "RoundRobinPartitioning(8)" in small
-    big = physical_plan(spread(docs, partitions=8, max_bytes=0))
+    big = physical_plan(spread(docs, partitions=8, max_bytes=0, min_bytes=0))
     assert "RoundRobinPartitioning" not in big
     # Spreading twice adds no second shuffle.
-    twice = physical_plan(spread(spread(docs, partitions=8), partitions=8))
+    twice = physical_plan(spread(spread(docs, partitions=8, min_bytes=0), partitions=8, min_bytes=0))
     assert twice.count("RoundRobinPartitioning") == 1
 
 
@@ -104,8 +104,8 @@ def test_split_text_input_not_spread_again(spark, scratch):
     table(spark, SF_ORACLE, "documents").select("text").repartition(8).write.text(path)
     lines = lines_from_text(spark, path)
     assert lines.rdd.getNumPartitions() >= 8
-    assert "RoundRobinPartitioning" not in physical_plan(spread(lines, partitions=8))
-    assert "RoundRobinPartitioning(64)" in physical_plan(spread(lines, partitions=64))
+    assert "RoundRobinPartitioning" not in physical_plan(spread(lines, partitions=8, min_bytes=0))
+    assert "RoundRobinPartitioning(64)" in physical_plan(spread(lines, partitions=64, min_bytes=0))
 
 
 def test_large_input_path_uses_scan_splits(spark, scratch):
@@ -148,9 +148,29 @@ def test_parquet_spread_counts_files_not_splits(spark, scratch):
     try:
         one = table(spark, SF_ORACLE, "documents").select("text")
         assert one.rdd.getNumPartitions() >= 8  # many planned splits, one row group
-        assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8))
+        assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8, min_bytes=0))
         many = parquet(spark, path)
         assert len(many.inputFiles()) == 8
-        assert "RoundRobinPartitioning" not in physical_plan(spread(many, partitions=8))
+        assert "RoundRobinPartitioning" not in physical_plan(spread(many, partitions=8, min_bytes=0))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tiny_files_are_not_spread(spark):
+    """Below the floor one task beats a shuffle stage; the floor is lower for
+    tokenising (heavy per byte) than for light scans."""
+    from conftest import SF_SMALL
+
+    from lexicount.plans import file_bytes
+
+    mid = table(spark, SF_ORACLE, "documents").select("text")  # ~1.4 MB of files
+    tiny = table(spark, SF_SMALL, "documents").select("text")  # ~0.3 MB
+    assert 1 << 20 < file_bytes(mid) < 4 << 20
+    assert "RoundRobinPartitioning" in physical_plan(spread(mid, partitions=8, work="tokenize"))
+    assert "RoundRobinPartitioning" not in physical_plan(spread(mid, partitions=8, work="scan"))
+    assert "RoundRobinPartitioning" not in physical_plan(spread(tiny, partitions=8, work="tokenize"))
+    spark.conf.set("lexicount.spread.minBytes", "0")
+    try:
+        assert "RoundRobinPartitioning" in physical_plan(spread(tiny, partitions=8, work="scan"))
+    finally:
+        spark.conf.unset("lexicount.spread.minBytes")
