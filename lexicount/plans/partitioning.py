@@ -17,6 +17,11 @@ An input whose scan already fills at least half the slots with rows (text,
 CSV or JSON-lines byte splits; parquet or ORC as many files and splits) is
 left alone. Round-robin ``repartition`` sorts rows locally first, which
 makes its output the same when a task is retried after an executor loss.
+
+PySpark has no public call for plan statistics, so the estimates are read
+through the DataFrame's JVM query execution (the same statistics the
+planner uses to choose broadcast joins). Every read is guarded: without it
+(e.g. a remote session) the input is simply not spread.
 """
 
 from __future__ import annotations
