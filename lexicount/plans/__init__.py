@@ -1,7 +1,10 @@
-"""Plan inspection: what Catalyst chose for a DataFrame, as text and node names.
+"""Plans: the size-checked ``spread`` and plan inspection.
 
-Used by the plan tests (no ``Coalesce 1``, no Python UDF, filter below the
-aggregate, ``TakeOrderedAndProject`` for top-n, pushed parquet filters).
+``spread`` (partitioning.py) decides whether a small input is spread over all
+cores before its per-row work. The inspection helpers return what Catalyst
+chose for a DataFrame (plan text, node names, pushed filters, read schemas)
+for the plan tests: no ``Coalesce 1``, no Python, partial and final
+aggregates, ``TakeOrderedAndProject`` for top-n, filters pushed to parquet.
 """
 
 from __future__ import annotations
