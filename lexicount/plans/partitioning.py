@@ -43,13 +43,21 @@ _MIN_BYTES_DEFAULTS = {
 }
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def _parse_size(value: str) -> int:
+    """A Spark byte size ("4194304", "4194304b", "1m", "1MB", "512KiB", "1t")."""
+    v = value.strip().lower().replace("ib", "").removesuffix("b")
+    digits = v.rstrip("kmgtp")
+    return int(digits) * _UNITS[v[len(digits):]]
+
+
 def _size_conf(spark, key: str, default: int) -> int:
-    value = str(spark.conf.get(key, str(default))).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if value.endswith(suffix) and value[: -len(suffix)].strip().isdigit():
-            return int(value[: -len(suffix)]) * units[suffix]
-    return int(value)
+    try:
+        return _parse_size(str(spark.conf.get(key, str(default))))
+    except (ValueError, KeyError):
+        return default
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -74,20 +82,23 @@ def _leaf(df: DataFrame):
     return node
 
 
+def _relation_bytes(leaf) -> int | None:
+    if leaf is None or leaf.nodeName() != "LogicalRelation":
+        return None
+    size = leaf.relation().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
 def file_bytes(df: DataFrame) -> int | None:
     """Bytes of the files ``df`` scans, when it is row-wise operators over one
     file scan; None otherwise."""
     try:
-        node = _leaf(df)
-        if node.nodeName() == "LogicalRelation":
-            size = node.relation().sizeInBytes()
-            return int(size if isinstance(size, int) else size.toString())
+        return _relation_bytes(_leaf(df))
     except Exception:  # noqa: BLE001 - unknown size: no lower bound applies
-        pass
-    return None
+        return None
 
 
-def already_spread(df: DataFrame, slots: int) -> bool:
+def already_spread(df: DataFrame, slots: int, leaf=None) -> bool:
     """True when ``df`` already fills at least half of ``slots`` partitions
     with rows, followed only by row-wise operators: it is a shuffle into that
     many partitions, or a file scan that many of whose splits hold rows.
@@ -95,12 +106,13 @@ def already_spread(df: DataFrame, slots: int) -> bool:
     For text, CSV and JSON lines every planned split holds rows. For parquet
     and ORC a split holds rows only if a row group (stripe) starts in it, so
     the count is bounded by ``min(files, splits)``: every file holds at least
-    one row group. Past half the slots, another pass over all the raw rows
-    costs more than the idle slots do.
+    one row group (files that filters skip entirely are not discounted: a
+    missed spread only costs speed). Past half the slots, another pass over
+    all the raw rows costs more than the idle slots do.
     """
     enough = max(2, (slots + 1) // 2)
     try:
-        node = _leaf(df)
+        node = leaf if leaf is not None else _leaf(df)
         name = node.nodeName()
         if name == "RepartitionByExpression" or (name == "Repartition" and node.shuffle()):
             # (a Repartition without shuffle is a coalesce: it only merges)
@@ -137,16 +149,24 @@ def spread(
     if slots <= 1:
         return df
     if max_bytes is None:
-        max_bytes = int(spark.conf.get(SPREAD_MAX_BYTES_CONF, str(SPREAD_MAX_BYTES_DEFAULT)))
+        max_bytes = _size_conf(spark, SPREAD_MAX_BYTES_CONF, SPREAD_MAX_BYTES_DEFAULT)
     if min_bytes is None:
-        key, default = _MIN_BYTES_DEFAULTS[work]
-        min_bytes = _size_conf(spark, SPREAD_MIN_BYTES_CONF, _size_conf(spark, key, default))
+        if spark.conf.get(SPREAD_MIN_BYTES_CONF, None) is not None:
+            min_bytes = _size_conf(spark, SPREAD_MIN_BYTES_CONF, 0)
+        else:
+            key, default = _MIN_BYTES_DEFAULTS[work]
+            min_bytes = _size_conf(spark, key, default)
     size = estimated_bytes(df)
     if size is None or size > max_bytes:
         return df
-    read = file_bytes(df)
-    if read is not None and read < min_bytes:
+    try:
+        leaf = _leaf(df)
+        read = _relation_bytes(leaf)
+    except Exception:  # noqa: BLE001 - no plan access: do not spread
+        return df
+    # Files read when the input is a scan; otherwise the plan's own estimate.
+    if (read if read is not None else size) < min_bytes:
         return df
-    if already_spread(df, slots):
+    if already_spread(df, slots, leaf):
         return df
     return df.repartition(slots)

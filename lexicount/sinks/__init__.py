@@ -37,7 +37,10 @@ def to_dict(counts: DataFrame, max_rows: int = 10_000, key: str = "word", value:
     rows = counts.select(key, value).limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; keep it as a DataFrame")
-    return {r[0]: r[1] for r in rows}
+    out = {r[0]: r[1] for r in rows}
+    if len(out) != len(rows):
+        raise ValueError(f"column {key!r} has repeated values; aggregate before to_dict")
+    return out
 
 
 def shared_dir(spark: SparkSession) -> str:

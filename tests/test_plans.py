@@ -132,7 +132,21 @@ def test_large_input_path_uses_scan_splits(spark, scratch):
 
 def test_coalesce_is_not_a_spread(spark):
     one = spark.range(0, 1000, 1, 1).coalesce(8)
-    assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8))
+    assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8, min_bytes=0))
+
+
+def test_tiny_in_memory_input_not_spread(spark):
+    from lexicount import lines_from_literal, word_count
+
+    plan = physical_plan(word_count(lines_from_literal(spark, "a b a"), keep_empty=True))
+    assert "RoundRobinPartitioning" not in plan
+
+
+def test_size_settings_parse_like_spark():
+    from lexicount.plans.partitioning import _parse_size
+
+    assert _parse_size("4194304b") == _parse_size("4m") == _parse_size("4MB") == 4 << 20
+    assert _parse_size("512KiB") == 512 << 10 and _parse_size("1tb") == 1 << 40
 
 
 def test_parquet_spread_counts_files_not_splits(spark, scratch):

@@ -95,3 +95,6 @@ def test_to_dict_bounded(spark, wordcount_file):
         to_dict(counts, max_rows=3)
     with pytest.raises(ValueError):
         to_dict(counts, max_rows=-1)
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], "word string, count bigint")
+    with pytest.raises(ValueError):
+        to_dict(dup)

@@ -50,7 +50,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from lexicount.queries import QUERIES
 
+    runs = max(1, runs)
+    last_start_ms = 0
     for i in range(runs):
+        last_start_ms = int(time.time() * 1000)
         t0 = time.perf_counter()
         QUERIES[name](spark, data_dir).write.format("noop").mode("overwrite").save()
         print(f"run {i}: {time.perf_counter() - t0:.3f} s")
@@ -64,9 +67,8 @@ def main() -> None:
             stages[info["Stage ID"]] = info
         elif kind == "SparkListenerTaskEnd":
             tasks.setdefault(e["Stage ID"], []).append(e)
-    # Every run executes the same stages, so the last run is the last share.
-    ids = sorted(stages)
-    tail = ids[-max(1, len(ids) // runs):]
+    # The last run's stages: those submitted after it started.
+    tail = sorted(sid for sid, info in stages.items() if (info.get("Submission Time") or 0) >= last_start_ms)
     print(f"{'stage':>5} {'tasks':>5} {'wall ms':>8} {'max task ms':>11} {'shuffle recs':>12} {'shuffle bytes':>13} {'input rows':>10}")
     for sid in tail:
         info, ts = stages[sid], tasks.get(sid, [])

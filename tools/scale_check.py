@@ -3,8 +3,8 @@
 Usage: python tools/scale_check.py SCRATCH_DIR [copies=10] [data_dir=/root/testdata/sf0.1]
 
 Writes ``copies`` copies of ``documents`` (new doc_ids, derived by Spark) as
-``4 * copies`` parquet files under SCRATCH_DIR once (a new, empty folder;
-an existing copy there is reused), then times ``word_count`` with and
+``4 * copies`` parquet files under SCRATCH_DIR once (a complete copy with
+the same number of copies is reused), then times ``word_count`` with and
 without the spread, and the reference-shaped single-partition plan. Prints one
 JSON line.
 """
@@ -36,11 +36,12 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    from lexicount import table, word_count
-    from lexicount.queries import word_count_single_partition
+    from lexicount import table, text_words, word_count
     from lexicount.sources import parquet
 
-    path = os.path.join(scratch, "documents.parquet")
+    path = os.path.join(scratch, f"documents_x{copies}.parquet")
+    if os.path.exists(path) and not os.path.exists(os.path.join(path, "_SUCCESS")):
+        raise SystemExit(f"{path} is an incomplete copy from an interrupted run; use a new folder")
     if not os.path.exists(path):
         docs = table(spark, data_dir, "documents")
         n = spark.range(copies).withColumnRenamed("id", "copy")
@@ -64,10 +65,14 @@ def main() -> None:
 
         return build
 
+    def word_count_single_partition_at(p):
+        w = parquet(spark, p).select(F.explode(text_words("text")).alias("word")).coalesce(1)
+        return w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
     variants = {
         "word_count": with_spread(True),
         "word_count_no_spread": with_spread(False),
-        "reference_shape": lambda: word_count_single_partition(spark, scratch),
+        "reference_shape": lambda: word_count_single_partition_at(path),
     }
     times: dict[str, list[float]] = {k: [] for k in variants}
     for name, build in variants.items():  # warm-up
