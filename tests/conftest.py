@@ -22,10 +22,12 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
-    # Tests own their session, so they name their own shared folder.
-    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexicount-test-ckpt-"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    # The shared folder comes from the session's configuration; only where
+    # none is configured do the tests name their own.
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexicount-test-ckpt-"))
     yield session
     session.stop()
 

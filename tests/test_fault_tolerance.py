@@ -11,14 +11,13 @@ from conftest import ROOT, SF_SMALL
 # Runs in its own process: `local[4,4]` lets a failed task be retried, which a
 # plain local master does not. The failing UDF exists only in this test.
 SCRIPT = r"""
-import json, sys, tempfile
+import json, sys
 sys.path.insert(0, sys.argv[1])
 from pyspark import TaskContext
 from pyspark.sql import SparkSession, functions as F
 spark = (SparkSession.builder.master("local[4,4]")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", "4")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexicount-ft-")).getOrCreate())
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
 spark.sparkContext.setLogLevel("WARN")
 from lexicount import table, word_count
 

@@ -29,8 +29,8 @@ def test_pair_lines_with_empty_word(spark):
 
 
 def test_shared_dir_is_session_setting(spark):
-    configured = spark.conf.get("spark.checkpoint.dir")
-    assert shared_dir(spark) == configured
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured and shared_dir(spark) == configured
     p1, p2 = fresh_path(spark, "x"), fresh_path(spark, "x")
     assert p1 != p2 and p1.startswith(configured.rstrip("/") + "/")
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -41,7 +40,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexicount-plans-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
