@@ -87,3 +87,11 @@ def test_lookup_agrees_with_word_count_on_real_text(spark):
     for w, n in top + rare:
         got = word_lookup(docs, w, "text", multiline=True).collect()[0]["count"]
         assert got == n, w
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts, st.text(alphabet="ab.\\E(*\t\n", min_size=1, max_size=3), st.booleans())
+def test_lookup_random_words(spark, batch, word, multiline):
+    df = spark.createDataFrame([(t,) for t in batch], "text string")
+    got = word_lookup(df, word, "text", multiline=multiline).collect()[0]["count"]
+    assert got == brute_counts(batch, False, multiline).get(word, 0)
