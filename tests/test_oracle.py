@@ -52,3 +52,12 @@ def test_oracle_line_rule_matches_spark_on_edges(spark):
     for i, (c, want) in enumerate(EDGE_FILES):
         duck = con.execute(f"SELECT {_line_array('t')} FROM (SELECT ? AS t)", [c]).fetchone()[0]
         assert got[i] == duck == want
+
+
+@pytest.mark.parametrize("name", ["text_file_word_count", "named_dataset_total", "word_lookup_sql", "word_lookup"])
+def test_stateful_queries_repeatable(spark, name):
+    """Queries that keep session state (a text copy, a cache, a view) give the
+    same answer when run again, as a driver may do."""
+    first = sorted(tuple(r) for r in entry_mod.queries()[name](spark, SF_ORACLE).collect())
+    again = sorted(tuple(r) for r in entry_mod.queries()[name](spark, SF_ORACLE).collect())
+    assert first == again and first
