@@ -57,7 +57,7 @@ def word_lookup(
     if not can_be_word(word, multiline):
         src = df.filter(F.lit(False)).select(c.alias("__text"))
     else:
-        src = spread(df.filter(c.contains(word)).select(c.alias("__text")))
+        src = spread(df.filter(c.contains(word))).select(c.alias("__text"))
     total = F.coalesce(F.sum(hits), F.lit(0)).cast("bigint").alias("count")
     return src.agg(total).select(F.lit(word).alias("word"), "count")
 
@@ -104,5 +104,5 @@ def line_counts(df: DataFrame, key: str = "doc_id", col: str | Column = "text")
     (NULL or empty) do not appear, as with the exploded form.
     """
     c = as_column(col)
-    texts = spread(df.filter(c.isNotNull() & (c != "")).select(key, c.alias("__text")))
+    texts = spread(df.filter(c.isNotNull() & (c != ""))).select(key, c.alias("__text"))
     return texts.groupBy(key).agg(F.sum(line_count("__text")).cast("bigint").alias("n_lines"))

@@ -34,7 +34,9 @@ def words(
     small input onto all cores before it is tokenised.
     """
     keep = list(keep)
-    src = spread(df.select(*keep, as_column(col).alias("__text")), work="tokenize")
+    # Spread the input, then evaluate ``col``: a computed column runs in
+    # parallel too, and Catalyst prunes the shuffle to the columns it reads.
+    src = spread(df, work="tokenize").select(*keep, as_column(col).alias("__text"))
     if not keep_empty:
         pieces = text_words("__text") if multiline else line_words("__text")
         return src.select(*keep, F.explode(pieces).alias("word"))

@@ -86,8 +86,7 @@ def _edge_line(doc_id):
 
 
 def q_word_count_raw_edge(spark: SparkSession, d: str) -> DataFrame:
-    lines = _docs(spark, d).select(_edge_line(F.col("doc_id")).alias("value"))
-    return word_count(lines, "value", keep_empty=True)
+    return word_count(_docs(spark, d), _edge_line(F.col("doc_id")), keep_empty=True)
 
 
 def _spaced_text(text):
@@ -98,8 +97,7 @@ def _spaced_text(text):
 
 
 def q_word_count_raw_spaced(spark: SparkSession, d: str) -> DataFrame:
-    docs = _docs(spark, d).select(_spaced_text(F.col("text")).alias("text"))
-    return word_count(docs, "text", keep_empty=True, multiline=True)
+    return word_count(_docs(spark, d), _spaced_text(F.col("text")), keep_empty=True, multiline=True)
 
 
 _text_copies: dict[tuple[str, str], str] = {}

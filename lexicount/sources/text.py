@@ -40,7 +40,7 @@ def lines_from_column(
     ``spread`` for a small input.
     """
     keep = list(keep)
-    src = spread(df.select(*keep, as_column(col).alias("__text")), work="tokenize")
+    src = spread(df, work="tokenize").select(*keep, as_column(col).alias("__text"))
     return src.select(*keep, F.explode(text_lines("__text")).alias("value"))
 
 
