@@ -45,7 +45,7 @@ WORDCOUNT_TXT = "A\nB\nC\nD\nA B C D\nA"
 
 @pytest.fixture()
 def wordcount_file(scratch):
-    path = os.path.join(scratch, "WordCount.txt")
+    path = os.path.join(scratch, "words.txt")
     with open(path, "w", newline="") as f:
         f.write(WORDCOUNT_TXT)
     return path
