@@ -158,12 +158,17 @@ def word_occurrences(c: str | Column, word: str, multiline: bool = False) -> Col
     """How many words of ``c`` equal ``word`` (empty words never match).
 
     Counted with one regex scan for ``word`` bounded by separators (or the
-    text's ends), so no array of words is built. Separators are the space,
+    text's ends), so no array of words is built; the scan looks for the word
+    itself and checks its edges only where it occurs. Separators are the space,
     plus both line-break characters when ``multiline``. A word that is
     empty or contains a separator can never be produced: 0.
     """
     if not can_be_word(word, multiline):
         return F.lit(0)
     cls = _separators(multiline).replace("\r", "\\r").replace("\n", "\\n")
-    pattern = f"(?<![^{cls}]){_regex_quote(word)}(?![^{cls}])"
+    q = _regex_quote(word)
+    # The literal comes first, so the regex engine only checks the edges
+    # where the word actually occurs: after it, "not preceded by a
+    # non-separator followed by the word" and "not followed by a non-separator".
+    pattern = f"{q}(?<![^{cls}]{q})(?![^{cls}])"
     return F.regexp_count(as_column(c), F.lit(pattern))

@@ -95,3 +95,12 @@ def test_lookup_random_words(spark, batch, word, multiline):
     df = spark.createDataFrame([(t,) for t in batch], "text string")
     got = word_lookup(df, word, "text", multiline=multiline).collect()[0]["count"]
     assert got == brute_counts(batch, False, multiline).get(word, 0)
+
+
+def test_lookup_multibyte_words(spark):
+    text = "😀a 😀 a😀 😀\nété été, été\r\nÉté été"
+    df = spark.createDataFrame([(text,)], "text string")
+    for word, multiline in [("😀", True), ("été", True), ("été", False), ("Été", True), ("a😀", True), ("😀\nété", False)]:
+        want = brute_counts([text], False, multiline).get(word, 0)
+        got = word_lookup(df, word, "text", multiline=multiline).collect()[0]["count"]
+        assert got == want, (word, multiline)
