@@ -136,3 +136,14 @@ def test_text_lines_matches_text_reader(spark, batch):
     df = spark.createDataFrame(list(enumerate(batch)), "i int, t string")
     got = {r.i: r.lines for r in df.select("i", text_lines("t").alias("lines")).collect()}
     assert [got[i] for i in range(len(batch))] == from_files
+
+
+def test_unix_breaks_and_can_be_word(spark):
+    from lexicount.functions import can_be_word, unix_breaks
+
+    rows = [("a\r\nb\rc\nd",), ("plain",), ("",), (None,), ("\r\r\n",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r.u for r in df.select(unix_breaks("t").alias("u")).collect()]
+    assert got == ["a\nb\nc\nd", "plain", "", None, "\n\n"]
+    assert can_be_word("a.b") and can_be_word("a\nb") and not can_be_word("a\nb", multiline=True)
+    assert not can_be_word("") and not can_be_word("a b") and not can_be_word("x\r", multiline=True)
