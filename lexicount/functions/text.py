@@ -60,6 +60,9 @@ def java_split(c: str | Column) -> Column:
     trimmed = F.rtrim(c)
     return (
         F.when(c == "", F.array(F.lit("")))
+        # No trailing space, no trailing empties: Spark's split already agrees
+        # (and the line is not copied by rtrim).
+        .when(~c.endswith(WORD_SEPARATOR), F.split(c, WORD_SEPARATOR))
         .when(trimmed == "", _empty())
         .otherwise(F.split(trimmed, WORD_SEPARATOR))
     )
