@@ -54,8 +54,8 @@ def _found(text: Column, no: int) -> Column:
     gaps = F.split(text, pattern, -1)
     zipped = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
     rows = F.transform(zipped, lambda x, i: F.struct(
-        F.lit(no).alias("no"), i.alias("nth"), F.length(x["0"]).alias("gap"), F.length(x["1"]).alias("size"),
-        x["2"].alias("value"),
+        F.lit(no).alias("no"), i.alias("nth"), F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("size"),
+        x["value"].alias("value"),
     ))
     return F.when(text.rlike(pattern), rows).otherwise(F.array().cast("array<struct<no:int,nth:int,gap:int,size:int,value:string>>"))
 

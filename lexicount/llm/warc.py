@@ -172,7 +172,7 @@ def _write(folder: str, per_frame: int, level: int):
                     name = f"{folder.rstrip('/')}/bundle-{uuid.uuid4().hex}.warc.zst"
                     files, path = _open(name)
                     files.create_dir(path.rpartition("/")[0], recursive=True)
-                    writer = BundleWriter(files.open_output_stream(path), level)
+                    writer = BundleWriter(files.open_output_stream(path, compression=None), level)
                 payload = (row["payload"] or "").encode()
                 revisit = row["refers_to"] is not None
                 data = record(row["page_id"], row["url"], payload, len(payload), _base32(row["sha1"]), row["refers_to"], revisit)
