@@ -55,11 +55,15 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
     return merge_dropout.segmented(_docs(spark, d))
 
 
+def _of_kind(no: int):
+    return lambda x: x["no"] == no
+
+
 def op6(spark: SparkSession, d: str) -> DataFrame:
     found = secret_scan.scanned(_docs(spark, d))
     base = F.filter("spans", lambda x: x["no"] < len(secret_scan.BASE))
     counts = [
-        F.size(F.filter("spans", lambda x, n=n: x["no"] == n)).cast("long").alias(f"n_{secret_scan.BASE[n][0]}")
+        F.size(F.filter("spans", _of_kind(n))).cast("long").alias(f"n_{secret_scan.BASE[n][0]}")
         for n in range(len(secret_scan.BASE))
     ]
     return found.select(

@@ -10,7 +10,9 @@ Tompa); the score of the best one follows an extreme-value law in clean text,
 clean words and K fitted to clean texts. Segments beyond ``E_VALUE`` expected
 by chance are the toxic passages. Their normalised scores (lambda s - ln K n),
 the best one and the sum, go through a logistic regression fitted on the
-labelled sample.
+labelled sample. K and the regression see each text of the sample under scores
+learned from the other folds, as they will see texts that were not learned
+from.
 
 Words are counted over at most ``PER_CLASS`` expected texts of each class.
 Null and empty texts have no segment.
@@ -27,14 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
-from lexicount.llm._spark import Batches, map_arrow, pick
+from lexicount.llm._spark import Batches, map_arrow, pick, written
 
 BUCKETS = 1 << 18
 PER_CLASS = 10_000
-PRIOR = 1000.0
+#: The prior weighs as much as this share of all words counted.
+PRIOR = 0.05
 LEAST_PRIOR = 0.05
 SHRINK = 1.645
-DRIFT = 0.25
+DRIFT = 0.5
+FOLDS = 8
 E_VALUE = 0.05
 THRESHOLD = 0.7
 
@@ -140,7 +144,7 @@ class Model:
 def log_odds(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
     """Scores of the buckets from their counts."""
     both = toxic + clean
-    prior = np.maximum(PRIOR * both / max(1.0, both.sum()), LEAST_PRIOR)
+    prior = np.maximum(PRIOR * both, LEAST_PRIOR)
     a, b = toxic + prior, clean + prior
     odds = np.log(a / np.maximum(a.sum() - a, 1e-9)) - np.log(b / np.maximum(b.sum() - b, 1e-9))
     error = np.sqrt(1 / a + 1 / b)
@@ -161,42 +165,46 @@ def decay(score: np.ndarray, share: np.ndarray) -> float:
 
 def _counts(batches: Batches) -> Batches:
     for b in batches:
-        toxic = np.asarray(b.column("toxic"))
-        both = {}
-        for i, at, first in word_buckets(b.column("text")):
-            mark = np.repeat(toxic[i : i + len(first) - 1], np.diff(first))
-            for label in (0, 1):
-                c = np.bincount(at[mark == label], minlength=1)
-                old = both.get(label, np.zeros(0, np.int64))
-                if len(old) < len(c):
-                    old = np.concatenate([old, np.zeros(len(c) - len(old), np.int64)])
-                old[: len(c)] += c
-                both[label] = old
-        for label, c in both.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(np.full(len(at), label), pa.int32()), pa.array(c[at], pa.int64())], ["bucket", "toxic", "n"])
-
-
-def _best(model):
+        group = np.asarray(b.column("fold")) * 2 + np.asarray(b.column("toxic"))
+        parts = [
+            np.repeat(group[i : i + len(first) - 1], np.diff(first)).astype(np.int64) * BUCKETS + at
+            for i, at, first in word_buckets(b.column("text"))
+        ]
+        if not parts:
+            continue
+        at, n = np.unique(np.concatenate(parts), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.astype(np.int64))], ["at", "n"])
+
+
+def _best(models):
     def run(batches: Batches) -> Batches:
-        m = model.value
         for b in batches:
-            size, best = [], []
-            for _, at, first in word_buckets(b.column("text")):
-                size.append(np.diff(first))
-                best.append(best_scores(m.score[at], first))
+            fold = np.asarray(b.column("fold"))
+            size, core = [], []
+            for i, at, first in word_buckets(b.column("text")):
+                own = fold[i : i + len(first) - 1]
+                n = np.diff(first)
+                best = np.zeros(len(n))
+                for f, m in enumerate(models.value):
+                    best = np.where(own == f, m.lam * best_scores(m.score[at], first), best)
+                size.append(n)
+                core.append(best - np.log(np.maximum(n, 1)))
             if size:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(size), pa.int64()), pa.array(np.concatenate(best)), b.column("toxic")], ["n", "best", "toxic"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(core))], ["core"])
 
     return run
 
 
-def _features(model):
+def _features(models):
     def run(batches: Batches) -> Batches:
-        m = model.value
         for b in batches:
-            x, _ = m.measure(b.column("text"))
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), b.column("toxic")], ["top", "total", "toxic"])
+            fold = np.asarray(b.column("fold"))
+            out = np.zeros((b.num_rows, 3))
+            for f, m in enumerate(models.value):
+                own = np.flatnonzero(fold == f)
+                if len(own):
+                    out[own], _ = m.measure(b.column("text").take(pa.array(own)))
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 1]), pa.array(out[:, 2]), b.column("toxic")], ["top", "total", "toxic"])
 
     return run
 
@@ -233,28 +241,33 @@ def learned(
     # At most about two rows of 12 bytes per text of the sample: a proven bound.
     chosen = F.broadcast(marks.filter(draw < share).limit(4 * per_class).withColumnRenamed("doc_id", "m_id"))
     src = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
-    sample = src.join(chosen, F.col("doc_id") == F.col("m_id")).select("text", "toxic")
-    table = (
-        map_arrow(sample, _counts, "bucket long, toxic int, n long").groupBy("bucket", "toxic").agg(F.sum("n").alias("n")).toArrow()
-    )
-    counts = np.zeros((2, BUCKETS))
-    counts[table["toxic"].to_numpy(), table["bucket"].to_numpy()] = table["n"].to_numpy()
-    score = log_odds(counts[1], counts[0])
-    lam = decay(score, counts[0] / max(1.0, counts[0].sum()))
-    model = Model(score, lam, 1.0, zero.weight)
+    fold = F.pmod(F.xxhash64("text", F.lit(910)), F.lit(FOLDS)).cast("int").alias("fold")
+    sample = written(src.join(chosen, F.col("doc_id") == F.col("m_id")).select("text", "toxic", fold), "toxic-sample")
+    # At most 2 * FOLDS * BUCKETS rows, whatever the corpus.
+    table = map_arrow(sample, _counts, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(2 * FOLDS * BUCKETS)
+    counts[table["at"].to_numpy()] = table["n"].to_numpy()
+    counts = counts.reshape(FOLDS, 2, BUCKETS)
+
+    def scores(c: np.ndarray) -> Model:
+        score = log_odds(c[1], c[0])
+        return Model(score, decay(score, c[0] / max(1.0, c[0].sum())), 1.0, zero.weight)
+
+    whole = counts.sum(axis=0)
+    model, folds = scores(whole), [scores(whole - c) for c in counts]
     send = spark.sparkContext.broadcast
-    clean = map_arrow(sample.filter("toxic = 0"), _best(send(model)), "n long, best double, toxic int").toArrow()
-    n, best = clean["n"].to_numpy(), clean["best"].to_numpy()
-    if len(n):  # the likeliest K, heavy scores of mislabelled texts left out
-        core = lam * best - np.log(np.maximum(n, 1))
+    core = map_arrow(sample.filter("toxic = 0"), _best(send(folds)), "core double").toArrow()["core"].to_numpy()
+    if len(core):  # the likeliest K, heavy scores of mislabelled texts left out
         core = core[core <= np.quantile(core, 0.95)]
         model.k = float(1 / max(1e-12, np.mean(np.exp(-np.clip(core, -30, 30)))))
-    got = map_arrow(sample, _features(send(model)), "top double, total double, toxic int").toArrow()
+    for m in folds:
+        m.k = model.k
+    got = map_arrow(sample, _features(send(folds)), "top double, total double, toxic int").toArrow()
     x = np.column_stack([np.ones(got.num_rows), got["top"].to_numpy(), got["total"].to_numpy()])
     y = got["toxic"].to_numpy().astype(float)
     # Each class counts as in all labelled rows, however it was sampled.
     weight = np.where(y == 1, size[1] / max(1, (y == 1).sum()), size[0] / max(1, (y == 0).sum()))
-    model.weight = logistic(x, y, weight * len(y) / weight.sum())
+    model.weight = logistic(x, y, weight * len(y) / weight.sum()) if len(y) else zero.weight
     return model
 
 
