@@ -13,6 +13,7 @@ from lexicount.operators import (
     hit_ratio,
     is_cached,
     line_counts,
+    names,
     non_empty,
     prefix_filter,
     rank_by_count,
@@ -48,6 +49,7 @@ __all__ = [
     "lines_from_column",
     "lines_from_literal",
     "lines_from_text",
+    "names",
     "non_empty",
     "pair_lines",
     "prefix_filter",

@@ -26,3 +26,10 @@ def factor(k: object) -> int | float:
     if isinstance(k, bool) or not isinstance(k, (int, float)):
         raise ValueError(f"factor must be a number, got {k!r}")
     return k
+
+
+def natural(n: object, what: str) -> int:
+    """``n`` if it is a non-negative int (not a bool), else ValueError."""
+    if isinstance(n, bool) or not isinstance(n, int) or n < 0:
+        raise ValueError(f"{what} must be a non-negative int, got {n!r}")
+    return n

@@ -161,8 +161,9 @@ def word_occurrences(c: str | Column, word: str, multiline: bool = False) -> Col
     """How many words of ``c`` equal ``word`` (empty words never match).
 
     Counted with one regex scan for ``word`` bounded by separators (or the
-    text's ends), so no array of words is built; the scan looks for the word
-    itself and checks its edges only where it occurs. Separators are the space,
+    text's ends); the scan looks for the word itself and checks its edges only
+    where it occurs. Spark gathers the matches (not the other words) in an
+    array and takes its size. Separators are the space,
     plus both line-break characters when ``multiline``. A word that is
     empty or contains a separator can never be produced: 0.
     """

@@ -8,7 +8,7 @@ from lexicount.operators.counts import (
     word_lookup,
     word_lookup_sql,
 )
-from lexicount.operators.named import get, get_or_create, is_cached, release
+from lexicount.operators.named import get, get_or_create, is_cached, names, release
 from lexicount.operators.numeric import hit_ratio, prefix_filter, scale, sum_of_squares, total
 from lexicount.operators.tokens import non_empty, words
 
@@ -19,6 +19,7 @@ __all__ = [
     "hit_ratio",
     "is_cached",
     "line_counts",
+    "names",
     "non_empty",
     "prefix_filter",
     "rank_by_count",

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicount._checks import identifier, string
+from lexicount._checks import natural, string
 from lexicount.functions.text import as_column, can_be_word, line_count, word_occurrences
 from lexicount.operators.tokens import words
-from lexicount.plans.partitioning import spread
+
 
 def _count() -> Column:
     return F.count(F.lit(1)).alias("count")
@@ -57,42 +57,43 @@ def word_lookup(
     if not can_be_word(word, multiline):
         src = df.filter(F.lit(False)).select(c.alias("__text"))
     else:
-        src = spread(df.filter(c.contains(word))).select(c.alias("__text"))
+        src = df.filter(c.contains(word)).select(c.alias("__text"))
     total = F.coalesce(F.sum(hits), F.lit(0)).cast("bigint").alias("count")
     return src.agg(total).select(F.lit(word).alias("word"), "count")
 
 
-def word_lookup_sql(
-    spark: SparkSession, counts: DataFrame, word: str, view: str = "wordcount"
-) -> DataFrame:
-    """Same answer as ``word_lookup`` through a temp view and SQL.
+def word_lookup_sql(spark: SparkSession, counts: DataFrame, word: str) -> DataFrame:
+    """Same answer as ``word_lookup`` through SQL over the counts.
 
     The word is bound as a named parameter, never pasted into the SQL text,
-    so quotes, backslashes or SQL fragments in it are plain data. Catalyst
-    pushes ``word = :w`` below the view's aggregate.
+    so quotes, backslashes or SQL fragments in it are plain data. ``counts``
+    is passed to the statement itself: no view of any name is made or
+    replaced. Catalyst pushes ``word = :w`` below the aggregate, but not below
+    the tokeniser, so every word of every text is still made into a row; use
+    ``word_lookup`` to count in place.
     """
     word = string(word, "word")
-    view = identifier(view, "view name")
-    counts.createOrReplaceTempView(view)
     return spark.sql(
-        f"SELECT CAST(:w AS STRING) AS word, coalesce(max(`count`), 0L) AS `count` "
-        f"FROM {view} WHERE word = :w",
+        "SELECT CAST(:w AS STRING) AS word, coalesce(max(`count`), 0L) AS `count` "
+        "FROM {counts} WHERE word = :w",
         args={"w": word},
+        counts=counts,
     )
 
 
 def rank_by_count(counts: DataFrame, n: int | None = None) -> DataFrame:
     """Order by ``count`` descending, then ``word`` ascending; top ``n`` if given.
 
-    With ``n`` the plan is a single ``TakeOrderedAndProject``: every task
-    keeps its own top ``n`` and only those reach the final merge.
+    Without ``n`` the rows are range-partitioned and every partition is
+    sorted, so the ranking may be of any length. With ``n`` the plan is a
+    single ``TakeOrderedAndProject``: every task keeps its own top ``n`` and
+    one task merges them, so ``n`` must stay small (thousands); take the full
+    ranking for more.
     """
     ranked = counts.orderBy(F.col("count").desc(), F.col("word").asc())
     if n is None:
         return ranked
-    if not isinstance(n, int) or n < 0:
-        raise ValueError(f"n must be a non-negative int, got {n!r}")
-    return ranked.limit(n)
+    return ranked.limit(natural(n, "n"))
 
 
 def line_counts(df: DataFrame, key: str = "doc_id", col: str | Column = "text") -> DataFrame:
@@ -104,5 +105,5 @@ def line_counts(df: DataFrame, key: str = "doc_id", col: str | Column = "text")
     (NULL or empty) do not appear, as with the exploded form.
     """
     c = as_column(col)
-    texts = spread(df.filter(c.isNotNull() & (c != ""))).select(key, c.alias("__text"))
-    return texts.groupBy(key).agg(F.sum(line_count("__text")).cast("bigint").alias("n_lines"))
+    texts = df.filter(c.isNotNull() & (c != "")).select(key, line_count(c).cast("bigint").alias("__lines"))
+    return texts.groupBy(key).agg(F.sum("__lines").alias("n_lines"))

@@ -1,10 +1,13 @@
 """Named, cached datasets (B18): a registry over session temp views.
 
-A name maps to a temp view; ``get_or_create`` builds and caches it only when
-the name is free. Cached blocks that are lost with an executor are rebuilt
-from the view's lineage, so a lost executor costs recomputation, not a wrong
-answer. Not atomic across threads sharing one session: two concurrent
-``get_or_create`` calls for one name may both build.
+A name maps to a temp view of the library's own (``PREFIX`` before the name),
+so a user's view of the same name is neither returned nor replaced.
+``get_or_create`` builds and caches a dataset only when its name is free. The
+cached blocks are kept in memory and, beyond it, on each executor's own disk;
+what is lost with an executor is rebuilt from the view's lineage, so a lost
+executor costs recomputation, not a wrong answer. Not atomic across threads
+sharing one session: two concurrent ``get_or_create`` calls for one name may
+both build.
 """
 
 from __future__ import annotations
@@ -13,24 +16,27 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexicount._checks import identifier
 
+PREFIX = "lexicount_dataset_"
 
-def _check_name(name: object) -> str:
-    return identifier(name, "dataset name")
 
+def _view(name: object) -> str:
+    return PREFIX + identifier(name, "dataset name")
 
-def _registered(spark: SparkSession, name: str) -> bool:
-    # Only session temp views are datasets here; a permanent table of the
-    # same name is neither returned nor dropped.
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+def names(spark: SparkSession) -> list[str]:
+    """The names of the datasets registered in this session, sorted."""
+    views = spark.catalog.listTables(pattern=PREFIX + "*")
+    return sorted(v.name[len(PREFIX):] for v in views if v.isTemporary)
 
 
 def get(spark: SparkSession, name: str) -> DataFrame | None:
     """The dataset registered as ``name``, or None."""
-    name = _check_name(name)
-    return spark.table(name) if _registered(spark, name) else None
+    view = _view(name)
+    return spark.table(view) if name.lower() in (n.lower() for n in names(spark)) else None
 
 
 def get_or_create(
@@ -50,21 +56,23 @@ def get_or_create(
     df = build()
     if not isinstance(df, DataFrame):
         raise ValueError("build() must return a DataFrame")
-    df.createOrReplaceTempView(name)
-    spark.catalog.cacheTable(name, storage_level)
-    return spark.table(name)
+    # Spark's cache is keyed by plan, and dropping a view frees its plan. A
+    # filter that is always true, and optimised away, gives every name a plan
+    # of its own.
+    df.filter(F.lit(name) == F.lit(name)).createOrReplaceTempView(_view(name))
+    spark.catalog.cacheTable(_view(name), storage_level)
+    return spark.table(_view(name))
 
 
 def is_cached(spark: SparkSession, name: str) -> bool:
-    name = _check_name(name)
-    return _registered(spark, name) and spark.catalog.isCached(name)
+    return get(spark, name) is not None and spark.catalog.isCached(_view(name))
 
 
 def release(spark: SparkSession, name: str) -> bool:
-    """Uncache and unregister ``name``; False if it was not registered."""
-    name = _check_name(name)
-    if not _registered(spark, name):
+    """Unregister ``name`` and free its cache; False if it was not registered.
+    Other names keep theirs, whatever they stand for."""
+    if get(spark, name) is None:
         return False
-    spark.catalog.uncacheTable(name)
-    spark.catalog.dropTempView(name)
+    spark.catalog.uncacheTable(_view(name))
+    spark.catalog.dropTempView(_view(name))
     return True

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.functions.text import as_column, java_split, line_words, text_lines, text_words
-from lexicount.plans.partitioning import spread
+from lexicount.plans import repartitioned
 
 
 def non_empty(df: DataFrame, col: str = "word") -> DataFrame:
@@ -23,6 +23,7 @@ def words(
     keep_empty: bool = False,
     multiline: bool = False,
     keep: Iterable[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """One ``word`` row per space-separated piece of ``col``.
 
@@ -30,13 +31,11 @@ def words(
     whole texts and is first cut into lines with the text-reader rule.
     ``keep_empty=False`` (the default) drops empty words; ``True`` keeps them
     under the Java split rule (see ``java_split``). ``keep`` names columns
-    carried next to every word. Map-only apart from ``spread``, which moves a
-    small input onto all cores before it is tokenised.
+    carried next to every word. Map-only, unless ``partitions`` asks for a
+    round-robin exchange of the input first.
     """
     keep = list(keep)
-    # Spread the input, then evaluate ``col``: a computed column runs in
-    # parallel too, and Catalyst prunes the shuffle to the columns it reads.
-    src = spread(df, work="tokenize").select(*keep, as_column(col).alias("__text"))
+    src = repartitioned(df, partitions).select(*keep, as_column(col).alias("__text"))
     if not keep_empty:
         pieces = text_words("__text") if multiline else line_words("__text")
         return src.select(*keep, F.explode(pieces).alias("word"))

@@ -1,80 +1,23 @@
-"""Plans: the size-checked ``spread`` and plan inspection.
+"""Partitioning on request.
 
-``spread`` (partitioning.py) decides whether a small input is spread over all
-cores before its per-row work. The inspection helpers return what Catalyst
-chose for a DataFrame (plan text, node names, pushed filters, read schemas)
-for the plan tests: no ``Coalesce 1``, no Python, partial and final
-aggregates, ``TakeOrderedAndProject`` for top-n, filters pushed to parquet.
+No operator looks at sizes: a plan is the same for any amount of data, and the
+scan's own splits feed the work. Where a caller knows better (one file of one
+row group, say) ``partitions`` asks for a round-robin exchange, and it is
+applied whenever it is given.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
-
 from pyspark.sql import DataFrame
 
-from lexicount.plans.partitioning import (
-    SPREAD_MAX_BYTES_CONF,
-    SPREAD_MIN_BYTES_CONF,
-    estimated_bytes,
-    file_bytes,
-    spread,
-)
-
-
-def explain_text(df: DataFrame, mode: str = "formatted") -> str:
-    """``df.explain(mode)`` captured as a string."""
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
-    return buf.getvalue()
-
-
-def physical_plan(df: DataFrame) -> str:
-    """The executed (physical) plan tree as text, before AQE re-planning."""
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def optimized_plan(df: DataFrame) -> str:
-    """The optimized logical plan as text."""
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
-_NODE = re.compile(r"^[\s:+\-*|()0-9]*([A-Z][A-Za-z]+)")
-
-
-def node_names(df: DataFrame) -> list[str]:
-    """Physical operator names, top-down."""
-    names = []
-    for line in physical_plan(df).splitlines():
-        m = _NODE.match(line)
-        if m:
-            names.append(m.group(1))
-    return names
-
-
-def pushed_filters(df: DataFrame) -> list[str]:
-    """The ``PushedFilters`` lists of every file scan in the plan."""
-    return re.findall(r"PushedFilters: \[([^\]]*)\]", physical_plan(df))
-
 
-def read_schemas(df: DataFrame) -> list[str]:
-    """The ``ReadSchema`` of every file scan in the plan (column pruning)."""
-    return re.findall(r"ReadSchema: (struct<[^\n]*?>)(?:,|$|\s)", physical_plan(df))
+def repartitioned(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` in ``partitions`` partitions; None leaves it as it is."""
+    if partitions is None:
+        return df
+    if isinstance(partitions, bool) or not isinstance(partitions, int) or partitions < 1:
+        raise ValueError(f"partitions must be a positive int, got {partitions!r}")
+    return df.repartition(partitions)
 
 
-__all__ = [
-    "SPREAD_MAX_BYTES_CONF",
-    "SPREAD_MIN_BYTES_CONF",
-    "estimated_bytes",
-    "file_bytes",
-    "spread",
-    "explain_text",
-    "node_names",
-    "optimized_plan",
-    "physical_plan",
-    "pushed_filters",
-    "read_schemas",
-]
+__all__ = ["repartitioned"]

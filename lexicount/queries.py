@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicount.functions.text import text_words
 from lexicount.operators import (
     count_by_value,
     get_or_create,
@@ -22,6 +21,7 @@ from lexicount.operators import (
     line_counts,
     prefix_filter,
     rank_by_count,
+    release,
     scale,
     sum_of_squares,
     total,
@@ -29,7 +29,7 @@ from lexicount.operators import (
     word_lookup,
     word_lookup_sql,
 )
-from lexicount.sinks import fresh_path, pair_lines
+from lexicount.sinks import fresh_path, pair_lines, write_pairs_as_text
 from lexicount.sources import lines_from_column, lines_from_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,8 @@ LOOKUP_WORD = "the"
 LOOKUP_MISSING_WORD = "zzzz"
 LOOKUP_SQL_WORD = "of"
 HIT_RADIUS_SQ = 0.02
+# The reference's own disc has its centre at (1, 1).
+SHIFTED_RADIUS_SQ = 2.0
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +88,47 @@ def _edge_line(doc_id):
 
 
 def q_word_count_raw_edge(spark: SparkSession, d: str) -> DataFrame:
-    return word_count(_docs(spark, d), _edge_line(F.col("doc_id")), keep_empty=True)
+    # The bad line first, then the whole text, as one string.
+    edge = F.concat(_edge_line(F.col("doc_id")), F.col("text"))
+    return word_count(_docs(spark, d), edge, keep_empty=True)
+
+
+def _broken_text(doc_id, text):
+    # Every text with other line ends, by document: \r\n, a lone \r, mixed with
+    # a tab, a final break, trailing spaces; some rows empty, some NULL.
+    k = doc_id % 9
+    return (
+        F.when(k == 0, F.replace(text, F.lit("\n"), F.lit("\r\n")))
+        .when(k == 1, F.replace(text, F.lit("\n"), F.lit("\r")))
+        .when(k == 2, F.concat(F.replace(text, F.lit(". "), F.lit(".\t")), F.lit("\r\n")))
+        .when(k == 3, F.concat(text, F.lit("\n")))
+        .when(k == 4, F.concat(F.replace(text, F.lit("\n"), F.lit("  \n")), F.lit("   ")))
+        .when(k == 5, F.concat(text, F.lit("\n\r\n\n")))
+        .when(k == 6, F.concat(F.lit("\r"), F.replace(text, F.lit(". "), F.lit(".\n\r")), F.lit("\r")))
+        .when(k == 7, F.when(doc_id % 2 == 0, F.lit("")).otherwise(text))
+        .otherwise(F.when(doc_id % 2 == 0, text))
+    )
+
+
+def _broken(spark: SparkSession, d: str) -> DataFrame:
+    docs = _docs(spark, d)
+    return docs.select("doc_id", _broken_text(F.col("doc_id"), F.col("text")).alias("text"))
+
+
+def q_word_count_breaks(spark: SparkSession, d: str) -> DataFrame:
+    return word_count(_broken(spark, d), "text", multiline=True)
+
+
+def q_word_count_raw_breaks(spark: SparkSession, d: str) -> DataFrame:
+    return word_count(_broken(spark, d), "text", keep_empty=True, multiline=True)
+
+
+def q_line_counts_breaks(spark: SparkSession, d: str) -> DataFrame:
+    return line_counts(_broken(spark, d), "doc_id", "text")
+
+
+def q_word_lookup_breaks(spark: SparkSession, d: str) -> DataFrame:
+    return word_lookup(_broken(spark, d), LOOKUP_WORD, "text", multiline=True)
 
 
 def _spaced_text(text):
@@ -100,30 +142,20 @@ def q_word_count_raw_spaced(spark: SparkSession, d: str) -> DataFrame:
     return word_count(_docs(spark, d), _spaced_text(F.col("text")), keep_empty=True, multiline=True)
 
 
-_text_copies: dict[tuple[str, str], str] = {}
-
-
-def _written(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def q_text_file_word_count(spark: SparkSession, d: str) -> DataFrame:
+    # The texts written as a text file in the shared folder, anew for every
+    # call, and read back as lines.
+    path = fresh_path(spark, "documents-text")
+    _docs(spark, d).select("text").write.text(path)
+    return word_count(lines_from_text(spark, path))
 
 
-def _text_copy(spark: SparkSession, d: str) -> str:
-    """The document texts written as a text file in the shared folder: once per
-    application and data folder, rewritten only if the copy has gone."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"))
-    path = _text_copies.get(key)
-    if path is None or not _written(spark, path):
-        path = fresh_path(spark, "documents-text")
-        _docs(spark, d).select("text").write.text(path)
-        _text_copies[key] = path
-    return path
+def q_conversation_word_count(spark: SparkSession, d: str) -> DataFrame:
+    return word_count(table(spark, d, "conversations"), "text", multiline=True)
 
 
-def q_text_file_word_count(spark: SparkSession, d: str) -> DataFrame:
-    # The texts as a text file in the shared folder, read back as lines.
-    return word_count(lines_from_text(spark, _text_copy(spark, d)))
+def q_page_word_count(spark: SparkSession, d: str) -> DataFrame:
+    return word_count(table(spark, d, "pages"), "html", multiline=True)
 
 
 def q_line_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -151,6 +183,17 @@ def q_pair_lines(spark: SparkSession, d: str) -> DataFrame:
     return pair_lines(q_word_count(spark, d))
 
 
+def q_ranked_words(spark: SparkSession, d: str) -> DataFrame:
+    return rank_by_count(q_word_count(spark, d))
+
+
+def q_pair_lines_file(spark: SparkSession, d: str) -> DataFrame:
+    # Written as text in the shared folder, then read back.
+    path = fresh_path(spark, "pairs-text")
+    write_pairs_as_text(q_word_count(spark, d), path)
+    return lines_from_text(spark, path)
+
+
 def q_count_by_value(spark: SparkSession, d: str) -> DataFrame:
     return count_by_value(table(spark, d, "events"), "event_type")
 
@@ -176,12 +219,18 @@ def q_sum_of_squares(spark: SparkSession, d: str) -> DataFrame:
     return sum_of_squares(_lineitem(spark, d), "l_linenumber")
 
 
-def q_hit_ratio(spark: SparkSession, d: str) -> DataFrame:
+def _in_disc(centre: float, radius_sq: float):
     emb = F.col("embedding")
-    x = F.try_element_at(emb, F.lit(1)).cast("double")
-    y = F.try_element_at(emb, F.lit(2)).cast("double")
-    inside = F.pow(x, 2) + F.pow(y, 2) <= F.lit(HIT_RADIUS_SQ)
-    return hit_ratio(table(spark, d, "embeddings"), inside, k=HIT_FACTOR)
+    x, y = (F.try_element_at(emb, F.lit(i)).cast("double") - F.lit(centre) for i in (1, 2))
+    return x * x + y * y <= F.lit(radius_sq)
+
+
+def q_hit_ratio(spark: SparkSession, d: str) -> DataFrame:
+    return hit_ratio(table(spark, d, "embeddings"), _in_disc(0.0, HIT_RADIUS_SQ), k=HIT_FACTOR)
+
+
+def q_hit_ratio_shifted(spark: SparkSession, d: str) -> DataFrame:
+    return hit_ratio(table(spark, d, "embeddings"), _in_disc(1.0, SHIFTED_RADIUS_SQ), k=HIT_FACTOR)
 
 
 def q_prefix_filter(spark: SparkSession, d: str) -> DataFrame:
@@ -189,22 +238,35 @@ def q_prefix_filter(spark: SparkSession, d: str) -> DataFrame:
     return prefix_filter(part, "p_name", PREFIX)
 
 
-def q_named_dataset_total(spark: SparkSession, d: str) -> DataFrame:
+def _dataset_name(d: str) -> str:
     # The name identifies the data (table and folder), so a second call over
     # the same folder reuses the cached dataset and another folder gets its own.
-    digest = hashlib.sha1(d.rstrip("/").encode()).hexdigest()[:12]
-    name = f"lineitem_linenumber_{digest}"
+    return f"lineitem_linenumber_{hashlib.sha1(d.rstrip('/').encode()).hexdigest()[:12]}"
+
+
+def q_named_dataset_total(spark: SparkSession, d: str) -> DataFrame:
     numbers = get_or_create(
-        spark, name, lambda: _lineitem(spark, d).select("l_linenumber")
+        spark, _dataset_name(d), lambda: _lineitem(spark, d).select("l_linenumber")
     )
     return total(numbers, "l_linenumber")
 
 
+def release_named_dataset(spark: SparkSession, d: str) -> bool:
+    """Free what ``q_named_dataset_total`` has cached for the folder."""
+    return release(spark, _dataset_name(d))
+
+
 QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "line_word_count": q_line_word_count,
     "word_count_raw": q_word_count_raw,
     "word_count_raw_edge": q_word_count_raw_edge,
+    "word_count_breaks": q_word_count_breaks,
+    "word_count_raw_breaks": q_word_count_raw_breaks,
+    "line_counts_breaks": q_line_counts_breaks,
+    "word_lookup_breaks": q_word_lookup_breaks,
+    "conversation_word_count": q_conversation_word_count,
+    "page_word_count": q_page_word_count,
     "string_word_count": q_string_word_count,
     "word_count_raw_spaced": q_word_count_raw_spaced,
     "text_file_word_count": q_text_file_word_count,
@@ -213,13 +275,16 @@ QUERIES: dict[str, Query] = {
     "word_lookup_missing": q_word_lookup_missing,
     "word_lookup_sql": q_word_lookup_sql,
     "top_words": q_top_words,
+    "ranked_words": q_ranked_words,
     "pair_lines": q_pair_lines,
+    "pair_lines_file": q_pair_lines_file,
     "count_by_value": q_count_by_value,
     "doubled": q_doubled,
     "total": q_total,
     "total_doubled": q_total_doubled,
     "sum_of_squares": q_sum_of_squares,
     "hit_ratio": q_hit_ratio,
+    "hit_ratio_shifted": q_hit_ratio_shifted,
     "prefix_filter": q_prefix_filter,
     "named_dataset_total": q_named_dataset_total,
 }
@@ -255,11 +320,15 @@ def _words(src: str = "documents", text: str = "text") -> str:
     return f"SELECT unnest(string_split(value,' ')) AS word FROM ({_lines(src, text)})"
 
 
-_WORD_COUNT = f"SELECT word, count(*) AS count FROM ({_words()}) WHERE word<>'' GROUP BY word"
+def _word_count(src: str = "documents", text: str = "text") -> str:
+    return f"SELECT word, count(*) AS count FROM ({_words(src, text)}) WHERE word<>'' GROUP BY word"
+
+
+_WORD_COUNT = _word_count()
 
 _EDGE = (
     "SELECT CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN 'a b ' "
-    "WHEN 3 THEN '  a  b  ' WHEN 4 THEN concat('a',chr(9),'b') ELSE 'a  b' END AS value "
+    "WHEN 3 THEN '  a  b  ' WHEN 4 THEN concat('a',chr(9),'b') ELSE 'a  b' END || text AS value "
     "FROM documents"
 )
 
@@ -269,8 +338,43 @@ _SPACED = (
 )
 
 
-def _lookup(word: str) -> str:
-    return f"SELECT '{word}' AS word, count(*) AS count FROM ({_words()}) WHERE word='{word}'"
+_BROKEN = (
+    "(SELECT doc_id, CASE doc_id % 9 "
+    "WHEN 0 THEN replace(text, chr(10), chr(13)||chr(10)) "
+    "WHEN 1 THEN replace(text, chr(10), chr(13)) "
+    "WHEN 2 THEN replace(text, '. ', '.'||chr(9)) || chr(13)||chr(10) "
+    "WHEN 3 THEN text || chr(10) "
+    "WHEN 4 THEN replace(text, chr(10), '  '||chr(10)) || '   ' "
+    "WHEN 5 THEN text || chr(10)||chr(13)||chr(10)||chr(10) "
+    "WHEN 6 THEN chr(13) || replace(text, '. ', '.'||chr(10)||chr(13)) || chr(13) "
+    "WHEN 7 THEN CASE WHEN doc_id % 2 = 0 THEN '' ELSE text END "
+    "ELSE CASE WHEN doc_id % 2 = 0 THEN text END END AS text FROM documents)"
+)
+
+
+def _lookup(word: str, src: str = "documents") -> str:
+    return f"SELECT '{word}' AS word, count(*) AS count FROM ({_words(src)}) WHERE word='{word}'"
+
+
+def _line_counts(src: str = "documents") -> str:
+    return (
+        f"SELECT doc_id, count(*) AS n_lines FROM (SELECT doc_id, "
+        f"unnest({_line_array('text')}) AS value FROM {src}) GROUP BY doc_id"
+    )
+
+
+def _hit_ratio(centre: float, radius_sq: float) -> str:
+    x, y = (f"(CAST(embedding[{i}] AS DOUBLE)-{centre!r})" for i in (1, 2))
+    return (
+        f"SELECT hit, total, CASE WHEN total=0 THEN NULL ELSE CAST({HIT_FACTOR!r} AS DOUBLE)*hit/total END "
+        "AS ratio FROM (SELECT CAST(count_if(h) AS BIGINT) AS hit, count(*) AS total FROM (SELECT "
+        f"{x}*{x}+{y}*{y}<={radius_sq!r} AS h FROM embeddings))"
+    )
+
+
+_PAIR_LINES = (
+    f"SELECT concat(word, ': ', count(*)) AS value FROM ({_words()}) WHERE word<>'' GROUP BY word"
+)
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -284,6 +388,15 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT word, count(*) AS count FROM (SELECT {_java_words('value')} AS word "
         f"FROM ({_EDGE})) GROUP BY word"
     ),
+    "word_count_breaks": _word_count(_BROKEN),
+    "word_count_raw_breaks": (
+        f"SELECT word, count(*) AS count FROM (SELECT {_java_words('value')} AS word "
+        f"FROM ({_lines(_BROKEN)})) GROUP BY word"
+    ),
+    "line_counts_breaks": _line_counts(_BROKEN),
+    "word_lookup_breaks": _lookup(LOOKUP_WORD, _BROKEN),
+    "conversation_word_count": _word_count("conversations"),
+    "page_word_count": _word_count("pages", "html"),
     "string_word_count": (
         f"SELECT word, count(*) AS count FROM (SELECT {_java_words('text')} AS word "
         f"FROM documents) GROUP BY word"
@@ -293,17 +406,14 @@ ORACLE_SQL: dict[str, str] = {
         f"FROM ({_lines('(' + _SPACED + ')')})) GROUP BY word"
     ),
     "text_file_word_count": _WORD_COUNT,
-    "line_counts": (
-        f"SELECT doc_id, count(*) AS n_lines FROM (SELECT doc_id, "
-        f"unnest({_line_array('text')}) AS value FROM documents) GROUP BY doc_id"
-    ),
+    "line_counts": _line_counts(),
     "word_lookup": _lookup(LOOKUP_WORD),
     "word_lookup_missing": _lookup(LOOKUP_MISSING_WORD),
     "word_lookup_sql": _lookup(LOOKUP_SQL_WORD),
     "top_words": f"{_WORD_COUNT} ORDER BY count DESC, word LIMIT {TOP_N}",
-    "pair_lines": (
-        f"SELECT concat(word, ': ', count(*)) AS value FROM ({_words()}) WHERE word<>'' GROUP BY word"
-    ),
+    "ranked_words": f"{_WORD_COUNT} ORDER BY count DESC, word",
+    "pair_lines": _PAIR_LINES,
+    "pair_lines_file": _PAIR_LINES,
     "count_by_value": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
     "doubled": "SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS BIGINT)*2 AS doubled FROM lineitem",
     "total": "SELECT CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem",
@@ -311,23 +421,11 @@ ORACLE_SQL: dict[str, str] = {
     "sum_of_squares": (
         "SELECT CAST(sum(CAST(l_linenumber AS BIGINT)*l_linenumber) AS BIGINT) AS sum_sq FROM lineitem"
     ),
-    "hit_ratio": (
-        f"SELECT hit, total, CASE WHEN total=0 THEN NULL ELSE CAST({HIT_FACTOR!r} AS DOUBLE)*hit/total END "
-        "AS ratio FROM (SELECT CAST(count_if(h) AS BIGINT) AS hit, count(*) AS total FROM (SELECT "
-        f"pow(CAST(embedding[1] AS DOUBLE),2)+pow(CAST(embedding[2] AS DOUBLE),2)<={HIT_RADIUS_SQ!r} AS h "
-        "FROM embeddings))"
-    ),
+    "hit_ratio": _hit_ratio(0.0, HIT_RADIUS_SQ),
+    "hit_ratio_shifted": _hit_ratio(1.0, SHIFTED_RADIUS_SQ),
     "prefix_filter": f"SELECT p_partkey, p_name FROM part WHERE starts_with(p_name,'{PREFIX}')",
     "named_dataset_total": "SELECT CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem",
 }
 
 if set(ORACLE_SQL) != set(QUERIES):
     raise RuntimeError(f"queries without oracle SQL or the reverse: {set(ORACLE_SQL) ^ set(QUERIES)}")
-
-
-# Reference-shaped variant kept for the benchmark only: words taken straight
-# off the scan and forced into one partition before the group-by, as the
-# reference does (no spread, no parallel aggregation).
-def word_count_single_partition(spark: SparkSession, d: str) -> DataFrame:
-    w = _docs(spark, d).select(F.explode(text_words("text")).alias("word")).coalesce(1)
-    return w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexicount._checks import natural
+
 
 def pair_lines(counts: DataFrame) -> DataFrame:
     """``value = '<word>: <count>'`` per row of a word-count table."""
@@ -24,16 +26,15 @@ def write_pairs_as_text(counts: DataFrame, path: str, mode: str = "errorifexists
     pair_lines(counts).write.mode(mode).text(path)
 
 
-def to_dict(counts: DataFrame, max_rows: int = 10_000, key: str = "word", value: str = "count") -> dict:
+def to_dict(counts: DataFrame, max_rows: int, key: str = "word", value: str = "count") -> dict:
     """A small result as a ``{key: value}`` dict on the driver (the reference's
     result map), refusing anything larger than ``max_rows``.
 
     Only ``max_rows + 1`` rows are ever fetched, so an unexpectedly large
     result fails fast instead of filling driver memory. For large results keep
-    the DataFrame, or rank first: ``to_dict(rank_by_count(counts, n))``.
+    the DataFrame, or rank first: ``to_dict(rank_by_count(counts, n), n)``.
     """
-    if isinstance(max_rows, bool) or not isinstance(max_rows, int) or max_rows < 0:
-        raise ValueError(f"max_rows must be a non-negative int, got {max_rows!r}")
+    max_rows = natural(max_rows, "max_rows")
     rows = counts.select(key, value).limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; keep it as a DataFrame")

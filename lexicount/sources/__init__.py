@@ -1,6 +1,6 @@
 """Sources: text files, string columns, literals and parquet tables."""
 
-from lexicount.sources.tables import parquet, refresh, table
+from lexicount.sources.tables import parquet, table
 from lexicount.sources.text import (
     lines_from_column,
     lines_from_literal,
@@ -13,7 +13,6 @@ __all__ = [
     "lines_from_literal",
     "lines_from_text",
     "parquet",
-    "refresh",
     "table",
     "values",
 ]

@@ -1,49 +1,19 @@
 """Parquet tables laid out as ``<dir>/<name>.parquet``.
 
-The schema of each path is inferred once per Spark application and then
-given to the reader, which skips the footer-reading job that inference runs
-on every ``spark.read.parquet`` call. Files are still listed on every read,
-so new files under a path are seen. As with a catalog table, a schema that
-changes in place needs ``refresh(path)``.
+Nothing is remembered between reads: files are listed and the schema is
+inferred every time, so a table that was overwritten is read as it is now.
 """
 
 from __future__ import annotations
 
 import os
-import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
-
-_lock = threading.Lock()
-_schemas: dict[tuple[str, str], StructType] = {}
-
-
-def _key(spark: SparkSession, path: str) -> tuple[str, str]:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - remote session: key by the session object
-        app = f"session-{id(spark)}"
-    return (app, path)
 
 
 def parquet(spark: SparkSession, path: str) -> DataFrame:
     """Lazy parquet scan; column pruning and filter pushdown reach the reader."""
-    key = _key(spark, path)
-    with _lock:
-        schema = _schemas.get(key)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    with _lock:
-        _schemas[key] = df.schema
-    return df
-
-
-def refresh(spark: SparkSession, path: str) -> None:
-    """Forget the remembered schema of ``path``; the next read infers it again."""
-    with _lock:
-        _schemas.pop(_key(spark, path), None)
+    return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from lexicount.functions.text import as_column, text_lines
-from lexicount.plans.partitioning import spread
+from lexicount.plans import repartitioned
 
 
 def lines_from_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -31,16 +31,19 @@ def lines_from_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
 
 
 def lines_from_column(
-    df: DataFrame, col: str | Column = "text", keep: Iterable[str] = ()
+    df: DataFrame,
+    col: str | Column = "text",
+    keep: Iterable[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per line of a string column, same rule as ``lines_from_text``.
 
     ``keep`` lists columns carried next to every line (for example a
-    document id). NULL and ``''`` give no rows. Map-only, apart from
-    ``spread`` for a small input.
+    document id). NULL and ``''`` give no rows. Map-only, unless
+    ``partitions`` asks for a round-robin exchange of the input first.
     """
     keep = list(keep)
-    src = spread(df, work="tokenize").select(*keep, as_column(col).alias("__text"))
+    src = repartitioned(df, partitions).select(*keep, as_column(col).alias("__text"))
     return src.select(*keep, F.explode(text_lines("__text")).alias("value"))
 
 

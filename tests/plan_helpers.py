@@ -1,0 +1,51 @@
+"""What Catalyst chose for a DataFrame: plan text, node names, pushed filters,
+read schemas. Used by the plan tests only."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+from pyspark.sql import DataFrame
+
+
+def explain_text(df: DataFrame, mode: str = "formatted") -> str:
+    """``df.explain(mode)`` captured as a string."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
+def physical_plan(df: DataFrame) -> str:
+    """The executed (physical) plan tree as text, before AQE re-planning."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized_plan(df: DataFrame) -> str:
+    """The optimized logical plan as text."""
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+_NODE = re.compile(r"^[\s:+\-*|()0-9]*([A-Z][A-Za-z]+)")
+
+
+def node_names(df: DataFrame) -> list[str]:
+    """Physical operator names, top-down."""
+    names = []
+    for line in physical_plan(df).splitlines():
+        m = _NODE.match(line)
+        if m:
+            names.append(m.group(1))
+    return names
+
+
+def pushed_filters(df: DataFrame) -> list[str]:
+    """The ``PushedFilters`` lists of every file scan in the plan."""
+    return re.findall(r"PushedFilters: \[([^\]]*)\]", physical_plan(df))
+
+
+def read_schemas(df: DataFrame) -> list[str]:
+    """The ``ReadSchema`` of every file scan in the plan (column pruning)."""
+    return re.findall(r"ReadSchema: (struct<[^\n]*?>)(?:,|$|\s)", physical_plan(df))

@@ -58,22 +58,23 @@ def test_line_counts_brute_force(spark, batch):
     assert got == dict(want)
 
 
-def test_spread_does_not_change_results(spark):
+def test_partitions_do_not_change_results(spark):
     from conftest import SF_SMALL
-    from lexicount import table
+    from lexicount import table, words
 
     docs = table(spark, SF_SMALL, "documents")
-    spark.conf.set("lexicount.spread.minBytes", "0")  # spread even this small input
-    try:
-        spread_on = {r.word: r["count"] for r in word_count(docs, "text", keep_empty=True, multiline=True).collect()}
-    finally:
-        spark.conf.unset("lexicount.spread.minBytes")
-    spark.conf.set("lexicount.spread.maxBytes", "0")
-    try:
-        spread_off = {r.word: r["count"] for r in word_count(docs, "text", keep_empty=True, multiline=True).collect()}
-    finally:
-        spark.conf.unset("lexicount.spread.maxBytes")
-    assert spread_on == spread_off and len(spread_on) > 1000
+    one, many = (
+        sorted(words(docs, "text", keep_empty=True, multiline=True, partitions=n).groupBy("word").count().collect())
+        for n in (None, 7)
+    )
+    assert one == many and len(one) > 1000
+
+
+def test_non_empty_drops_empty_and_null_words(spark):
+    from lexicount import non_empty
+
+    df = spark.createDataFrame([("a",), ("",), (None,), (" ",)], "word string")
+    assert [r.word for r in non_empty(df).collect()] == ["a", " "]
 
 
 def test_lookup_agrees_with_word_count_on_real_text(spark):

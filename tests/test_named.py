@@ -2,7 +2,7 @@
 
 import pytest
 
-from lexicount import get, get_or_create, is_cached, release, sum_of_squares
+from lexicount import get, get_or_create, is_cached, names, release, sum_of_squares, word_lookup_sql
 
 
 def test_get_or_create_builds_once(spark):
@@ -34,3 +34,33 @@ def test_bad_name(spark):
         get_or_create(spark, "a b", lambda: spark.range(1))
     with pytest.raises(ValueError):
         get_or_create(spark, "not_a_df", lambda: 1)
+
+
+def test_release_keeps_other_names_of_the_same_plan(spark):
+    for name in ("na", "nb"):
+        get_or_create(spark, name, lambda: spark.range(5))
+    assert {"na", "nb"} <= set(names(spark))
+    assert release(spark, "na")
+    assert is_cached(spark, "nb") and "na" not in names(spark)
+    assert release(spark, "nb")
+    assert not {"na", "nb"} & set(names(spark))
+
+
+def test_lookup_and_names_leave_user_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("wordcount")
+    get_or_create(spark, "wordcount", lambda: spark.range(7))
+    counts = spark.createDataFrame([("a", 2)], "word string, count bigint")
+    assert [tuple(r) for r in word_lookup_sql(spark, counts, "a").collect()] == [("a", 2)]
+    assert get(spark, "wordcount").count() == 7
+    assert spark.table("wordcount").count() == 3
+    assert release(spark, "wordcount")
+    assert spark.table("wordcount").count() == 3
+    spark.catalog.dropTempView("wordcount")
+
+
+def test_identity_of_cached_data(spark):
+    """The same name gives the same cached data, another name its own."""
+    a = get_or_create(spark, "one", lambda: spark.range(4))
+    b = get_or_create(spark, "two", lambda: spark.range(9))
+    assert get(spark, "one").sameSemantics(a) and not a.sameSemantics(b)
+    assert release(spark, "one") and release(spark, "two")

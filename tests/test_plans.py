@@ -4,8 +4,9 @@ import pytest
 
 from conftest import SF_ORACLE
 from lexicount import table, word_count
-from lexicount.plans import estimated_bytes, node_names, physical_plan, pushed_filters, read_schemas, spread
+from lexicount.plans import repartitioned
 from lexicount.queries import QUERIES
+from plan_helpers import node_names, physical_plan, pushed_filters, read_schemas
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
@@ -73,118 +74,74 @@ def test_numeric_queries_prune_columns(spark):
     assert read_schemas(QUERIES["count_by_value"](spark, SF_ORACLE)) == ["struct<event_type:string>"]
 
 
-def test_spread_only_small_inputs(spark):
-    docs = table(spark, SF_ORACLE, "documents").select("text")
-    assert estimated_bytes(docs) is not None
-    small = physical_plan(spread(docs, partitions=8, min_bytes=0))
-    assert "RoundRobinPartitioning(8)" in small
-    big = physical_plan(spread(docs, partitions=8, max_bytes=0, min_bytes=0))
-    assert "RoundRobinPartitioning" not in big
-    # Spreading twice adds no second shuffle.
-    twice = physical_plan(spread(spread(docs, partitions=8, min_bytes=0), partitions=8, min_bytes=0))
-    assert twice.count("RoundRobinPartitioning") == 1
+TOKENISING = [
+    "word_count", "line_word_count", "word_count_raw", "string_word_count", "word_lookup", "line_counts",
+    "word_count_breaks", "conversation_word_count", "page_word_count",
+]
 
 
-def test_word_count_large_input_not_shuffled_raw(spark):
-    spark.conf.set("lexicount.spread.maxBytes", "0")
-    try:
-        plan = physical_plan(word_count(table(spark, SF_ORACLE, "documents"), "text", multiline=True))
-    finally:
-        spark.conf.unset("lexicount.spread.maxBytes")
-    assert "RoundRobinPartitioning" not in plan
-    assert plan.count("Exchange") == 1
+def _shape(df):
+    """The plan without paths, ids and partition counts."""
+    import re
 
+    plan = re.sub(r"Location: [^\n]*?\], ", "", physical_plan(df))
+    return re.sub(r"#\d+L?|plan_id=\d+|sf0\.\d+", "", plan)
 
-def test_split_text_input_not_spread_again(spark, scratch):
-    import os
 
-    from lexicount import lines_from_text
+@pytest.mark.parametrize("name", TOKENISING)
+def test_plan_does_not_follow_the_size(spark, name):
+    from conftest import SF_SMALL
 
-    path = os.path.join(scratch, "t")
-    table(spark, SF_ORACLE, "documents").select("text").repartition(8).write.text(path)
-    lines = lines_from_text(spark, path)
-    assert lines.rdd.getNumPartitions() >= 8
-    assert "RoundRobinPartitioning" not in physical_plan(spread(lines, partitions=8, min_bytes=0))
-    assert "RoundRobinPartitioning(64)" in physical_plan(spread(lines, partitions=64, min_bytes=0))
+    small, large = (_shape(QUERIES[name](spark, d)) for d in (SF_SMALL, "/root/testdata/sf0.1"))
+    assert small == large
 
 
-def test_large_input_path_uses_scan_splits(spark, scratch):
-    """At scale the input comes as many files/row groups: no spread, same answer."""
-    import os
-
-    from lexicount.sources import parquet
+def test_no_round_robin_unless_asked(spark, plans):
+    for name, plan in plans.items():
+        assert "RoundRobinPartitioning" not in plan, name
+    docs = table(spark, SF_ORACLE, "documents")
+    asked = word_count(words_of(docs), "word")
+    assert "RoundRobinPartitioning(3)" in physical_plan(asked)
+    with pytest.raises(ValueError):
+        repartitioned(docs, 0)
 
-    path = os.path.join(scratch, "docs.parquet")
-    table(spark, SF_ORACLE, "documents").repartition(8).write.parquet(path)
-    many = parquet(spark, path)
-    small = word_count(table(spark, SF_ORACLE, "documents"), "text", multiline=True)
-    spark.conf.set("lexicount.spread.maxBytes", "0")
-    try:
-        big = word_count(many, "text", multiline=True)
-        plan = physical_plan(big)
-        got = {r.word: r["count"] for r in big.collect()}
-    finally:
-        spark.conf.unset("lexicount.spread.maxBytes")
-    assert "RoundRobinPartitioning" not in plan and plan.count("Exchange") == 1
-    assert many.rdd.getNumPartitions() >= 4
-    assert got == {r.word: r["count"] for r in small.collect()}
 
+def words_of(docs):
+    from lexicount import words
 
-def test_coalesce_is_not_a_spread(spark):
-    one = spark.range(0, 1000, 1, 1).coalesce(8)
-    assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8, min_bytes=0))
+    return words(docs, "text", multiline=True, partitions=3)
 
 
-def test_tiny_in_memory_input_not_spread(spark):
-    from lexicount import lines_from_literal, word_count
+def test_full_ranking_is_range_partitioned(spark):
+    names = node_names(QUERIES["ranked_words"](spark, SF_ORACLE))
+    assert "TakeOrderedAndProject" not in names and "Sort" in names
+    assert "rangepartitioning(count" in physical_plan(QUERIES["ranked_words"](spark, SF_ORACLE))
+    rows = QUERIES["ranked_words"](spark, SF_ORACLE).collect()
+    assert rows == sorted(rows, key=lambda r: (-r["count"], r.word))
 
-    plan = physical_plan(word_count(lines_from_literal(spark, "a b a"), keep_empty=True))
-    assert "RoundRobinPartitioning" not in plan
 
+def test_break_queries_read_the_text(spark):
+    for name in ("word_count_breaks", "word_count_raw_breaks", "line_counts_breaks", "word_lookup_breaks", "word_count_raw_edge"):
+        assert all("text:string" in s for s in read_schemas(QUERIES[name](spark, SF_ORACLE))), name
 
-def test_size_settings_parse_like_spark():
-    from lexicount.plans.partitioning import _parse_size
 
-    assert _parse_size("4194304b") == _parse_size("4m") == _parse_size("4MB") == 4 << 20
-    assert _parse_size("512KiB") == 512 << 10 and _parse_size("1tb") == 1 << 40
+def test_line_counts_shuffles_numbers_only(spark):
+    df = QUERIES["line_counts"](spark, SF_ORACLE)
+    exchange = next(x for x in physical_plan(df).splitlines() if "Exchange" in x)
+    assert "doc_id" in exchange and physical_plan(df).count("Exchange") == 1
 
 
-def test_parquet_spread_counts_files_not_splits(spark, scratch):
-    """One file with one row group is spread however many splits it plans;
-    many files that fill the slots are not."""
+def test_many_files_same_counts(spark, scratch):
+    """Many files give many scan tasks, one exchange and the same answer."""
     import os
 
     from lexicount.sources import parquet
 
-    path = os.path.join(scratch, "many.parquet")
-    table(spark, SF_ORACLE, "documents").select("text").repartition(8).write.parquet(path)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
-    try:
-        one = table(spark, SF_ORACLE, "documents").select("text")
-        assert one.rdd.getNumPartitions() >= 8  # many planned splits, one row group
-        assert "RoundRobinPartitioning(8)" in physical_plan(spread(one, partitions=8, min_bytes=0))
-        many = parquet(spark, path)
-        assert len(many.inputFiles()) == 8
-        assert "RoundRobinPartitioning" not in physical_plan(spread(many, partitions=8, min_bytes=0))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def test_tiny_files_are_not_spread(spark):
-    """Below the floor one task beats a shuffle stage; the floor is lower for
-    tokenising (heavy per byte) than for light scans."""
-    from conftest import SF_SMALL
-
-    from lexicount.plans import file_bytes
-
-    mid = table(spark, SF_ORACLE, "documents").select("text")  # ~1.4 MB of files
-    tiny = table(spark, SF_SMALL, "documents").select("text")  # ~0.3 MB
-    assert 1 << 20 < file_bytes(mid) < 4 << 20
-    assert "RoundRobinPartitioning" in physical_plan(spread(mid, partitions=8, work="tokenize"))
-    assert "RoundRobinPartitioning" not in physical_plan(spread(mid, partitions=8, work="scan"))
-    assert "RoundRobinPartitioning" not in physical_plan(spread(tiny, partitions=8, work="tokenize"))
-    spark.conf.set("lexicount.spread.minBytes", "0")
-    try:
-        assert "RoundRobinPartitioning" in physical_plan(spread(tiny, partitions=8, work="scan"))
-    finally:
-        spark.conf.unset("lexicount.spread.minBytes")
+    path = os.path.join(scratch, "docs.parquet")
+    table(spark, SF_ORACLE, "documents").repartition(8).write.parquet(path)
+    many = parquet(spark, path)
+    small = word_count(table(spark, SF_ORACLE, "documents"), "text", multiline=True)
+    big = word_count(many, "text", multiline=True)
+    assert physical_plan(big).count("Exchange") == 1
+    assert many.rdd.getNumPartitions() >= 4
+    assert sorted(big.collect()) == sorted(small.collect())

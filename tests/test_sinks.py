@@ -35,16 +35,20 @@ def test_shared_dir_is_session_setting(spark):
     assert p1 != p2 and p1.startswith(configured.rstrip("/") + "/")
 
 
-def test_table_schema_remembered(spark, scratch):
-    from lexicount.sources import parquet, refresh
-
-    path = os.path.join(scratch, "t.parquet")
-    spark.range(3).write.parquet(path)
-    assert parquet(spark, path).columns == ["id"]
-    assert parquet(spark, path).count() == 3
-    spark.range(3).selectExpr("id", "id * 2 AS y").write.mode("overwrite").parquet(path)
-    refresh(spark, path)
-    assert parquet(spark, path).columns == ["id", "y"]
+def test_overwritten_table_is_read_anew(spark, scratch):
+    from lexicount import table
+    from lexicount.queries import QUERIES
+
+    path = os.path.join(scratch, "documents.parquet")
+    spark.createDataFrame([(1, "old old")], "doc_id long, text string").write.parquet(path)
+    assert [tuple(r) for r in QUERIES["word_count"](spark, scratch).collect()] == [("old", 2)]
+    assert [tuple(r) for r in QUERIES["text_file_word_count"](spark, scratch).collect()] == [("old", 2)]
+    spark.createDataFrame([(1, "new words", 3)], "doc_id long, text string, more int").write.mode("overwrite").parquet(path)
+    assert table(spark, scratch, "documents").columns == ["doc_id", "text", "more"]
+    for name in ("word_count", "text_file_word_count"):
+        assert sorted(tuple(r) for r in QUERIES[name](spark, scratch).collect()) == [("new", 1), ("words", 1)], name
+    spark.createDataFrame([("moved",)], "body string").write.mode("overwrite").parquet(path)
+    assert table(spark, scratch, "documents").columns == ["body"]
 
 
 def test_shared_dir_required_on_cluster():
@@ -73,23 +77,13 @@ def test_shared_dir_required_on_cluster():
         shared_dir(Session())
 
 
-def test_text_copy_written_once_per_folder(spark):
-    from conftest import SF_SMALL
-    from lexicount.queries import _text_copy, q_text_file_word_count
-
-    first = _text_copy(spark, SF_SMALL)
-    assert _text_copy(spark, SF_SMALL + "/") == first
-    assert first.startswith(shared_dir(spark).rstrip("/") + "/")
-    assert q_text_file_word_count(spark, SF_SMALL).count() > 1000
-
-
 def test_to_dict_bounded(spark, wordcount_file):
     import pytest
 
     from lexicount import rank_by_count, to_dict
 
     counts = word_count(lines_from_text(spark, wordcount_file))
-    assert to_dict(counts) == {"A": 3, "B": 2, "C": 2, "D": 2}
+    assert to_dict(counts, 10) == {"A": 3, "B": 2, "C": 2, "D": 2}
     assert to_dict(rank_by_count(counts, 1), max_rows=1) == {"A": 3}
     with pytest.raises(ValueError):
         to_dict(counts, max_rows=3)
@@ -97,4 +91,8 @@ def test_to_dict_bounded(spark, wordcount_file):
         to_dict(counts, max_rows=-1)
     dup = spark.createDataFrame([("a", 1), ("a", 2)], "word string, count bigint")
     with pytest.raises(ValueError):
-        to_dict(dup)
+        to_dict(dup, 10)
+    with pytest.raises(ValueError):
+        to_dict(counts, True)
+    with pytest.raises(ValueError):
+        rank_by_count(counts, True)
