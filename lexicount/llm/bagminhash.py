@@ -13,8 +13,11 @@ probability sum(min)/sum(max), the weighted Jaccard similarity. Points are
 made for a time window that is doubled until every register is filled, so a
 long text makes few points per shingle.
 
-Signatures are cut into bands; texts that share a band are candidates, and
-every candidate is verified by the exact multiset overlap of its shingles.
+Signatures are cut into bands; texts that share a band are candidates unless
+their sizes, or their sketches (four bits of every register, compared inside
+the join), put them below the similarity, the latter by ``MARGIN`` standard
+errors; every candidate is verified by the exact multiset overlap of its
+shingles. So texts that are merely related meet in a band, but make no rows.
 Classes are the connected components of the verified links. Within a band
 bucket no pairs are made between texts that already share a class: rounds of
 star-shaped candidates (each text against one leader of the bucket) are
@@ -28,10 +31,12 @@ counts as empty. Exact copies are one text before anything is compared.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
@@ -41,6 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 STAR_ROUNDS = 2
+#: Standard errors by which a sketch may fall short of the similarity.
+MARGIN = 4.0
 _U = w.U64
 
 
@@ -136,6 +143,31 @@ def signatures(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int, m:
     return sig
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """``(n, words)`` int64: four bits of every register, sixteen to a word."""
+    n, m = sig.shape
+    bits = np.zeros((n, -(-m // 16) * 16), dtype=np.uint8)
+    bits[:, :m] = (w.keyed(sig, 18) & _U(15)).astype(np.uint8)
+    return np.ascontiguousarray(bits[:, ::2] | (bits[:, 1::2] << 4)).view("<i8")
+
+
+def most_unequal(similarity: float, m: int) -> int:
+    """Registers of ``m`` that may differ in the sketches of similar texts."""
+    p = similarity + (1 - similarity) / 16
+    return int(m * (1 - p) + MARGIN * math.sqrt(m * p * (1 - p)))
+
+
+def _unequal(a: list[str], b: list[str]) -> Column:
+    """How many registers differ in two sketches."""
+    total = F.lit(0)
+    for x, y in zip(a, b, strict=True):
+        d = F.col(x).bitwiseXOR(F.col(y))
+        d = d.bitwiseOR(F.shiftright(d, 1))
+        d = d.bitwiseOR(F.shiftright(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + F.bit_count(d)
+    return total
+
+
 def _sign(bands: int, rows: int):
     def run(batches: Batches) -> Batches:
         for b in batches:
@@ -155,9 +187,13 @@ def _sign(bands: int, rows: int):
                 lists = pa.ListArray.from_arrays(
                     pa.array(off, pa.int32()), pa.array(key[has].reshape(-1).view(np.int64))
                 )
+                brief = sketches(sig)
+                wide = pa.ListArray.from_arrays(
+                    pa.array(np.arange(t.n + 1) * brief.shape[1], pa.int32()), pa.array(brief.reshape(-1))
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(i, j - i), b.column("tkey").slice(i, j - i), pa.array(size), lists],
-                    ["doc_id", "tkey", "n_shingles", "bands"],
+                    [b.column("doc_id").slice(i, j - i), b.column("tkey").slice(i, j - i), pa.array(size), lists, wide],
+                    ["doc_id", "tkey", "n_shingles", "bands", "sketch"],
                 )
 
     return run
@@ -235,20 +271,28 @@ def classes(
     ids = pick(docs, doc_id=doc_id, text=text).select(
         F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("tkey")
     )
-    signed = written(map_arrow(ids, _sign(bands, rows), "doc_id long, tkey binary, n_shingles long, bands array<long>"), "bag-signatures")
+    signed = written(map_arrow(ids, _sign(bands, rows), "doc_id long, tkey binary, n_shingles long, bands array<long>, sketch array<long>"), "bag-signatures")
     # A text stands for its copies under a 63-bit number drawn from its key.
     number = F.xxhash64("tkey")
     reps = written(
         signed.groupBy("tkey").agg(
-            F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
-        ).select("tkey", "rep_id", "n_shingles", "bands", number.alias("id")),
+            F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"),
+        ).select("tkey", "rep_id", "n_shingles", "bands", "sketch", number.alias("id")),
         "distinct-texts",
     )
-    band = reps.filter(F.size("bands") > 0).select("id", "n_shingles", F.posexplode("bands").alias("k", "v")).select(
-        "id", "n_shingles", F.xxhash64("k", "v").alias("bucket")
+    band = reps.filter(F.size("bands") > 0).select("id", F.posexplode("bands").alias("k", "v")).select(
+        "id", F.xxhash64("k", "v").alias("bucket")
     )
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    band = written(band.join(shared, "bucket"), "shared-buckets")
+    parts = [f"s{k}" for k in range(-(-bands * rows // 16))]
+    brief = reps.select(
+        F.col("id").alias("b_id"), "n_shingles", *[F.element_at("sketch", k + 1).alias(p) for k, p in enumerate(parts)]
+    )
+    band = written(
+        band.join(shared, "bucket").join(brief, F.col("id") == F.col("b_id")).select("bucket", "id", "n_shingles", *parts),
+        "shared-buckets",
+    )
     edges: DataFrame | None = None
     label: DataFrame | None = None
 
@@ -266,9 +310,13 @@ def classes(
         full = pairs.join(side("a"), F.col("a") == F.col("id_a")).join(side("b"), F.col("b") == F.col("id_b"))
         return map_arrow(full.select("a", "b", "text_a", "text_b"), _verify(similarity), "a long, b long")
 
-    def comparable(x: str, y: str):
+    limit = most_unequal(similarity, bands * rows)
+
+    def comparable(prefix: str):
         # Sizes alone bound the overlap: min/max < similarity can't pass.
-        return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
+        x, y = "n_shingles", f"{prefix}n_shingles"
+        sizes = F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
+        return sizes & (_unequal(parts, [prefix + p for p in parts]) <= limit)
 
     for turn in range(STAR_ROUNDS + 1):
         if label is None:
@@ -276,23 +324,23 @@ def classes(
         else:
             named = label.select(F.col("id").alias("l_id"), "class")
             now = band.join(named, F.col("id") == F.col("l_id"), "left").select(
-                "bucket", "id", "n_shingles", F.coalesce("class", "id").alias("class")
+                "bucket", "id", "n_shingles", *parts, F.coalesce("class", "id").alias("class")
             )
+        fields = ["id", "n_shingles", *parts, "class"]
+        leader = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), *fields)).alias("lead")
         open_buckets = (
-            now.groupBy("bucket").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("o"), "id", "n_shingles", "class")).alias("lead"))
-            .filter("c0 <> c1")
-            .select(F.col("bucket").alias("bucket"), F.col("lead.id").alias("lead"), F.col("lead.n_shingles").alias("lead_n"), F.col("lead.class").alias("lead_class"))
+            now.groupBy("bucket").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), leader).filter("c0 <> c1")
+            .select(F.col("bucket").alias("o_bucket"), *[F.col(f"lead.{c}").alias(f"o_{c}") for c in fields])
         )
         if turn < STAR_ROUNDS:
-            cand = now.join(open_buckets, "bucket").filter((F.col("class") != F.col("lead_class")) & comparable("n_shingles", "lead_n"))
-            pairs = cand.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
-        else:
-            rest = written(now.join(open_buckets.select("bucket"), "bucket"), "open-buckets")
-            other = rest.select("bucket", F.col("id").alias("id2"), F.col("n_shingles").alias("n2"), F.col("class").alias("class2"))
-            cand = rest.join(other, "bucket").filter(
-                (F.col("id") < F.col("id2")) & (F.col("class") != F.col("class2")) & comparable("n_shingles", "n2")
-            )
-            pairs = cand.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+            others = open_buckets
+        else:  # all that is left of the buckets that still hold several classes
+            now = written(now.join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi"), "open-buckets")
+            others = now.select(*[F.col(c).alias(f"o_{c}") for c in ("bucket", *fields)])
+        met = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class")) & comparable("o_")
+        if turn == STAR_ROUNDS:
+            met = met & (F.col("id") < F.col("o_id"))
+        pairs = now.join(others, met).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
         new = verified(pairs)
         edges = written(new if edges is None else edges.unionByName(new), "dup-links")
         nodes = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
