@@ -46,6 +46,27 @@ def pick(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
 
+def packed_row(df: DataFrame, without: str) -> Column:
+    """All columns but ``without`` in one struct ``row``: whatever they are
+    called, they can't clash with an operator's own columns."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != without]
+    return F.struct(*rest, F.lit(True).alias("__a_row_has_a_field")).alias("row")
+
+
+def unpacked(df: DataFrame, like: DataFrame, replaced: dict[str, Column]) -> DataFrame:
+    """The columns of ``like`` out of ``row``, but those in ``replaced``."""
+    return df.select(*[
+        replaced[c].cast(like.schema[c].dataType).alias(c) if c in replaced else F.col(f"row.`{c}`").alias(c)
+        for c in like.columns
+    ])
+
+
+def row_type(df: DataFrame, without: str) -> str:
+    """The type of ``packed_row`` as text."""
+    fields = [f"`{c}`:{df.schema[c].dataType.simpleString()}" for c in df.columns if c != without]
+    return f"struct<{','.join([*fields, '__a_row_has_a_field:boolean'])}>"
+
+
 def text_key(text: Column) -> Column:
     """A 128-bit key of a whole text; null and empty texts are the same."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

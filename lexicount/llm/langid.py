@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
-from lexicount.llm._spark import Batches, map_arrow, pick
+from lexicount.llm._spark import Batches, map_arrow, packed_row, pick, row_type, unpacked
 
 BUCKETS = 1 << 15
 WINDOWS = (2, 3, 4)
@@ -196,31 +196,30 @@ def _predict(model):
     def run(batches: Batches) -> Batches:
         m = model.value
         for b in batches:
-            names, score, rejected = m.predict(b.column("__text"))
-            rest = [n for n in b.schema.names if n != "__text"]
+            names, score, rejected = m.predict(b.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(n) for n in rest), b.column("__text"), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
-                [*rest, "__text", "lang_pred", "score", "rejected"],
+                [b.column("row"), b.column("text"), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
+                ["row", "text", "lang_pred", "score", "rejected"],
             )
 
     return run
 
 
-def predicted(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
-    """Per row the columns ``keep``, ``lang_pred``, ``score`` and ``rejected``.
-    The model's size is fixed by ``BUCKETS`` and ``MAX_LABELS``."""
-    spark = docs.sparkSession
-    kept = [F.col(f"`{c}`").alias(f"k{n}") for n, c in enumerate(keep)]
-    fields = "".join(f"k{n} {docs.schema[c].dataType.simpleString()}, " for n, c in enumerate(keep))
-    src = docs.select(*kept, F.col(f"`{text}`").alias("__text"))
-    done = map_arrow(src, _predict(spark.sparkContext.broadcast(model)), f"{fields}__text string, lang_pred string, score double, rejected boolean")
-    named = [F.col(f"k{n}").alias(c) for n, c in enumerate(keep)]
-    return done.select(*named, *([F.col("__text").alias(text)] if with_text else []), "lang_pred", "score", "rejected")
+def _judged(docs: DataFrame, model: Model, text: str) -> DataFrame:
+    """``row``, ``text``, ``lang_pred``, ``score`` and ``rejected``. The size
+    of the model that is sent is fixed by ``BUCKETS`` and ``MAX_LABELS``."""
+    send = docs.sparkSession.sparkContext.broadcast(model)
+    src = docs.select(packed_row(docs, text), F.col(f"`{text}`").alias("text"))
+    schema = f"row {row_type(docs, text)}, text string, lang_pred string, score double, rejected boolean"
+    return map_arrow(src, _predict(send), schema)
+
+
+def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, lang_pred, score, rejected)`` per row of ``docs``."""
+    rows = pick(docs, doc_id=doc_id, text=text)
+    return _judged(rows, model, "text").select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "rejected")
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns as they are."""
-    rest = tuple(c for c in docs.columns if c != text)
-    return predicted(docs, model, text, keep=rest, with_text=True).filter("NOT rejected").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    return unpacked(_judged(docs, model, text).filter("NOT rejected"), docs, {text: F.col("text")})

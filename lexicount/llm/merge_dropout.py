@@ -324,6 +324,8 @@ def encode(texts: pa.Array, seed: int = SEED, dropout: float = DROPOUT, vocabula
 
 def _encode_units(v: Pieces, buf: np.ndarray, us: np.ndarray, ue: np.ndarray, unit: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """``(ids, first)`` of units given as byte spans."""
+    if not len(us):
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
     text = buf[w.spread(us, ue - us)]
     edge = np.concatenate([[0], np.cumsum(ue - us)])
     cp, at = _code_points(text)

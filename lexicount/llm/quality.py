@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
-from lexicount.llm._spark import Batches, map_arrow, pick, text_key, written
+from lexicount.llm._spark import Batches, map_arrow, packed_row, pick, row_type, text_key, unpacked, written
 
 #: A line is frequent above this many documents of a host ...
 MIN_DOCS = 20
@@ -54,7 +54,7 @@ def line_hashes(t: w.Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     start, end, first = w.word_spans(t)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, w.U64), np.zeros(0, np.int64)
-    ls, _, lt = w.line_spans(t)
+    ls, _, _ = w.line_spans(t)
     line = np.searchsorted(ls, start, side="right") - 1
     # A line start can equal the next text's (empty lines): the word's own text decides.
     new = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
@@ -188,8 +188,7 @@ def verdicts(
 def _strip(batches: Batches) -> Batches:
     """Texts without their removed lines; the others unchanged."""
     for b in batches:
-        at = b.schema.get_field_index("__text")
-        text, removed = b.column(at), b.column(b.schema.get_field_index("__removed"))
+        text, removed = b.column("text"), b.column("removed")
         out = text.to_pylist()
         low = pc.utf8_lower(pc.fill_null(text, ""))
         for k in np.flatnonzero(np.asarray(removed.is_valid())):
@@ -203,9 +202,9 @@ def _strip(batches: Batches) -> Batches:
                 _, h, _ = line_hashes(t)
                 drop = {int(n) for n, x in zip(full, h.view(np.int64), strict=True) if int(x) in gone}
             out[k] = "\n".join(x for n, x in enumerate(lines) if n not in drop)
-        rest = [n for n in range(b.num_columns) if b.schema.names[n] not in ("__text", "__removed")]
-        cols = [*(b.column(n) for n in rest), pa.array(out, pa.string()), removed.is_valid()]
-        yield pa.RecordBatch.from_arrays(cols, [*(b.schema.names[n] for n in rest), "__text", "__changed"])
+        yield pa.RecordBatch.from_arrays(
+            [b.column("row"), pa.array(out, pa.string()), removed.is_valid()], ["row", "text", "changed"]
+        )
 
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text", **limits) -> DataFrame:
@@ -216,22 +215,19 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
     change = out.join(
         removed, (F.col("tkey") == F.col("r_tkey")) & F.col("host").eqNullSafe(F.col("r_host")), "full"
     ).select(
-        F.coalesce("host", "r_host").alias("__host"), F.coalesce("tkey", "r_tkey").alias("__tkey"),
-        F.col("out").alias("__out"), F.col("removed").alias("__removed"),
+        F.coalesce("host", "r_host").alias("c_host"), F.coalesce("tkey", "r_tkey").alias("c_tkey"), "out", "removed"
     )
-    joined = docs.alias("d").join(
-        change,
-        (text_key(F.col(f"d.`{text}`")) == F.col("__tkey")) & F.col(f"d.`{host}`").cast("string").eqNullSafe(F.col("__host")),
-        "left",
-    ).filter(F.col("__out").isNull())
-    rest = [c for c in docs.columns if c != text]
-    src = joined.select(*[F.col(f"d.`{c}`") for c in rest], F.col(f"d.`{text}`").alias("__text"), "__removed")
-    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in rest)
-    done = map_arrow(src, _strip, f"{fields}__text string, __changed boolean")
-    chars = F.when(F.col("__changed"), F.length("__text"))
-    return done.select(*[
-        F.col("__text").alias(c) if c == text
-        else F.coalesce(chars, F.col("n_chars")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(f"`{c}`")
-        for c in docs.columns
-    ])
+    body = F.col(f"`{text}`")
+    rows = docs.select(
+        packed_row(docs, text), body.alias("text"), F.col(f"`{host}`").cast("string").alias("host"), text_key(body).alias("tkey")
+    )
+    joined = rows.join(
+        change, (F.col("tkey") == F.col("c_tkey")) & F.col("host").eqNullSafe(F.col("c_host")), "left"
+    ).filter(F.col("out").isNull())
+    done = map_arrow(
+        joined.select("row", "text", "removed"), _strip, f"row {row_type(docs, text)}, text string, changed boolean"
+    )
+    new = {text: F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("changed"), F.length("text")).otherwise(F.col("row.n_chars"))
+    return unpacked(done, docs, new)

@@ -138,7 +138,7 @@ gone AS (SELECT host, text, sum(words) AS n FROM (
            SELECT x.doc_id, x.host, x.text, sum(len(x.lws)) AS words, min(f.carrier) AS carrier, min(t.doc_id) AS first_id, x.norm
            FROM full_lines x JOIN freq f USING (host, norm) JOIN texts t USING (host, text) GROUP BY x.doc_id, x.host, x.text, x.norm
          ) WHERE first_id <> carrier AND doc_id = first_id GROUP BY 1, 2),
-base AS (SELECT doc_id, host, text, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+base AS (SELECT doc_id, host, text, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols FROM w),
 f AS (SELECT base.*, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
       coalesce(gone.n, 0)::BIGINT AS n_removed_words
@@ -151,13 +151,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_re
 
 # RFC 4648 base32 of the 20 bytes, five bits at a time.
 _BASE32 = (
-    "array_to_string(list_transform(generate_series(0, 31), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
     "(('0b' || substr(bits, i * 5 + 1, 5))::BIGINT + 1)::BIGINT, 1)), '')"
 )
 _OP10 = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS x, max(page_id) OVER (PARTITION BY html) AS top FROM p),
-b AS (SELECT *, array_to_string(list_transform(generate_series(1, 40), i -> lpad(bin(('0x' || substr(x, i, 1))::BIGINT), 4, '0')), '') AS bits FROM h)
+b AS (SELECT *, array_to_string(list_transform(generate_series(1, 40), lambda i: lpad(bin(('0x' || substr(x, i, 1))::BIGINT), 4, '0')), '') AS bits FROM h)
 SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM b
 """

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexicount.llm._spark import text_key, written
+from lexicount.llm._spark import packed_row, text_key, unpacked, written
 
 EXAMPLE_OWNERS = 3
 #: A live value has this many different characters, and a digit.
@@ -134,26 +134,26 @@ def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner:
     hits = found.select(
         F.col("doc_id").alias("h_id"), F.col("tkey").alias("h_key"), F.filter("spans", lambda x: x["live"]).alias("cut")
     ).filter(F.size("cut") > 0).dropDuplicates(["h_id", "h_key"])
-    body = F.col(f"d.`{text}`")
-    joined = docs.alias("d").join(
-        hits, (text_key(body) == F.col("h_key")) & F.col(f"d.`{doc_id}`").cast("long").eqNullSafe(F.col("h_id")), "left"
+    body = F.col(f"`{text}`")
+    rows = docs.select(
+        packed_row(docs, text), body.cast("string").alias("text"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        text_key(body).alias("tkey"),
     )
+    joined = rows.join(hits, (F.col("tkey") == F.col("h_key")) & F.col("doc_id").eqNullSafe(F.col("h_id")), "left")
     # Walk along the spans; one that begins inside the last only extends it.
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     done = F.aggregate(
         "cut", start,
         lambda acc, x: F.struct(
-            F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(body, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)))
+            F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)))
             .otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], x["end"]).alias("at"),
         ),
-        lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))),
+        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
     )
-    new = F.when(F.col("cut").isNull(), body).otherwise(done)
-    wide = joined.withColumn("__new", new)
-    return wide.select(*[
-        F.col("__new").alias(c) if c == text
-        else F.when(F.col("cut").isNull(), F.col("d.n_chars")).otherwise(F.length("__new")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(f"d.`{c}`").alias(c)
-        for c in docs.columns
-    ])
+    whole = F.col("cut").isNull()
+    wide = joined.withColumn("new", F.when(whole, F.col("text")).otherwise(done))
+    new = {text: F.col("new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(whole, F.col("row.n_chars")).otherwise(F.length("new"))
+    return unpacked(wide, docs, new)

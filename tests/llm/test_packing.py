@@ -1,0 +1,122 @@
+"""Operator 3: pieces, plan and places."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from lexicount.llm import packing as p
+from tokenizers import Tokenizer
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(p.VOCABULARY))
+
+
+def check(rows, texts, library, size):
+    by = defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append(r)
+    total = 0
+    for i, group in texts.items():
+        ids = [np.asarray(library.encode(t or "", add_special_tokens=False).ids + [0], "<u4") for t in group]
+        total += sum(map(len, ids))
+        want = Counter()
+        for x in ids:
+            at = len(x) % size if len(x) > size else len(x)
+            at = at or size
+            cuts = [0, *range(at, len(x), size), len(x)] if len(x) > size else [0, len(x)]
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                want[k, a, b - a, zlib.crc32(x[a:b].tobytes())] += 1
+        assert Counter((r.piece, r.start, r.length, r.ids_crc32) for r in by[i]) == want
+    filled = defaultdict(list)
+    for r in rows:
+        filled[r.sequence_id].append((r.offset, r.length))
+    for spots in filled.values():
+        at = 0
+        for o, n in sorted(spots):
+            assert o == at
+            at += n
+        assert at <= size
+    return len(filled), -(-total // size)
+
+
+def texts_of(docs):
+    out = defaultdict(list)
+    for r in docs.select("doc_id", "text").collect():
+        out[r.doc_id].append(r.text)
+    return out
+
+
+def test_awkward_rows(awkward, library):
+    got = p.packed_documents(awkward).collect()
+    n, least = check(got, texts_of(awkward), library, p.SIZE)
+    assert n <= least + 1
+
+
+def test_whole_table(spark, data, library):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    n, least = check(p.packed_documents(docs).collect(), texts_of(docs), library, p.SIZE)
+    assert n <= least * 1.01 + 1
+
+
+def test_special_strings_and_white_space(spark, library):
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x  y", "x\n\n y  z", "\t\ta", "a ", "a  b", "it's  I'll", "\x1c\x1cq", "\x0b\x0bq"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(p.packed_documents(docs).collect(), texts_of(docs), library, p.SIZE)
+
+
+def test_empty_table(empty):
+    assert p.packed_documents(empty).count() == 0
+
+
+def test_sequences_hold_the_ids(spark, awkward, library):
+    packed = p.packed_documents(awkward, size=64, with_ids=True)
+    check(packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset").collect(), texts_of(awkward), library, 64)
+    rows = p.sequences(packed).collect()
+    assert sum(r.n_tokens for r in rows) == sum(len(r.ids) for r in rows)
+    assert all(r.n_tokens == len(r.ids) <= 64 for r in rows)
+    every = [library.encode(t or "", add_special_tokens=False).ids + [0] for g in texts_of(awkward).values() for t in g]
+    assert Counter(i for r in rows for i in r.ids) == Counter(i for x in every for i in x)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(4, 40), st.lists(st.tuples(st.integers(1, 40), st.integers(1, 60)), max_size=12))
+def test_plan_uses_the_histogram_exactly(size, counts):
+    hist = np.zeros(size + 1, dtype=np.int64)
+    for n, c in counts:
+        if n <= size:
+            hist[n] += c
+    planned = p.plan(hist, size)
+    used = np.zeros_like(hist)
+    for lengths, n in planned:
+        assert sum(lengths) <= size and n > 0
+        for v in lengths:
+            used[v] += n
+    assert (used == hist).all()
+    start, rank, first, offset = p.places(planned, size)
+    assert len(rank) == sum(len(x) for x, _ in planned) == len(first) == len(offset) and start[-1] == len(rank)
+
+
+def test_fit_beats_best_fit_where_patterns_matter():
+    """Lengths that only fill a sequence in the right threes."""
+    hist = np.zeros(101, dtype=np.int64)
+    hist[[45, 35, 20, 50, 30]] = [1000, 1000, 1000, 500, 1000]
+    total = (hist * np.arange(101)).sum()
+    planned = sum(n for _, n in p.plan(hist, 100))
+    assert planned <= -(-total // 100) * 1.05
+    x = p.fit(p.patterns(np.flatnonzero(hist), 100), hist.astype(float))
+    assert (x >= 0).all()
+
+
+def test_hot_length_is_dealt_over_buckets(spark):
+    pieces = spark.range(3000).selectExpr("id AS doc_id", "CAST(100 AS BIGINT) AS length")
+    rows = p.pack(pieces, 1000, buckets=16).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 3000
+    assert len({r.sequence_id for r in rows}) == 300
+    with pytest.raises(ValueError):
+        p.pack(spark.range(1).selectExpr("id AS length"), 10)

@@ -1,0 +1,63 @@
+"""Operator 8: counts equal the library's, however chunks fall."""
+
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from lexicount.llm import token_counts as c
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(c.VOCABULARY))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="the aning.é日😀▁\n\t<s>x", max_size=400), st.integers(5, 60), st.integers(1, 8))
+def test_any_chunks(text, chunk, overlap):
+    n = c.counter(c.VOCABULARY)
+    assert n.count(text, chunk, overlap) == len(n.sp.encode(text))
+
+
+@pytest.mark.parametrize("text", ["ab" * 20000, "a" * 30000, " " * 30000, "日本" * 15000 + " x" * 9000, "the thing " * 9000, "▁ a" * 9000, "0" * 20000 + "\n" * 9000, "é́😀" * 9000])
+def test_long_texts_without_easy_places(text, library):
+    assert c.counter(c.VOCABULARY).count(text, 2000, 16) == len(library.encode(text))
+
+
+def test_overlap_widens():
+    """A run that no place is proven in is encoded to its end."""
+    n, seen = c.Counter(), []
+    plain = n.splice
+    n.splice = lambda text, here, ahead, lo, hi: seen.append(hi - lo) or plain(text, here, ahead, lo, hi)
+    text = "word " * 30 + "a" * 900 + " word" * 30
+    assert n.count(text, 200, 8) == len(n.sp.encode(text))
+    assert max(seen) > 8 * 4
+
+
+def test_proven_places():
+    n = c.Counter()
+    assert n.proven("e", " ") and n.proven("\n", "a") and not n.proven(" ", "t") and not n.proven("t", "h")
+
+
+def test_awkward_rows(awkward, empty, library):
+    rows = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in c.counted(awkward, chunk=500, limit=300).collect())
+    want = []
+    for r in awkward.collect():
+        t = r.text or ""
+        n = len(library.encode(t))
+        want.append((str(r.doc_id), len(t.encode()), n, n > 300))
+    assert rows == sorted(want)
+    assert c.counted(empty).count() == 0
+
+
+def test_whole_table(spark, data, library):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rng = random.Random(1)
+    for chunk in (c.CHUNK, rng.randint(50, 900)):
+        got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in c.counted(docs, chunk=chunk).collect()}
+        for r in docs.select("doc_id", "text").collect():
+            n = len(library.encode(r.text))
+            assert got[r.doc_id] == (len(r.text.encode()), n, n > c.LIMIT)
