@@ -49,9 +49,7 @@ def main() -> None:
         "# Physical plans\n",
         f"Final adaptive plans of every registered query over `{data_dir}` on `local[8]`, "
         "8 shuffle partitions, generated by `tools/dump_plans.py`. `*(n)` marks a whole-stage "
-        "codegen stage; `Exchange` is a shuffle. The tables are single parquet row groups, "
-        "so text inputs show the size-checked `RoundRobinPartitioning` spread; above "
-        "`lexicount.spread.maxBytes` it is absent and the scan's own splits feed the tokeniser.\n",
+        "codegen stage; `Exchange` is a shuffle. No plan depends on the size of its input.\n",
     ]
     for name, build in QUERIES.items():
         df = build(spark, data_dir)
