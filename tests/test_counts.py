@@ -144,3 +144,10 @@ def test_hot_key_counts_exact(spark):
     got = word_count(df).filter(F.col("word") == "hot").collect()
     assert got[0]["count"] == n // 3
     assert word_count(df).count() == 1 + n - n // 3
+
+
+def test_count_by_value_of_literal_strings(spark):
+    from lexicount import values
+
+    got = count_by_value(values(spark, ["a", "b", "a", None], "string"), "x").collect()
+    assert sorted((r.x or "", r["count"]) for r in got) == [("", 1), ("a", 2), ("b", 1)]
