@@ -3,7 +3,8 @@
 Every 2- to 4-byte window of a lower-case text (digits left out, white space
 one kind) is hashed to one of ``BUCKETS`` embeddings; a text is the average of
 its embeddings, and a linear softmax over the average names the language. The
-model is trained by stochastic gradient descent in numpy on a bounded sample
+model is trained by stochastic gradient descent in numpy (steps scaled as in
+AdaGrad) on a bounded sample
 of labelled texts (``PER_LABEL`` expected texts of each label, whole), every
 one as its bag of buckets made on the executors, so what reaches the driver is
 bounded by the sample, not by the lengths of its texts.
@@ -34,7 +35,7 @@ DIM = 16
 PER_LABEL = 400
 #: Labels are taken from at most this many values, the most frequent ones.
 MAX_LABELS = 256
-EPOCHS, RATE = 12, 2.0
+EPOCHS, RATE = 8, 0.05
 REJECT_SHARE = 0.001
 MOST_REJECT = 0.5
 UNKNOWN = "und"
@@ -131,6 +132,9 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
     out = np.zeros((DIM, len(labels)))
     bias = np.zeros(len(labels))
     steps, total = 0, EPOCHS * len(fit)
+    # Steps are scaled by the gradients met so far (one sum per embedding), so
+    # that rare and frequent buckets learn alike and no step can blow up.
+    seen_emb, seen_out, seen_bias = np.full(BUCKETS, 1e-12), np.full(out.shape, 1e-12), np.full(len(labels), 1e-12)
     for _ in range(EPOCHS):
         for k in rng.permutation(fit):
             label, b, c = examples[k]
@@ -140,11 +144,13 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
             p = softmax((mean @ out + bias)[None])[0]
             p[no[label]] -= 1
             g = out @ p
-            out -= rate * np.outer(mean, p)
-            bias -= 0.1 * rate * p
-            # The gradient of an embedding is its share of the average's;
-            # scaled up, since a share is about one over the text's length.
-            emb[b] -= rate * np.minimum(c * 200, 1.0)[:, None] * g[None]
+            outer = np.outer(mean, p)
+            seen_out += outer**2
+            seen_bias += p**2
+            seen_emb[b] += c**2 * (g @ g)
+            out -= rate * outer / np.sqrt(seen_out)
+            bias -= rate * p / np.sqrt(seen_bias)
+            emb[b] -= (rate * c / np.sqrt(seen_emb[b]))[:, None] * g[None]
     table = emb @ out
 
     def score(keys) -> tuple[np.ndarray, np.ndarray]:

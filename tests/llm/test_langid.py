@@ -7,13 +7,17 @@ from lexicount.llm import langid as g
 from lexicount.llm import queries
 
 
+LARGE = "/root/testdata/sf0.1"
+
+
 @pytest.fixture(scope="module")
-def model(spark, data):
-    return g.learned(spark.read.parquet(f"{data}/documents.parquet"), where=~queries.held_out(4, 2))
+def model(spark):
+    return g.learned(spark.read.parquet(f"{LARGE}/documents.parquet"), where=~queries.held_out(4, 2))
 
 
-def test_held_out_accuracy_and_calibration(spark, data, model):
-    docs = spark.read.parquet(f"{data}/documents.parquet").filter(queries.held_out(4, 2)).select("text", "lang").toArrow()
+def test_held_out_accuracy_and_calibration(spark, model):
+    assert np.isfinite(model.table).all()
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet").filter(queries.held_out(4, 2)).select("text", "lang").toArrow()
     names, score, rejected = model.predict(docs["text"].combine_chunks())
     right = np.array([a == b for a, b in zip(names, docs["lang"].to_pylist())])
     assert right.mean() > 0.97 and abs(score.mean() - right.mean()) < 0.03
@@ -67,3 +71,17 @@ def test_training_does_not_depend_on_the_order(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(200)
     a, b = g.learned(docs, per_label=30), g.learned(docs.repartition(5), per_label=30)
     assert np.array_equal(a.table, b.table) and a.threshold == b.threshold
+
+
+def test_long_training_on_noisy_labels_stays_finite():
+    rng = np.random.default_rng(0)
+    examples = []
+    for k in range(600):
+        lang = k % 3
+        b = np.unique(np.concatenate([rng.integers(lang * 100, lang * 100 + 120, 60), rng.integers(0, g.BUCKETS, 60)]))
+        noisy = f"l{rng.integers(3)}" if k % 10 == 0 else f"l{lang}"
+        examples.append((noisy, b, np.full(len(b), 1 / len(b))))
+    m = g.train(examples * 3)
+    assert np.isfinite(m.table).all() and np.isfinite(m.bias).all() and 0 < m.threshold <= g.MOST_REJECT
+    right = [m.labels[int((c @ m.table[b] + m.bias).argmax())] == f"l{k % 3}" for k, (_, b, c) in enumerate(examples)]
+    assert np.mean(right) > 0.95
