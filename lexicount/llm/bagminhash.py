@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
-from lexicount.llm._spark import Batches, map_arrow, pick, text_key, written
+from lexicount.llm._spark import Batches, map_arrow, packed_row, pick, text_key, unpacked, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -255,6 +255,25 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         label = label.select("id", "class")
 
 
+def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(id, class)`` after more links: components of the classes they join,
+    so that earlier links are not walked again."""
+    if label is not None:
+        a, b = (label.select(F.col("id").alias(f"i{c}"), F.col("class").alias(f"c{c}")) for c in "ab")
+        links = links.join(a, F.col("a") == F.col("ia"), "left").join(b, F.col("b") == F.col("ib"), "left").select(
+            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
+        ).filter("a <> b")
+    links = written(links.distinct(), "dup-edges")
+    nodes = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct()
+    found = _components(nodes, links)
+    if label is None:
+        return found
+    to = found.select(F.col("id").alias("from"), F.col("class").alias("to"))
+    moved = label.join(to, F.col("class") == F.col("from"), "left").select("id", F.coalesce("to", "class").alias("class"))
+    fresh = found.join(label.select(F.col("id").alias("known")), F.col("id") == F.col("known"), "left_anti")
+    return written(moved.unionByName(fresh), "dup-labels")
+
+
 def classes(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -293,7 +312,6 @@ def classes(
         band.join(shared, "bucket").join(brief, F.col("id") == F.col("b_id")).select("bucket", "id", "n_shingles", *parts),
         "shared-buckets",
     )
-    edges: DataFrame | None = None
     label: DataFrame | None = None
 
     # The texts of all candidates, once: by the row of the least id.
@@ -341,10 +359,7 @@ def classes(
         if turn == STAR_ROUNDS:
             met = met & (F.col("id") < F.col("o_id"))
         pairs = now.join(others, met).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
-        new = verified(pairs)
-        edges = written(new if edges is None else edges.unionByName(new), "dup-links")
-        nodes = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
-        label = _components(nodes, edges)
+        label = _joined(label, written(verified(pairs), "dup-links"))
 
     member = reps.join(label.withColumnRenamed("id", "l_id"), F.col("id") == F.col("l_id"), "left").select(
         "tkey", "rep_id", F.coalesce("class", "id").alias("class")
@@ -365,11 +380,17 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     """``docs`` with one row of each class: that of the least id (of repeated
     rows one, whichever comes first)."""
     found = classes(docs, doc_id, text, **options)
+
+    def key(i: Column, t: Column) -> Column:
+        return F.md5(F.concat(t, F.coalesce(i.cast("string"), F.lit("-")).cast("binary")))
+
     lone = found.filter((F.col("tkey") == F.col("class_tkey")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("k_id"), F.col("tkey").alias("k_key")
+        key(F.col("doc_id"), F.col("tkey")).alias("lone")
     ).distinct()
-    mine = docs.withColumn("__key", text_key(F.col(f"`{text}`")))
-    kept = mine.join(
-        lone, (F.col("__key") == F.col("k_key")) & F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("k_id")), "left_semi"
+    body = F.col(f"`{text}`")
+    rows = docs.select(
+        packed_row(docs, text), body.alias("text"), key(F.col(f"`{doc_id}`").cast("long"), text_key(body)).alias("key")
     )
-    return kept.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The join and the choice among repeated rows go by one key: one exchange.
+    kept = rows.join(lone, F.col("key") == F.col("lone"), "left_semi").dropDuplicates(["key"])
+    return unpacked(kept, docs, {text: F.col("text")})
