@@ -17,7 +17,9 @@ Signatures are cut into bands; texts that share a band are candidates unless
 their sizes, or their sketches (four bits of every register, compared inside
 the join), put them below the similarity, the latter by ``MARGIN`` standard
 errors; every candidate is verified by the exact multiset overlap of its
-shingles. So texts that are merely related meet in a band, but make no rows.
+shingles. The pairs that are left at the end (see below) are held against the
+sketches of a far longer signature, made only for the texts concerned. So
+texts that are merely related meet in a band, but make no rows.
 Classes are the connected components of the verified links. Within a band
 bucket no pairs are made between texts that already share a class: rounds of
 star-shaped candidates (each text against one leader of the bucket) are
@@ -48,6 +50,8 @@ BANDS, ROWS = 25, 5
 STAR_ROUNDS = 2
 #: Standard errors by which a sketch may fall short of the similarity.
 MARGIN = 4.0
+#: Registers of the longer signature, one bit of each.
+FINE = 2048
 _U = w.U64
 
 
@@ -151,9 +155,14 @@ def sketches(sig: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(bits[:, ::2] | (bits[:, 1::2] << 4)).view("<i8")
 
 
-def most_unequal(similarity: float, m: int) -> int:
+def fine_sketches(sig: np.ndarray) -> np.ndarray:
+    """``(n, words)`` int64: one bit of every register, 64 to a word."""
+    return np.ascontiguousarray(np.packbits((w.keyed(sig, 19) & _U(1)).astype(np.uint8), axis=1)).view("<i8")
+
+
+def most_unequal(similarity: float, m: int, bits: int = 4) -> int:
     """Registers of ``m`` that may differ in the sketches of similar texts."""
-    p = similarity + (1 - similarity) / 16
+    p = similarity + (1 - similarity) / 2**bits
     return int(m * (1 - p) + MARGIN * math.sqrt(m * p * (1 - p)))
 
 
@@ -168,6 +177,17 @@ def _unequal(a: list[str], b: list[str]) -> Column:
     return total
 
 
+def _fine(batches: Batches) -> Batches:
+    for b in batches:
+        low = pc.utf8_lower(pc.fill_null(b.column("text").cast(pa.large_string()), ""))
+        for i, j, t in w.runs(low, run_bytes=1 << 20):
+            words = fine_sketches(signatures(*bags(*shingles(t)), t.n, FINE))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("t_id").slice(i, j - i), *(pa.array(words[:, k]) for k in range(words.shape[1]))],
+                ["f_id", *(f"f{k}" for k in range(words.shape[1]))],
+            )
+
+
 def _sign(bands: int, rows: int):
     def run(batches: Batches) -> Batches:
         for b in batches:
@@ -328,13 +348,18 @@ def classes(
         full = pairs.join(side("a"), F.col("a") == F.col("id_a")).join(side("b"), F.col("b") == F.col("id_b"))
         return map_arrow(full.select("a", "b", "text_a", "text_b"), _verify(similarity), "a long, b long")
 
-    limit = most_unequal(similarity, bands * rows)
+    fine = [f"f{k}" for k in range(FINE // 64)]
+
+    def apart(columns: list[str]) -> Column:
+        if columns is fine:
+            total = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"o_{c}"))) for c in fine), F.lit(0))
+            return total <= most_unequal(similarity, FINE, 1)
+        return _unequal(parts, [f"o_{p}" for p in parts]) <= most_unequal(similarity, bands * rows)
 
-    def comparable(prefix: str):
+    def comparable(columns: list[str]) -> Column:
         # Sizes alone bound the overlap: min/max < similarity can't pass.
-        x, y = "n_shingles", f"{prefix}n_shingles"
-        sizes = F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
-        return sizes & (_unequal(parts, [prefix + p for p in parts]) <= limit)
+        x, y = "n_shingles", "o_n_shingles"
+        return (F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)) & apart(columns)
 
     for turn in range(STAR_ROUNDS + 1):
         if label is None:
@@ -351,11 +376,15 @@ def classes(
             .select(F.col("bucket").alias("o_bucket"), *[F.col(f"lead.{c}").alias(f"o_{c}") for c in fields])
         )
         if turn < STAR_ROUNDS:
-            others = open_buckets
+            others, columns = open_buckets, parts
         else:  # all that is left of the buckets that still hold several classes
-            now = written(now.join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi"), "open-buckets")
-            others = now.select(*[F.col(c).alias(f"o_{c}") for c in ("bucket", *fields)])
-        met = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class")) & comparable("o_")
+            now = now.join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi").drop(*parts)
+            now = written(now, "open-buckets")
+            texts = body.join(now.select("id").distinct(), F.col("t_id") == F.col("id"), "left_semi")
+            longer = map_arrow(texts, _fine, "f_id long, " + ", ".join(f"{c} long" for c in fine))
+            now = written(now.join(longer, F.col("id") == F.col("f_id")).drop("f_id"), "open-buckets")
+            others, columns = now.select(*[F.col(c).alias(f"o_{c}") for c in now.columns]), fine
+        met = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class")) & comparable(columns)
         if turn == STAR_ROUNDS:
             met = met & (F.col("id") < F.col("o_id"))
         pairs = now.join(others, met).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()

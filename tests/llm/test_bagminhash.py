@@ -129,6 +129,12 @@ def test_sketches_keep_similar_texts(similarity):
     p = similarity + (1 - similarity) / 16
     rng = np.random.default_rng(0)
     assert (rng.binomial(m, 1 - p, 200_000) > b.most_unequal(similarity, m)).mean() < 5e-4
+    p = similarity + (1 - similarity) / 2
+    assert (rng.binomial(b.FINE, 1 - p, 200_000) > b.most_unequal(similarity, b.FINE, 1)).mean() < 5e-4
+    long = rng.integers(0, 2**62, (3, b.FINE)).astype(np.uint64)
+    long[1, :100] = long[0, :100]
+    x, y = b.fine_sketches(long)[:2].view(np.uint8)
+    assert np.unpackbits(x).size == b.FINE and (np.unpackbits(x) == np.unpackbits(y))[:100].all()
     sig = rng.integers(0, 2**62, (50, m)).astype(np.uint64)
     words = b.sketches(sig)
     bits = [[(int(x) >> (4 * k)) & 15 for x in row.view(np.uint64) for k in range(16)] for row in words]
