@@ -22,7 +22,8 @@ sketches of a far longer signature, made only for the texts concerned. So
 texts that are merely related meet in a band, but make no rows.
 Classes are the connected components of the verified links. Within a band
 bucket no pairs are made between texts that already share a class: rounds of
-star-shaped candidates (each text against one leader of the bucket) are
+star-shaped candidates (each text against one leader of the bucket, another
+in every bucket and round) are
 verified and merged first, then the pairs of texts of *different* classes
 that still share a bucket. So a bucket with thousands of near copies costs
 rows in proportion to its size, and no verified link is given up.
@@ -47,7 +48,7 @@ from lexicount.llm._spark import Batches, map_arrow, packed_row, pick, text_key,
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 #: Standard errors by which a sketch may fall short of the similarity.
 MARGIN = 4.0
 #: Registers of the longer signature, one bit of each.
@@ -370,7 +371,7 @@ def classes(
                 "bucket", "id", "n_shingles", *parts, F.coalesce("class", "id").alias("class")
             )
         fields = ["id", "n_shingles", *parts, "class"]
-        leader = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), *fields)).alias("lead")
+        leader = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("order"), *fields)).alias("lead")
         open_buckets = (
             now.groupBy("bucket").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), leader).filter("c0 <> c1")
             .select(F.col("bucket").alias("o_bucket"), *[F.col(f"lead.{c}").alias(f"o_{c}") for c in fields])
