@@ -379,9 +379,15 @@ def classes(
         if turn < STAR_ROUNDS:
             others, columns = open_buckets, parts
         else:  # all that is left of the buckets that still hold several classes
-            now = now.join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi").drop(*parts)
+            now = now.join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi")
             now = written(now, "open-buckets")
-            texts = body.join(now.select("id").distinct(), F.col("t_id") == F.col("id"), "left_semi")
+            # Only texts that pass the short sketch with another class go on.
+            others = now.select(*[F.col(c).alias(f"o_{c}") for c in now.columns])
+            same = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class"))
+            near = now.join(others, same & comparable(parts), "left_semi").select(F.col("id").alias("n_id")).distinct()
+            near = written(near, "near-texts")
+            now = now.join(near, F.col("id") == F.col("n_id"), "left_semi").drop(*parts)
+            texts = body.join(near, F.col("t_id") == F.col("n_id"), "left_semi")
             longer = map_arrow(texts, _fine, "f_id long, " + ", ".join(f"{c} long" for c in fine))
             now = written(now.join(longer, F.col("id") == F.col("f_id")).drop("f_id"), "open-buckets")
             others, columns = now.select(*[F.col(c).alias(f"o_{c}") for c in now.columns]), fine
