@@ -389,11 +389,16 @@ def classes(
             now = now.join(near, F.col("id") == F.col("n_id"), "left_semi").drop(*parts)
             texts = body.join(near, F.col("t_id") == F.col("n_id"), "left_semi")
             longer = map_arrow(texts, _fine, "f_id long, " + ", ".join(f"{c} long" for c in fine))
-            now = written(now.join(longer, F.col("id") == F.col("f_id")).drop("f_id"), "open-buckets")
+            # At most one bucket per band.
+            lists = now.groupBy(F.col("id").alias("g_id")).agg(F.collect_set("bucket").alias("buckets"))
+            now = now.join(longer, F.col("id") == F.col("f_id")).join(lists, F.col("id") == F.col("g_id")).drop("f_id", "g_id")
+            now = written(now, "open-buckets")
             others, columns = now.select(*[F.col(c).alias(f"o_{c}") for c in now.columns]), fine
         met = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class")) & comparable(columns)
         if turn == STAR_ROUNDS:
-            met = met & (F.col("id") < F.col("o_id"))
+            # Each pair once, in the least of the buckets that both are in.
+            least = F.array_min(F.array_intersect("buckets", "o_buckets"))
+            met = met & (F.col("id") < F.col("o_id")) & (F.col("bucket") == least)
         pairs = now.join(others, met).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
         label = _joined(label, written(verified(pairs), "dup-links"))
 
