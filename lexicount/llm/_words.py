@@ -22,7 +22,7 @@ _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 #: Texts are worked on in runs of about this many bytes, so that memory does
 #: not follow the batch size; a longer text is one run by itself.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

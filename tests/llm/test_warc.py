@@ -101,3 +101,28 @@ def test_record_headers():
     assert headers["warc-type"] == "revisit" and block == b""
     assert headers["warc-refers-to"] == "<urn:page:9>" and headers["warc-target-uri"] == "http://x/ WARC-Type: evil"
     assert headers["warc-profile"] == warc.PROFILE
+
+
+def test_a_repeated_task_writes_a_bundle_of_its_own(spark):
+    """What a lost task leaves behind is in no index: the attempt that counts
+    names its own bundle only, and a half-written one is never reported."""
+    import pyarrow as pa
+    from lexicount.sinks import fresh_path
+
+    folder = fresh_path(spark, "warc-test")
+    rows = [{"page_id": k, "url": "u", "payload": f"page {k}", "sha1": hashlib.sha1(f"page {k}".encode()).hexdigest(), "refers_to": None} for k in range(10)]
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.string()), ("sha1", pa.string()), ("refers_to", pa.int64())])
+    batch = pa.RecordBatch.from_pylist(rows, schema)
+
+    def lost():
+        yield batch
+        raise OSError("the executor is gone")
+
+    run = warc._write(folder, 4, 3)
+    with pytest.raises(OSError):
+        next(run(lost()))
+    first, second = ([r for b in run(iter([batch])) for r in b.to_pylist()] for _ in range(2))
+    assert len({r["bundle"] for r in first + second}) == 2
+    files, path = warc._open(second[0]["bundle"])
+    got = warc.read_records(files, path, second)
+    assert sorted(warc._id(h["warc-record-id"]) for _, h, _ in got) == list(range(10))
