@@ -194,6 +194,8 @@ def learned(docs: DataFrame, lang: str = "lang", text: str = "text", where: Colu
         (x, np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float64))
         for x, b, c in zip(got["lang"].to_pylist(), got["bucket"].to_numpy(), got["share"].to_numpy(), strict=True)
     ]
+    del got
+    pa.default_memory_pool().release_unused()  # the driver keeps the examples only
     examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))  # whatever order they came in
     return train([e for e in examples if len(e[1])])
 

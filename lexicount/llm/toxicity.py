@@ -248,6 +248,8 @@ def learned(
     counts = np.zeros(2 * FOLDS * BUCKETS)
     counts[table["at"].to_numpy()] = table["n"].to_numpy()
     counts = counts.reshape(FOLDS, 2, BUCKETS)
+    del table
+    pa.default_memory_pool().release_unused()
 
     def scores(c: np.ndarray) -> Model:
         score = log_odds(c[1], c[0])
