@@ -6,11 +6,10 @@ a space behind another character, so no merge crosses units. Within a unit
 the agenda is processed as usual: of all adjacent pairs whose union is a
 piece, the one of the highest score (of equals the leftmost) is merged, until
 none is left. Here every candidate, the pair of spans ``(start, middle, end)``
-in its unit, is skipped if a hash under the seed, the unit's text, its variant
-and the spans falls below ``dropout``. The variant is drawn from seed, text
-and the unit's place in it, so one word gets several segmentations in a
-corpus, and other ones under another seed; ``dropout=0`` gives the library's
-own ids.
+in its unit, is skipped if a hash under the seed, the text, the unit's place in
+it and the spans falls below ``dropout``. So every occurrence of a word draws
+anew, and again under another seed; equal texts are cut alike. ``dropout=0``
+gives the library's own ids.
 
 Characters without a piece become their UTF-8 bytes' pieces; so does U+2581,
 which the library itself can't tell from a space. Hence decoding gives every
@@ -38,10 +37,9 @@ from lexicount.llm._spark import Batches, map_arrow, pick
 VOCABULARY = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20
-VARIANTS = 4
 #: Longer units (in characters) take the agenda one by one, with a heap.
 LONG_UNIT = 64
-#: Units whose ids a worker keeps for later texts.
+#: Units whose ids without dropout a worker keeps for later texts.
 MEMO_UNITS = 500_000
 _NONE = np.int64(2**62)
 _SPACES = np.zeros(256, dtype=bool)
@@ -92,7 +90,7 @@ class Pieces:
         self.size = np.asarray([len(b) for b in bodies], dtype=np.int64)
         self.at = np.cumsum(self.size) - self.size
         self.body = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-        self.memos: dict[float, Memo] = {}
+        self.memo = Memo()
 
     def _table(self, keys: np.ndarray, to: np.ndarray, ranks: np.ndarray) -> None:
         """An open hash table of pairs: far fewer reads than a binary search."""
@@ -276,13 +274,13 @@ def _code_points(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cp, at
 
 
-def encode(texts: pa.Array, seed: int = SEED, dropout: float = DROPOUT, vocabulary: str = VOCABULARY, variants: int = VARIANTS) -> list[np.ndarray]:
+def encode(texts: pa.Array, seed: int = SEED, dropout: float = DROPOUT, vocabulary: str = VOCABULARY) -> list[np.ndarray]:
     """Ids of every text."""
     v = vocabulary_of(vocabulary)
     out: list[np.ndarray] = []
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string())))
-    for _, _, t in w.runs(texts, 2 << 20):
+    for _, _, t in w.runs(texts, 1 << 20):
         size = int(t.off[-1])
         space = _SPACES[t.buf[:size]]
         opens = np.zeros(size, dtype=bool)
@@ -294,34 +292,37 @@ def encode(texts: pa.Array, seed: int = SEED, dropout: float = DROPOUT, vocabula
         if not len(us):
             out += [np.zeros(0, np.int32)] * t.n
             continue
-        word = w.hash_spans(t.buf, us, ue, 511)
-        own = w.owners(first)
-        place = (np.arange(len(us)) - first[own]).astype(w.U64)
-        body = w.hash_spans(t.buf, t.off[:-1], t.off[1:], 512)
-        with np.errstate(over="ignore"):
-            variant = w.keyed(w.mix(body[own] + place), seed) % w.U64(max(1, variants))
-            unit = w.keyed(word + w.mix(variant + w.U64(1)), seed)
-        if dropout <= 0:
-            unit = word
-        every, one, back, times = np.unique(unit, return_index=True, return_inverse=True, return_counts=True)
-        memo = v.memos.setdefault(dropout, Memo())
-        at = memo.find(every)
-        new = np.flatnonzero(at < 0)
-        ids, idf = _encode_units(v, t.buf, us[one[new]], ue[one[new]], every[new], dropout)
-        begin, count = np.empty(len(every), np.int64), np.empty(len(every), np.int64)
-        known = np.flatnonzero(at >= 0)
-        begin[new], count[new] = idf[:-1], np.diff(idf)
-        begin[known], count[known] = len(ids) + memo.begin[at[known]], memo.count[at[known]]
-        both = np.concatenate([ids, memo.ids])
-        flat = both[w.spread(begin[back], count[back])]
-        count = count[back]
-        again = new[times[new] > 1]
-        memo.add(every[again], begin[again], np.diff(idf)[times[new] > 1], ids)
-        ends = np.concatenate([[0], np.cumsum(count)])[first]
+        if dropout > 0:
+            own = w.owners(first)
+            place = (np.arange(len(us)) - first[own]).astype(w.U64)
+            body = w.hash_spans(t.buf, t.off[:-1], t.off[1:], 512)
+            with np.errstate(over="ignore"):
+                unit = w.keyed(w.mix(body[own] + place), seed)
+            flat, idf = _encode_units(v, t.buf, us, ue, unit, dropout)
+            ends = idf[first]
+        else:
+            flat, count = _remembered(v, t.buf, us, ue)
+            ends = np.concatenate([[0], np.cumsum(count)])[first]
         out += [flat[ends[k] : ends[k + 1]] for k in range(t.n)]
     return out
 
 
+def _remembered(v: Pieces, buf: np.ndarray, us: np.ndarray, ue: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids, count)`` of units without dropout, each distinct one encoded once."""
+    every, one, back, times = np.unique(w.hash_spans(buf, us, ue, 511), return_index=True, return_inverse=True, return_counts=True)
+    at = v.memo.find(every)
+    new = np.flatnonzero(at < 0)
+    ids, idf = _encode_units(v, buf, us[one[new]], ue[one[new]], every[new], 0.0)
+    begin, count = np.empty(len(every), np.int64), np.empty(len(every), np.int64)
+    known = np.flatnonzero(at >= 0)
+    begin[new], count[new] = idf[:-1], np.diff(idf)
+    begin[known], count[known] = len(ids) + v.memo.begin[at[known]], v.memo.count[at[known]]
+    flat = np.concatenate([ids, v.memo.ids])[w.spread(begin[back], count[back])]
+    again = new[times[new] > 1]
+    v.memo.add(every[again], begin[again], np.diff(idf)[times[new] > 1], ids)
+    return flat, count[back]
+
+
 def _encode_units(v: Pieces, buf: np.ndarray, us: np.ndarray, ue: np.ndarray, unit: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """``(ids, first)`` of units given as byte spans."""
     if not len(us):

@@ -1,6 +1,7 @@
 """Operator 5: merges under dropout, decoding."""
 
 import hashlib
+from collections import Counter, defaultdict
 
 import brute
 import numpy as np
@@ -76,6 +77,40 @@ def test_share_of_skipped_candidates():
     assert abs(hit.mean() - 0.1) < 0.005
 
 
+def test_every_occurrence_of_a_word_draws_anew():
+    v = d.vocabulary_of(d.VOCABULARY)
+    rng = np.random.default_rng(5)
+    n, drawn = 8000, 2000
+
+    def pairs(a, b):
+        r, t = v.pairs(np.asarray([a]), np.asarray([b]))
+        return (int(r[0]), int(t[0])) if r[0] < d._NONE else None
+
+    for word, dropout in (("a", 0.1), ("standing", 0.1), ("standing", 0.5)):
+        texts = pa.array([" ".join([word] * 400)] * 2 + [f"{k} " + " ".join([word] * 399) for k in range(n // 400)])
+        one, same, *rest = d.encode(texts, 1, dropout)
+        assert one.tolist() == same.tolist()
+        got = Counter()
+        for ids in rest:
+            # A unit starts with the piece that starts with a space.
+            opens = np.flatnonzero(v.body[v.at[ids]] == 0x20).tolist()
+            for lo, hi in zip(opens[1:], [*opens[2:], len(ids)], strict=True):
+                got[tuple(ids[lo:hi].tolist())] += 1
+        # As often as when every candidate is left out by a coin of its own.
+        want = Counter()
+        sym = [int(v.char[ord(c)]) for c in " " + word]
+        for _ in range(drawn):
+            coins = defaultdict(lambda: rng.random() < dropout)
+            want[tuple(brute.merge(sym, pairs, lambda *span, coins=coins: coins[span]))] += 1
+        plain = tuple(d.encode(pa.array([word]), dropout=0.0)[0].tolist())
+        total = sum(got.values())
+        assert abs(got[plain] / total - want[plain] / drawn) < 0.05
+        assert len(got) >= 0.9 * len(want)
+        common = [x for x, k in want.items() if k > drawn / 100]
+        assert all(abs(got[x] / total - want[x] / drawn) < 0.05 for x in common)
+        assert word == "a" or len(got) > 8
+
+
 def test_awkward_rows(awkward, empty):
     rows = d.segmented(awkward, with_ids=True).collect()
     texts = [r.text or "" for r in awkward.collect()]
