@@ -6,7 +6,7 @@ so that blank paragraphs are nothing. Every paragraph is hashed to a wide
 vector, and the fingerprint is the sum of the vectors modulo powers of two:
 
 * ``EXACT`` lanes of 32 uniform bits, added modulo 2**32, tell multisets apart;
-* ``NEAR`` lanes of +1 or -1, added modulo 2**16, keep distances: the squared
+* ``NEAR`` lanes of +1 or -1, added modulo 2**32, keep distances: the squared
   difference of two such sums is, per lane and on average, the number of
   paragraphs (squared counts) in which the texts differ.
 
@@ -69,24 +69,24 @@ def vectors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def sums(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """``(n, bytes)`` fingerprints of ``n`` texts; ``owner`` ascends."""
     exact = np.zeros((n, EXACT), dtype=np.uint32)
-    near = np.zeros((n, NEAR), dtype=np.uint16)
+    near = np.zeros((n, NEAR), dtype=np.uint32)
     if len(h):
         head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         e, s = vectors(h)
         exact[owner[head]] = np.add.reduceat(e, head, axis=0)
-        near[owner[head]] = np.add.reduceat(s, head, axis=0, dtype=np.int64).astype(np.uint16)
-    return np.concatenate([exact.astype("<u4").view(np.uint8), near.astype("<u2").view(np.uint8)], axis=1)
+        near[owner[head]] = np.add.reduceat(s, head, axis=0, dtype=np.int64).astype(np.uint32)
+    return np.concatenate([exact.astype("<u4").view(np.uint8), near.astype("<u4").view(np.uint8)], axis=1)
 
 
 def fingerprints(texts: pa.Array) -> np.ndarray:
     """``(n, bytes)`` fingerprints of an Arrow string column."""
     out = [sums(*paragraphs(t), t.n) for _, _, t in w.runs(texts, 1 << 20)]
-    return np.concatenate(out) if out else np.zeros((0, 4 * EXACT + 2 * NEAR), np.uint8)
+    return np.concatenate(out) if out else np.zeros((0, 4 * (EXACT + NEAR)), np.uint8)
 
 
 def _lanes(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     fp = np.ascontiguousarray(fp)
-    return fp[:, : 4 * EXACT].copy().view("<u4"), fp[:, 4 * EXACT :].copy().view("<u2")
+    return fp[:, : 4 * EXACT].copy().view("<u4"), fp[:, 4 * EXACT :].copy().view("<u4")
 
 
 def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
@@ -94,12 +94,12 @@ def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     (ea, na), (eb, nb) = _lanes(a), _lanes(b)
     with np.errstate(over="ignore"):
         e, n = (ea + eb, na + nb) if sign > 0 else (ea - eb, na - nb)
-    return np.concatenate([e.astype("<u4").view(np.uint8), n.astype("<u2").view(np.uint8)], axis=1)
+    return np.concatenate([e.astype("<u4").view(np.uint8), n.astype("<u4").view(np.uint8)], axis=1)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, 0 to 1."""
-    x, y = (_lanes(v)[1].view("<i2").astype(float) for v in (a, b))
+    x, y = (_lanes(v)[1].view("<i4").astype(float) for v in (a, b))
     apart, size = ((x - y) ** 2).sum(1), (x**2).sum(1) + (y**2).sum(1)
     near = np.clip(1 - apart / np.maximum(size, 1), 0.0, 1.0)
     return np.where((a == b).all(axis=1), 1.0, near)

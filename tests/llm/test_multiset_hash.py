@@ -56,6 +56,13 @@ def test_likeness_follows_the_shared_share():
     assert 0 <= m.likeness(fp("a"), fp(""))[0] <= 1
 
 
+def test_a_line_that_stands_very_often():
+    line, n = "one line again\n", 40_000
+    a, b = fp(line * n), fp(line * (2 * n // 3))
+    assert abs(m.likeness(a, b)[0] - (1 - (n / 3) ** 2 / (n**2 + (2 * n / 3) ** 2))) < 0.001
+    assert (m.combine(a, b, -1) == fp(line * (n - 2 * n // 3))).all()
+
+
 def expected(rows):
     """By descending id, greater text key first, null ids last."""
     key = lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest())
