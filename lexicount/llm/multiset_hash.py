@@ -1,14 +1,19 @@
 """Document fingerprints by a homomorphic multiset hash (operator 4).
 
 A text is the multiset of its paragraphs: its ``\\n``-split lines, cut after
-sentence ends (``. ! ?`` before white space), words joined by single spaces,
-so that blank paragraphs are nothing. Every paragraph is hashed to a wide
-vector, and the fingerprint is the sum of the vectors modulo powers of two:
+sentence ends (a stop, of any script in ``_STOPS``, and closing quotes or
+brackets, before white space; the full-width stops need none), words joined by
+single spaces, so that blank paragraphs are nothing. Every paragraph is hashed
+to a wide vector, and the fingerprint is the sum of the vectors modulo powers
+of two:
 
 * ``EXACT`` lanes of 32 uniform bits, added modulo 2**32, tell multisets apart;
-* ``NEAR`` lanes of +1 or -1, added modulo 2**32, keep distances: the squared
-  difference of two such sums is, per lane and on average, the number of
-  paragraphs (squared counts) in which the texts differ.
+* ``NEAR`` lanes are of the parts of paragraphs: one of more than ``PART_WORDS``
+  words is cut where the words' hashes say so, a word of more than
+  ``WORD_BYTES`` bytes likewise counts as several. Lanes of +1 or -1, added
+  modulo 2**32, keep distances: the squared difference of two such sums is, per
+  lane and on average, the number of parts (squared counts) in which the texts
+  differ.
 
 Addition is commutative, so the order of paragraphs is immaterial, and
 ``combine`` inserts or deletes paragraphs without the rest of the text.
@@ -37,44 +42,150 @@ from lexicount.llm._spark import Batches, map_arrow, pick, text_key
 EXACT, NEAR = 16, 96
 _EXACT_KEYS = w.keyed(np.arange(EXACT // 2, dtype=w.U64), 401)
 _NEAR_KEYS = w.keyed(np.arange((NEAR + 63) // 64, dtype=w.U64), 402)
-_STOP = np.zeros(256, dtype=bool)
-_STOP[[ord(c) for c in ".!?"]] = True
-
-
-def paragraphs(t: w.Flat) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, text)`` of every paragraph, repeats included."""
-    start, end, first = w.word_spans(t)
+#: Longer paragraphs (in words) are cut for the near lanes: after one word in
+#: ``CUT`` by its hash, and where a part would have more words than that.
+PART_WORDS = 32
+#: Longer words (in bytes) count as several, cut at one byte in ``CUT``.
+WORD_BYTES = 64
+CUT = 8
+_WIDE = "。！？｡"
+_STOPS = ".!?…؟۔।॥։።།။។" + _WIDE
+_CLOSERS = "\"')]}”’“»›」』）】》〉"
+_IS_STOP, _IS_CLOSER = np.zeros(0x10001, dtype=bool), np.zeros(0x10001, dtype=bool)
+_IS_STOP[[ord(c) for c in _STOPS]] = True
+_IS_CLOSER[[ord(c) for c in _CLOSERS]] = True
+
+
+def _last(buf: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(code point, bytes)`` of the characters before ``end``; any above
+    16 bits is 0x10000."""
+    b1, b2, b3 = (buf[np.maximum(end - k, 0)].astype(np.int64) for k in (1, 2, 3))
+    size = np.select([b1 < 0x80, b2 >= 0xC0, b3 >= 0xE0], [1, 2, 3], 4)
+    two, three = ((b2 & 0x1F) << 6) | (b1 & 0x3F), ((b3 & 0x0F) << 12) | ((b2 & 0x3F) << 6) | (b1 & 0x3F)
+    return np.select([size == 1, size == 2, size == 3], [b1, two, three], 0x10000), size
+
+
+def _ends_sentence(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether spans end with a stop, or with one and closers behind it."""
+    end = end.copy()
+    out = np.zeros(len(end), dtype=bool)
+    left = np.arange(len(end))
+    while len(left):
+        cp, size = _last(buf, end[left])
+        out[left[_IS_STOP[cp]]] = True
+        on = _IS_CLOSER[cp] & (end[left] - size > start[left])
+        end[left] -= size
+        left = left[on]
+    return out
+
+
+def _wide_ends(t: w.Flat) -> np.ndarray:
+    """Places behind full-width stops and the stops and closers that follow."""
+    size = int(t.off[-1])
+    at = np.flatnonzero((t.buf[:size] == 0xE3) | (t.buf[:size] == 0xEF)) + 3
+    at = at[at <= size]
+    cp, _ = _last(t.buf, at)
+    at = at[np.isin(cp, [ord(c) for c in _WIDE])]
+    # A place is moved behind what closes the sentence, character by character.
+    done, left = [], at
+    while len(left):
+        lead = t.buf[left]
+        nxt = left + np.select([lead < 0x80, lead < 0xE0, lead < 0xF0], [1, 2, 3], 4)
+        inside = nxt <= size
+        cp, _ = _last(t.buf, np.minimum(nxt, size))
+        on = inside & (_IS_STOP[cp] | _IS_CLOSER[cp])
+        done.append(left[~on])
+        left = nxt[on]
+    return np.unique(np.concatenate(done)) if done else at
+
+
+def _cut(start: np.ndarray, end: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans, cut at those places that are inside of one."""
+    if not len(at) or not len(start):
+        return start, end
+    k = np.searchsorted(start, at, side="left") - 1
+    at = at[(k >= 0) & (at < end[np.maximum(k, 0)])]
+    return np.sort(np.concatenate([start, at])), np.sort(np.concatenate([end, at]))
+
+
+def _stepped(first: np.ndarray, count: np.ndarray, step: int) -> np.ndarray:
+    """``first + step``, ``first + 2 * step`` ... below ``first + count``."""
+    n = np.maximum(count - 1, 0) // step
+    return np.repeat(first, n) + step * (w.spread(np.zeros(len(n), np.int64), n) + 1)
+
+
+def _hashed(words: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """The hash of every run of words that starts at a head."""
+    place = np.arange(len(words)) - np.repeat(head, np.diff(np.append(head, len(words))))
+    with np.errstate(over="ignore"):
+        each = w.keyed(words ^ w.mix(place.astype(w.U64)), 403)
+        return w.mix(np.add.reduceat(each, head))
+
+
+def _pieces(t: w.Flat, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words, the long ones cut: at a byte if the eight before it say so,
+    and where a piece would still be too long."""
+    long = np.flatnonzero(end - start > WORD_BYTES)
+    if not len(long):
+        return start, end
+    at = w.spread(start[long] + 8, end[long] - start[long] - 8)
+    view = np.ndarray((len(t.buf) - 7,), dtype="<u8", buffer=t.buf, strides=(1,))
+    start, end = _cut(start, end, at[w.keyed(view[at - 8], 404) % w.U64(CUT) == 0])
+    return _cut(start, end, _stepped(start, end - start, WORD_BYTES))
+
+
+def paragraphs(t: w.Flat) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """``(hash, text)`` of every paragraph, and of every part of one, repeats
+    included."""
+    start, end, _ = w.word_spans(t)
     if not len(start):
-        return np.zeros(0, w.U64), np.zeros(0, np.int64)
-    owner = w.owners(first)
+        none = np.zeros(0, w.U64), np.zeros(0, np.int64)
+        return none, none
+    start, end = _cut(start, end, _wide_ends(t))
+    owner = np.searchsorted(t.off, start, side="right") - 1
     # A paragraph starts at a text's first word, after a line break, after a stop.
     breaks = np.cumsum(t.buf[: int(t.off[-1])] == 10)
     gap = breaks[start[1:]] != breaks[end[:-1] - 1]
-    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | gap | _STOP[t.buf[end[:-1] - 1]]])
-    head = np.flatnonzero(new)
-    place = np.arange(len(start)) - np.repeat(head, np.diff(np.append(head, len(start))))
-    with np.errstate(over="ignore"):
-        each = w.keyed(w.hash_spans(t.buf, start, end) ^ w.mix(place.astype(w.U64)), 403)
-        return w.mix(np.add.reduceat(each, head)), owner[head]
-
-
-def vectors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(n, EXACT)`` uint32 and ``(n, NEAR)`` int8 lanes of paragraph hashes."""
-    wide = w.mix(h[:, None] ^ _EXACT_KEYS[None, :])
+    stop = _ends_sentence(t.buf, start[:-1], end[:-1])
+    head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | gap | stop]))
+    words = w.hash_spans(t.buf, start, end)
+    whole = _hashed(words, head), owner[head]
+    ps, pe = _pieces(t, start, end)
+    if len(ps) > len(start):
+        head, owner = np.searchsorted(ps, start[head]), np.searchsorted(t.off, ps, side="right") - 1
+        words = w.hash_spans(t.buf, ps, pe)
+    count = np.diff(np.append(head, len(words)))
+    if (count <= PART_WORDS).all():
+        return whole, (_hashed(words, head), owner[head])
+    ends = (w.keyed(words, 405) % w.U64(CUT) == 0) & np.repeat(count > PART_WORDS, count)
+    part = np.union1d(head, np.flatnonzero(ends[:-1]) + 1)
+    part = np.union1d(part, _stepped(part, np.diff(np.append(part, len(words))), PART_WORDS))
+    return whole, (_hashed(words, part), owner[part])
+
+
+def wide(h: np.ndarray) -> np.ndarray:
+    """``(n, EXACT)`` uint32 lanes of paragraph hashes."""
+    return w.mix(h[:, None] ^ _EXACT_KEYS[None, :]).view(np.uint32)
+
+
+def signs(h: np.ndarray) -> np.ndarray:
+    """``(n, NEAR)`` int8 lanes of part hashes."""
     bits = w.mix(h[:, None] ^ _NEAR_KEYS[None, :])
-    signs = np.unpackbits(bits.view(np.uint8), axis=1)[:, :NEAR].astype(np.int8) * 2 - 1
-    return wide.view(np.uint32), signs
+    return np.unpackbits(bits.view(np.uint8), axis=1)[:, :NEAR].astype(np.int8) * 2 - 1
 
 
-def sums(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """``(n, bytes)`` fingerprints of ``n`` texts; ``owner`` ascends."""
-    exact = np.zeros((n, EXACT), dtype=np.uint32)
-    near = np.zeros((n, NEAR), dtype=np.uint32)
-    if len(h):
+def _added(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Rows added up per text, modulo 2**32; ``owner`` ascends."""
+    out = np.zeros((n, values.shape[1]), dtype=np.uint32)
+    if len(owner):
         head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        e, s = vectors(h)
-        exact[owner[head]] = np.add.reduceat(e, head, axis=0)
-        near[owner[head]] = np.add.reduceat(s, head, axis=0, dtype=np.int64).astype(np.uint32)
+        out[owner[head]] = np.add.reduceat(values, head, axis=0, dtype=np.int64).astype(np.uint32)
+    return out
+
+
+def sums(whole: tuple[np.ndarray, np.ndarray], parts: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """``(n, bytes)`` fingerprints of ``n`` texts from what ``paragraphs`` gives."""
+    exact, near = _added(wide(whole[0]), whole[1], n), _added(signs(parts[0]), parts[1], n)
     return np.concatenate([exact.astype("<u4").view(np.uint8), near.astype("<u4").view(np.uint8)], axis=1)
 
 

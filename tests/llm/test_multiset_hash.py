@@ -63,6 +63,36 @@ def test_a_line_that_stands_very_often():
     assert (m.combine(a, b, -1) == fp(line * (n - 2 * n // 3))).all()
 
 
+def test_sentences_end_in_any_script():
+    for one, two in (('He said "go."', "Then left."), ("(Yes!)", "No."), ("क ख।", "ग घ।"), ("«Oui?»", "Non.")):
+        assert (fp(f"{one} {two}") == fp(f"{two} {one}")).all()
+    assert (fp("一二。三四！」五六。") == fp("五六。三四！」一二。")).all()
+    assert (fp("a. b c") != fp("a. c b")).any() and (fp("「一二」三四") != fp("三四「一二」")).any()
+
+
+def test_long_texts_without_stops_are_found_again():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    sign = lambda: chr(rng.randrange(0x4E00, 0x9000))
+    kinds = (
+        lambda: " ".join(word() for _ in range(900)),
+        lambda: "".join(sign() for _ in range(2000)),
+        lambda: "".join(word() for _ in range(600)),
+    )
+    for kind in kinds:
+        text, after = kind(), " ".join(word() for _ in range(2000))
+        a, b, c = fp(text, m.edit(text, after), "new start here " + text)
+        assert m.likeness(a[None], b[None])[0] > 0.4 and m.likeness(a[None], c[None])[0] > 0.8
+    for text in ("x" * 20_000, "again and " * 2000):
+        ((_, _, t),) = m.w.runs(pa.array([text]))
+        whole, parts = m.paragraphs(t)
+        assert len(whole[0]) == 1 and len(parts[0]) > 5
+    # Parts leave equality alone: words in another order are another text.
+    text = [word() for _ in range(200)]
+    assert (fp(" ".join(text)) != fp(" ".join(text[100:] + text[:100]))).any()
+    assert (fp("x" * 100) != fp("x" * 64 + " " + "x" * 36)).any()
+
+
 def expected(rows):
     """By descending id, greater text key first, null ids last."""
     key = lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest())
