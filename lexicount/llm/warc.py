@@ -138,6 +138,8 @@ def seek_table(source) -> list[tuple[int, int, int]]:
     for c, d in struct.iter_unpack("<II", source.read(8 * n)):
         out.append((at, c, d))
         at += c
+    if at + 8 + 8 * n + 9 != total:
+        raise ValueError("the seek table does not fit the bundle")
     return out
 
 
@@ -217,19 +219,26 @@ def archived(
 
 
 def read_records(files, path: str, wanted: list[dict]) -> list[tuple[dict, dict[str, str], bytes]]:
-    """The wanted records (index rows) of one bundle: each frame is fetched by
-    its place and decompressed once, whatever the rest of the bundle holds."""
+    """The wanted records (index rows) of one bundle: the seek table gives the
+    place of each frame by its number; the frame is fetched and decompressed
+    once, whatever the rest of the bundle holds."""
     import zstandard
 
     unzip = zstandard.ZstdDecompressor()
     out = []
     with files.open_input_file(path) as source:
-        at, data = None, b""
-        for row in sorted(wanted, key=lambda r: (r["at"], r["begin"])):
-            if row["at"] != at:
-                at = row["at"]
+        table = seek_table(source)
+        frame, data = None, b""
+        for row in sorted(wanted, key=lambda r: (r["frame"], r["begin"])):
+            if row["frame"] != frame:
+                frame = row["frame"]
+                if not 0 <= frame < len(table):
+                    raise ValueError(f"{path}: no frame {frame} in the seek table")
+                at, packed, size = table[frame]
                 source.seek(at)
-                data = unzip.decompress(source.read(row["size"]))
+                data = unzip.decompress(source.read(packed))
+                if len(data) != size:
+                    raise ValueError(f"{path}: frame {frame} has {len(data)} bytes, the seek table says {size}")
             headers, block = parse(data[row["begin"] : row["begin"] + row["length"]])
             out.append((row, headers, block))
     return out

@@ -95,6 +95,32 @@ def test_damage_is_found(spark):
         warc.parse(b"HTTP/1.1 200\r\n\r\n")
 
 
+def test_frames_are_found_by_the_seek_table(spark):
+    index = warc.archived(pages_of(spark).coalesce(1), per_frame=4)
+    # The places that the index names as well are not what is read by.
+    blind = index.selectExpr("page_id", "bundle", "frame", "-1L AS at", "-1L AS size", "begin", "length")
+    assert sorted((tuple(r) for r in warc.read_back(blind).collect()), key=str) == expected(ROWS)
+    name = index.first().bundle
+    files, path = warc._open(name)
+    with files.open_input_file(path) as f:
+        table = warc.seek_table(f)
+        f.seek(0)
+        whole = f.read()
+    foot = len(whole) - 9 - 8 * len(table)
+    first = foot + 8  # the second entry
+    wrong = (
+        whole[:foot] + whole[first : first + 8] + whole[foot:first] + whole[first + 8 :],  # two entries swapped
+        whole[: foot + 4] + b"\x01\x00\x00\x00" + whole[first:],  # another size
+        whole[:foot] + b"\x01\x00\x00\x00" + whole[foot + 4 :],  # another compressed size
+    )
+    for k, body in enumerate(wrong):
+        files, other = warc._open(f"{name}.{k}")
+        with files.open_output_stream(other, compression=None) as out:
+            out.write(body)
+        with pytest.raises(Exception, match="seek table|[Zz]std|decompress|frame"):
+            warc.read_records(files, other, [r.asDict() for r in index.collect()])
+
+
 def test_record_headers():
     text = warc.record(4, "http://x/\r\nWARC-Type: evil", b"", 7, "A" * 32, 9, True)
     headers, block = warc.parse(text)
