@@ -171,32 +171,41 @@ def _bags(batches: Batches) -> Batches:
     for b in batches:
         found = bags(b.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [b.column("lang"), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([c.astype(np.float32) for _, c in found], pa.list_(pa.float32()))],
-            ["lang", "bucket", "share"],
+            [b.column("lang"), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([c.astype(np.float32) for _, c in found], pa.list_(pa.float32())), b.column("draw")],
+            ["lang", "bucket", "share", "draw"],
         )
 
 
 def learned(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column | None = None, per_label: int = PER_LABEL) -> Model:
     """A model from the labelled rows that pass ``where``; the sample is drawn
-    by a hash of the text, the label left out."""
+    by a hash of the text, the label left out. Copies of a text under one label
+    are one example, and count as one."""
     rows = docs.filter(where) if where is not None else docs
     rows = pick(rows, lang=lang, text=text).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LABELS).collect()
+    texts = F.approx_count_distinct(F.xxhash64("text")).alias("texts")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), texts).orderBy(F.desc("n"), "lang").limit(MAX_LABELS).collect()
     if not counts:
         return train([])
     share = F.lit(0.0)
     for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_label / r["count"]))).otherwise(share)
+        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_label / max(1, r["texts"])))).otherwise(share)
     draw = F.pmod(F.xxhash64("text", F.lit(1707)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.filter(draw < share).limit(2 * per_label * len(counts))
-    got = map_arrow(sample, _bags, "lang string, bucket array<int>, share array<float>").toArrow()
-    examples = [
-        (x, np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float64))
-        for x, b, c in zip(got["lang"].to_pylist(), got["bucket"].to_numpy(), got["share"].to_numpy(), strict=True)
+    # Texts are drawn apart from each other, so a label has about per_label of them.
+    sample = rows.filter(draw < share).dropDuplicates(["lang", "text"]).withColumn("draw", draw)
+    got = map_arrow(sample, _bags, "lang string, bucket array<int>, share array<float>, draw double").toArrow()
+    drawn = [
+        (x, d, np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float64))
+        for x, d, b, c in zip(got["lang"].to_pylist(), got["draw"].to_pylist(), got["bucket"].to_numpy(), got["share"].to_numpy(), strict=True)
     ]
-    del got
+    # Whatever order they came in; of each label the least draws.
+    drawn.sort(key=lambda e: (e[0], e[1], len(e[2]), e[2].tobytes(), e[3].tobytes()))
+    examples, taken = [], {}
+    for x, _, b, c in drawn:
+        taken[x] = taken.get(x, 0) + 1
+        if taken[x] <= 2 * per_label:
+            examples.append((x, b, c))
+    del got, drawn
     pa.default_memory_pool().release_unused()  # the driver keeps the examples only
-    examples.sort(key=lambda e: (e[0], len(e[1]), e[1].tobytes(), e[2].tobytes()))  # whatever order they came in
     return train([e for e in examples if len(e[1])])
 
 

@@ -73,6 +73,20 @@ def test_training_does_not_depend_on_the_order(spark, data):
     assert np.array_equal(a.table, b.table) and a.threshold == b.threshold
 
 
+def test_copies_are_one_example(spark, monkeypatch):
+    name = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
+    rows = [("a", "copied text")] * 3000 + [("a", f"text number {name(k)}") for k in range(300)]
+    rows += [("b", "other")] * 300 + [("b", f"autre texte {name(k)}") for k in range(100)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    monkeypatch.setattr(g, "train", lambda examples: examples)
+    one, two = g.learned(docs.repartition(3), per_label=150), g.learned(docs.repartition(7), per_label=150)
+    key = [(x, b.tolist(), c.tolist()) for x, b, c in one]
+    assert key == [(x, b.tolist(), c.tolist()) for x, b, c in two]
+    labels = [x for x, _, _ in one]
+    assert 90 < labels.count("a") < 220 and 90 <= labels.count("b") <= 101
+    assert len({str(k) for k in key}) == len(key)
+
+
 def test_long_training_on_noisy_labels_stays_finite():
     rng = np.random.default_rng(0)
     examples = []
