@@ -59,7 +59,7 @@ def test_line_counts_brute_force(spark, batch):
 
 
 def test_partitions_do_not_change_results(spark):
-    from conftest import SF_SMALL
+    from locations import SF_SMALL
     from lexicount import table, words
 
     docs = table(spark, SF_SMALL, "documents")
@@ -78,7 +78,7 @@ def test_non_empty_drops_empty_and_null_words(spark):
 
 
 def test_lookup_agrees_with_word_count_on_real_text(spark):
-    from conftest import SF_SMALL
+    from locations import SF_SMALL
     from lexicount import rank_by_count, table
 
     docs = table(spark, SF_SMALL, "documents")

@@ -6,7 +6,7 @@ import subprocess
 import sys
 import tempfile
 
-from conftest import ROOT, SF_SMALL
+from locations import ROOT, SF_SMALL
 
 # Runs in its own process: `local[4,4]` lets a failed task be retried, which a
 # plain local master does not. The failing UDF exists only in this test.

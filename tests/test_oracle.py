@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_ORACLE
+from locations import SF_ORACLE
 
 import __spark_entry__ as entry_mod
 from lexicount.queries import ORACLE_SQL, QUERIES

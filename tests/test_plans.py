@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_ORACLE
+from locations import SF_ORACLE
 from lexicount import table, word_count
 from lexicount.plans import repartitioned
 from lexicount.queries import QUERIES
@@ -90,7 +90,7 @@ def _shape(df):
 
 @pytest.mark.parametrize("name", TOKENISING)
 def test_plan_does_not_follow_the_size(spark, name):
-    from conftest import SF_SMALL
+    from locations import SF_SMALL
 
     small, large = (_shape(QUERIES[name](spark, d)) for d in (SF_SMALL, "/root/testdata/sf0.1"))
     assert small == large
