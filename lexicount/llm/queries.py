@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lexicount.llm import (
     bagminhash,
     langid,
+    line_dedup,
     merge_dropout,
     multiset_hash,
     packing,
@@ -97,6 +98,12 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
     return warc.read_back(warc.archived(table(spark, d, "pages")))
 
 
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    docs = _docs(spark, d)
+    kept = line_dedup.applied(docs, line_dedup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +121,7 @@ QUERIES = {
     "op8_overlap_token_counts": op8,
     "op9_toxic_segments": op9,
     "op10_seekable_warc": op10,
+    "op13_line_keep_bitmaps": op13,
     "pipeline": pipeline,
 }
 
@@ -162,4 +170,19 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM b
 """
 
-ORACLE_SQL = {"op1_line_frequency": _OP1, "op10_seekable_warc": _OP10}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_OP13 = f"""
+WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), unnest(generate_series(1, len(ls))) t(i)),
+k AS (SELECT *, {_LOWER.format(f"trim(line, {_BLANK})")} AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first_id FROM k WHERE length(key) >= {line_dedup.LEAST_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, f.first_id IS NOT NULL AND f.first_id <> doc_id AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
+"""
+
+ORACLE_SQL = {
+    "op1_line_frequency": _OP1,
+    "op10_seekable_warc": _OP10,
+    "op13_line_keep_bitmaps": _OP13,
+}
