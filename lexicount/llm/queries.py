@@ -15,6 +15,7 @@ from lexicount.llm import (
     packing,
     quality,
     secret_scan,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -98,6 +99,10 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
     return warc.read_back(warc.archived(table(spark, d, "pages")))
 
 
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_docs(spark, d), slip=spelling.SLIP))
+
+
 def op13(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d)
     kept = line_dedup.applied(docs, line_dedup.keep_bitmaps(docs))
@@ -121,6 +126,7 @@ QUERIES = {
     "op8_overlap_token_counts": op8,
     "op9_toxic_segments": op9,
     "op10_seekable_warc": op10,
+    "op11_spelling_variants": op11,
     "op13_line_keep_bitmaps": op13,
     "pipeline": pipeline,
 }
@@ -181,7 +187,33 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
 """
 
+# crc32 by its table, over the UTF-8 bytes (letters above ASCII have two).
+_OP11 = f"""
+WITH RECURSIVE o AS MATERIALIZED (SELECT doc_id, run, count(*) AS c FROM (
+       SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+'))")} AS run FROM documents)
+     WHERE length(run) >= {spelling.LEAST_CHARS} GROUP BY ALL),
+t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) AS crc),
+b AS (SELECT doc_id, run, c, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END)) AS bytes FROM o),
+h AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, bytes), lambda s, x: xor(crc[(xor(s, x) & 255) + 1], s >> 8)), 4294967295) AS h FROM b, t),
+s AS (SELECT c, CASE WHEN h % {spelling.SLIP} <> 0 THEN run
+        ELSE substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) END AS word FROM h),
+v AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM s WHERE length(word) >= {spelling.LEAST_CHARS} GROUP BY word HAVING sum(c) >= {spelling.LEAST_COUNT}),
+d AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM v, unnest(generate_series(1, length(word))) u(i)),
+p AS MATERIALIZED (SELECT x.word, x.n, y.word AS other, y.n AS m FROM d x JOIN d y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM d y JOIN v x ON y.rest = x.word
+  UNION SELECT y.word, y.n, x.word, x.n FROM d y JOIN v x ON y.rest = x.word),
+a AS (SELECT word, n, count(*) AS n_near, min(struct_pack(m := -m, other := other)) AS best FROM p GROUP BY ALL),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN -best.m >= {spelling.RATIO} * v.n THEN best.other END AS form, CASE WHEN -best.m >= {spelling.RATIO} * v.n THEN -best.m END AS form_n
+      FROM v LEFT JOIN a USING (word)),
+r AS (SELECT word, word AS root, form AS onward FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON r.onward = f.word)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON f.word = r.word AND r.onward IS NULL
+"""
+
 ORACLE_SQL = {
+    "op11_spelling_variants": _OP11,
     "op1_line_frequency": _OP1,
     "op10_seekable_warc": _OP10,
     "op13_line_keep_bitmaps": _OP13,

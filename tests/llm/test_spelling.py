@@ -1,0 +1,150 @@
+"""Operator 11: words, slips, near words, roots."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entry
+from lexicount.llm import _words as w
+from lexicount.llm import spelling
+from tools.oracle_check import duck, rows_of
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def counted(rows, slip=None, least_chars=6, least_count=5):
+    n = Counter()
+    for i, t in rows:
+        for run in RUN.findall(t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if slip and h % slip == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    return {x: c for x, c in n.items() if len(x) >= least_chars and c >= least_count}
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def brute(n, ratio=5):
+    rests = defaultdict(set)
+    for x in n:
+        for k in range(len(x)):
+            rests[x[:k] + x[k + 1 :]].add(x)
+        rests[x].add(x)
+    out, form = {}, {}
+    for x in n:
+        others = {y for k in range(len(x)) for y in rests[x[:k] + x[k + 1 :]]} | rests[x]
+        close = [y for y in others if near(x, y)]
+        best = min(close, key=lambda y: (-n[y], y), default=None)
+        if best is not None and n[best] >= ratio * n[x]:
+            form[x] = best
+        out[x] = len(close)
+    for x in n:
+        root = x
+        while root in form:
+            root = form[root]
+        out[x] = (form.get(x), root, n[x], out[x], n.get(form.get(x)))
+    return out
+
+
+def got(df):
+    rows = df.collect()
+    assert len({r.word for r in rows}) == len(rows)
+    return {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows}
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("slip", [None, 3])
+def test_awkward_rows(spark, awkward, slip):
+    want = counted(pairs(awkward), slip, 3, 2)
+    words = spelling.word_counts(awkward, least_chars=3, least_count=2, slip=slip)
+    assert {r.word: r.n for r in words.collect()} == want
+    assert got(spelling.variants(words, sample=40, cell=4)) == brute(want)
+
+
+def test_empty_table(spark, empty):
+    words = spelling.word_counts(empty, slip=2)
+    assert words.count() == 0 and spelling.variants(words).count() == 0
+
+
+def made_up(seed=3, n=900, alphabet="abé", sizes=(1, 9)):
+    """Words over few letters: many are near, many share their letter counts."""
+    rng = random.Random(seed)
+    words = {"".join(rng.choice(alphabet) for _ in range(rng.randint(*sizes))) for _ in range(n)}
+    return {x: int(5 * 3 ** rng.randint(0, 6)) for x in words}
+
+
+@pytest.mark.parametrize("sample,cell", [(5, 3), (100, 10), (100_000, 10_000)])
+def test_dense_words(spark, sample, cell):
+    """Cells that hold far more words than they should are dealt into blocks."""
+    n = made_up()
+    df = spark.createDataFrame(list(n.items()), "word string, n long")
+    assert got(spelling.variants(df, sample=sample, cell=cell)) == brute(n)
+
+
+def test_long_words(spark):
+    base = "ab" * 90
+    words = {base: 700, base[:-1]: 5, base + "c": 100, "x" * 129: 6, "x" * 128: 40, "x" * 127: 300, "x" * 64 + "y" + "x" * 64: 5}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    assert got(spelling.variants(df, sample=10, cell=1)) == brute(words)
+
+
+def test_chains(spark):
+    words = {"a" * k: 5**k for k in range(1, 20)}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    out = got(spelling.variants(df))
+    assert out == brute(words) and out["a"][1] == "a" * 19
+
+
+def test_crc_of_spans():
+    rng = np.random.default_rng(1)
+    buf = rng.integers(0, 256, 5000, dtype=np.uint8)
+    start, size = rng.integers(0, 4000, 300), np.concatenate([rng.integers(0, 40, 297), [127, 128, 900]])
+    state = rng.integers(0, 2**32, 300, dtype=np.uint32)
+    want = [zlib.crc32(buf[a : a + n].tobytes(), int(s)) for a, n, s in zip(start, size, state, strict=True)]
+    assert spelling.crc_spans(buf, start, size, state).tolist() == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aBzZÀÿ×¾Ā€ 1'\n", max_size=30), min_size=1, max_size=6))
+def test_letter_runs(texts):
+    (_, _, t), = w.runs(pa.array(texts), 1 << 20)
+    low, start, size, chars = spelling.letter_runs(t)
+    found = [low[a : a + n].tobytes().decode() for a, n in zip(start, size, strict=True)]
+    want = [x.translate(LOWER) for s in texts for x in RUN.findall(s)]
+    assert found == want and chars.tolist() == [len(x) for x in want]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abé", min_size=1, max_size=6), st.text(alphabet="abé", min_size=1, max_size=7))
+def test_one_edit(x, y):
+    a, b = (spelling.letters(pa.array([s])) for s in (x, y))
+    zero = np.zeros(1, np.int64)
+    assert spelling.one_edit(a, zero, b, zero)[0] == (len(y) >= len(x) and near(x, y))
+    if near(x, y):
+        assert np.abs(a.vectors() - b.vectors()).sum() <= 2
+
+
+def test_query_against_sql(spark, data):
+    df = entry.queries()["op11_spelling_variants"](spark, data)
+    rel = duck(data).sql(entry.oracle_sql()["op11_spelling_variants"])
+    assert df.columns == rel.columns
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
+    assert [str(x) for x in rel.types] == ["VARCHAR", "VARCHAR", "VARCHAR", "BIGINT", "BIGINT", "BIGINT"]
