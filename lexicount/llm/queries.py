@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexicount.llm import (
     bagminhash,
+    collocations,
     langid,
     line_dedup,
     merge_dropout,
@@ -103,6 +104,10 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(_docs(spark, d), slip=spelling.SLIP))
 
 
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(_docs(spark, d))
+
+
 def op13(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d)
     kept = line_dedup.applied(docs, line_dedup.keep_bitmaps(docs))
@@ -127,6 +132,7 @@ QUERIES = {
     "op9_toxic_segments": op9,
     "op10_seekable_warc": op10,
     "op11_spelling_variants": op11,
+    "op12_phrase_collocations": op12,
     "op13_line_keep_bitmaps": op13,
     "pipeline": pipeline,
 }
@@ -212,9 +218,27 @@ r AS (SELECT word, word AS root, form AS onward FROM f UNION ALL SELECT r.word,
 SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON f.word = r.word AND r.onward IS NULL
 """
 
+_OP12 = f"""
+WITH p AS (SELECT coalesce(lang, '{collocations.UNKNOWN}') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS MATERIALIZED (SELECT lang, ws[i:i+k-1] AS ws, count(*)::HUGEINT AS f FROM w, unnest(generate_series(1, {collocations.MOST_WORDS})) a(k),
+      unnest(generate_series(1, len(ws) - k + 1)) b(i) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+c AS (SELECT lang, ws, f AS a FROM g WHERE len(ws) > 1),
+s AS (SELECT c.lang, c.ws, c.a, k, x.f AS l, y.f AS r, ({collocations.SCALE}::HUGEINT * c.a) // (x.f + y.f) AS score
+      FROM c, unnest(generate_series(1, len(c.ws) - 1)) t(k) JOIN g x ON x.lang = c.lang AND x.ws = c.ws[1:k] JOIN g y ON y.lang = c.lang AND y.ws = c.ws[k+1:]),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+v AS (SELECT DISTINCT c.lang, c.ws FROM c JOIN (SELECT x.lang, x.ws[i:i+k-1] AS ws, x.a FROM c x, unnest(generate_series(2, len(x.ws) - 1)) t(k),
+      unnest(generate_series(1, len(x.ws) - k + 1)) u(i)) z ON z.lang = c.lang AND z.ws = c.ws AND 100 * z.a >= {collocations.COVERED} * c.a),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+o AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM m ANTI JOIN v USING (lang, ws))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM o JOIN n USING (lang) QUALIFY rank <= {collocations.TOP}
+"""
+
 ORACLE_SQL = {
-    "op11_spelling_variants": _OP11,
     "op1_line_frequency": _OP1,
     "op10_seekable_warc": _OP10,
+    "op11_spelling_variants": _OP11,
+    "op12_phrase_collocations": _OP12,
     "op13_line_keep_bitmaps": _OP13,
 }

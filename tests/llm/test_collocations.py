@@ -1,0 +1,141 @@
+"""Operator 12: summaries, exact counts, cuts and ranks."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entry
+from lexicount.llm import _words as w
+from lexicount.llm import collocations as co
+from tools.oracle_check import duck, rows_of
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BREAK, WORD = re.compile("[.,;:!?\n\x0b\x0c\r]"), re.compile("[^ \t]+")
+
+
+def counted(rows, most=4):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in BREAK.split((text or "").translate(LOWER)):
+            ws = WORD.findall(piece)
+            n[lang] += len(ws)
+            for k in range(1, most + 1):
+                f[lang].update(tuple(ws[i : i + k]) for i in range(len(ws) - k + 1))
+    return f, n
+
+
+def brute(rows, least, top):
+    f, n = counted(rows)
+    out = set()
+    for lang, phrases in f.items():
+        cand = {p: a for p, a in phrases.items() if len(p) > 1 and a >= least}
+        covered = {
+            p[i : i + k] for p, b in cand.items() for k in range(2, len(p)) for i in range(len(p) - k + 1) if 100 * b >= 80 * cand[p[i : i + k]]
+        }
+        rows_ = []
+        for p, a in cand.items():
+            cuts = [(2_000_000 * a // (phrases[p[:k]] + phrases[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            if p not in covered:
+                rows_.append((-score, -a, " ".join(p).encode(), phrases[p[:k]], phrases[p[k:]]))
+        for rank, (s, a, p, x, y) in enumerate(sorted(rows_)[:top], 1):
+            out.add((lang, rank, p.decode(), -a, x, y, n[lang], -s))
+    return out
+
+
+def pairs(df):
+    return [(r.lang, r.text) for r in df.select("lang", "text").collect()]
+
+
+def got(df, **options):
+    rows = [tuple(r) for r in co.collocations(df, **options).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_awkward_rows(spark, awkward):
+    assert got(awkward, least=3, top=50) == brute(pairs(awkward), 3, 50)
+
+
+def test_empty_table(spark, empty):
+    assert got(empty) == set()
+
+
+def made_up(n=300):
+    rng = random.Random(12)
+    words = ["the", "of", "New", "York", "city", "É", "a\x1fb", "tab", "x"]
+    weights = [30, 20, 6, 6, 3, 2, 1, 2, 5]
+    rows = []
+    for k in range(n):
+        text = "".join(
+            "new york city hall " if rng.random() < 0.1 else rng.choices(words, weights)[0] + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".\n", "!"])
+            for _ in range(rng.randint(0, 80))
+        )
+        rows.append((["en", "fr", None][k % 3], text))
+    return rows
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"counters": 4}, {"counters": 4, "held": 50, "filter_bytes": 8}, {"filter_bytes": 1}, {"counters": 64, "held": 10},
+])
+def test_small_summaries_lose_nothing(spark, options):
+    """However few counters, phrases held or filter bits: the same rows."""
+    rows = made_up()
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(7)
+    assert got(df, least=5, top=40, **options) == brute(rows, 5, 40)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 9)), max_size=40), min_size=1, max_size=8), st.integers(2, 20))
+def test_misra_gries_bound(parts, least):
+    true = Counter()
+    for part in parts:
+        for k, c in part:
+            true[k] += c
+    mass = sum(true.values())
+    summary = co.Summary(mass // least + 1)
+    for part in parts:
+        keys, counts = co.summed(np.asarray([k for k, _ in part], np.uint64), np.asarray([c for _, c in part], np.int64))
+        summary.add(keys, counts)
+        summary.merge()
+    assert summary.error < least and len(summary.keys) <= summary.capacity
+    assert {k for k, c in true.items() if c >= least} <= set(summary.survivors(least).tolist())
+    for k, c in zip(summary.keys.tolist(), summary.counts.tolist(), strict=True):
+        assert c <= true[k] <= c + summary.error
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aBé .,\t\n\x1f", max_size=40), min_size=1, max_size=5), st.integers(1, 4))
+def test_windows_and_texts(texts, n):
+    (_, _, t), = w.runs(pa.array(texts), 1 << 20)
+    p = co.Phrases(t, ["en"] * len(texts))
+    _, at = p.windows(n)
+    found = Counter(co._texts(p, at, n).to_pylist())
+    want, _ = counted([("en", x) for x in texts])
+    assert found == Counter({" ".join(k): c for k, c in want["en"].items() if len(k) == n})
+
+
+def test_large_counts(spark):
+    """Counts whose products pass 64 bits."""
+    big = 3 * 10**17
+    rows = [("en", "a b", big), ("en", "a", 2 * big), ("en", "b", 2 * big + 1), ("en", "a b c", big // 2), ("en", "c", big), ("en", "b c", big // 2 + 7)]
+    df = spark.createDataFrame(rows, "lang string, phrase string, n long")
+    out = {r.phrase: (r.l, r.r, r.score) for r in co.scored(df).collect()}
+    assert out["a b"] == (2 * big, 2 * big + 1, 2_000_000 * big // (4 * big + 1))
+    assert "b c" not in out and out["a b c"][2] == min(2_000_000 * (big // 2) // (big + big), 2_000_000 * (big // 2) // (2 * big + big // 2 + 7))
+
+
+def test_query_against_sql(spark, data):
+    df = entry.queries()["op12_phrase_collocations"](spark, data)
+    rel = duck(data).sql(entry.oracle_sql()["op12_phrase_collocations"])
+    assert df.columns == rel.columns
+    mine = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    assert mine == rows_of(rel.columns, rel.fetchall()) and len(mine) > 100
+    assert [str(x) for x in rel.types] == ["VARCHAR", "BIGINT", "VARCHAR", "BIGINT", "BIGINT", "BIGINT", "BIGINT", "BIGINT"]
