@@ -45,18 +45,18 @@ from lexicount.llm._spark import Batches, map_arrow, pick, written
 LEAST, MOST_WORDS, COVERED, SCALE, TOP = 30, 4, 80, 2_000_000, 2000
 UNKNOWN = "und"
 #: Counters that a hash partition of ordinary mass keeps.
-COUNTERS = 1 << 15
+COUNTERS = 1 << 14
 #: Bytes of text for each occurrence of a phrase, to choose the partitions by.
 BYTES_EACH = 2
 #: Phrases that a task holds before it hands on its summaries.
-HELD = 6_000_000
+HELD = 1_000_000
 #: Occurrences that are summed at once in a task.
-PENDING = 2_000_000
+PENDING = 500_000
 #: Filter bits for each counter, and the most bytes of the whole filter.
 BITS_EACH, FILTER_BYTES = 8, 1 << 26
 #: Ranks are first taken in so many groups of each language.
 RANK_GROUPS = 256
-_RUN = 4 << 20
+_RUN = 1 << 20
 _U = w.U64
 _KEY_BITS = 40
 
@@ -142,9 +142,18 @@ class Summary:
         return self.keys[self.counts + self.error >= least]
 
 
+def counted_once(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with how often they occur; sorts in place."""
+    keys.sort()
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[head], np.diff(np.append(head, len(keys)))
+
+
 def _parted(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(partition, key within it)``."""
-    return (h % _U(parts)).astype(np.int64), h >> _U(64 - _KEY_BITS)
+    """``(partition, key within it)``; partitions are ranges of hashes."""
+    return (((h >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64), h & _U((1 << _KEY_BITS) - 1)
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -162,10 +171,8 @@ _SUMMARY = "part long, kind int, mass long, once binary, more binary, counts bin
 
 
 def _summaries(keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
-    """A header and a summary for each hash partition."""
+    """A header and a summary for each hash partition, of sorted keys."""
     part, key = _parted(keys, parts)
-    order = np.argsort(part, kind="stable")
-    part, key, counts = part[order], key[order], counts[order]
     edge = np.searchsorted(part, np.arange(parts + 1))
     rows = []
     for p in np.flatnonzero(np.diff(edge)).tolist():
@@ -190,22 +197,27 @@ def _summarise(parts: int, most_words: int, held: int):
     def run(batches: Batches) -> Batches:
         none = (np.zeros(0, _U), np.zeros(0, np.int64))
         have, pending, n = none, [], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            if not pending:
+                return have
+            keys, counts = counted_once(np.concatenate(pending))
+            pending.clear()
+            return summed(np.concatenate([have[0], keys]), np.concatenate([have[1], counts]))
+
         for b in batches:
             for _, p in _runs(b):
                 for k in range(1, most_words + 1):
-                    h, _ = p.windows(k)
-                    pending.append(h)
-                    n += len(h)
-                if n >= PENDING:
-                    new = np.concatenate(pending)
-                    have = summed(np.concatenate([have[0], new]), np.concatenate([have[1], np.ones(len(new), np.int64)]))
-                    pending, n = [], 0
+                    pending.append(p.windows(k)[0])
+                    n += len(pending[-1])
+                    if n >= PENDING:
+                        have, n = added(), 0
                 if len(have[0]) >= held:
                     yield _summaries(*have, parts)
                     have = none
-        if n or len(have[0]):
-            new = np.concatenate(pending) if pending else none[0]
-            yield _summaries(*summed(np.concatenate([have[0], new]), np.concatenate([have[1], np.ones(len(new), np.int64)])), parts)
+        have = added()
+        if len(have[0]):
+            yield _summaries(*have, parts)
 
     return run
 
