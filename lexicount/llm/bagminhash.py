@@ -14,19 +14,22 @@ made for a time window that is doubled until every register is filled, so a
 long text makes few points per shingle.
 
 Signatures are cut into bands; texts that share a band are candidates unless
-their sizes, or their sketches (four bits of every register, compared inside
-the join), put them below the similarity, the latter by ``MARGIN`` standard
-errors; every candidate is verified by the exact multiset overlap of its
-shingles. The pairs that are left at the end (see below) are held against the
-sketches of a far longer signature, made only for the texts concerned. So
-texts that are merely related meet in a band, but make no rows.
-Classes are the connected components of the verified links. Within a band
-bucket no pairs are made between texts that already share a class: rounds of
-star-shaped candidates (each text against one leader of the bucket, another
-in every bucket and round) are
-verified and merged first, then the pairs of texts of *different* classes
-that still share a bucket. So a bucket with thousands of near copies costs
-rows in proportion to its size, and no verified link is given up.
+their sizes, or their sketches (four bits of every register), put them below
+the similarity, the latter by ``MARGIN`` standard errors; every candidate is
+verified by the exact multiset overlap of its shingles. Classes are the
+connected components of the verified links.
+
+No pair of texts is ever a row. A band bucket is dealt into blocks of at most
+about ``BLOCK`` texts and ``BLOCK_SHINGLES`` shingles; a block, or two, is
+compared in one task, first by sketch, which gives the texts that may have a
+partner in another class, then those by their bags of shingles, as products of
+(text, shingle) matrices. Of the links that hold a task returns as many as join
+its classes. The blocks of the first ``FIRST_BANDS`` bands are joined before
+those of the others, and those before pairs of blocks, so that texts that share
+a class by then are not compared: a bucket with thousands of near copies costs
+little, and no verified link is given up. What is left grows with the square of
+the texts of one bucket that are near the similarity but in no common class:
+their number of comparisons does, not their rows or the memory they take.
 
 Texts without words are equal to each other only if their bytes are; null
 counts as empty. Exact copies are one text before anything is compared.
@@ -42,17 +45,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexicount.llm import _blocks
 from lexicount.llm import _words as w
 from lexicount.llm._spark import Batches, map_arrow, packed_row, pick, text_key, unpacked, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
-STAR_ROUNDS = 3
+#: Bands whose buckets are looked at first.
+FIRST_BANDS = 3
+#: Texts and shingles of a block, about.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 22
 #: Standard errors by which a sketch may fall short of the similarity.
 MARGIN = 4.0
-#: Registers of the longer signature, one bit of each.
-FINE = 2048
 _U = w.U64
 
 
@@ -156,36 +161,26 @@ def sketches(sig: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(bits[:, ::2] | (bits[:, 1::2] << 4)).view("<i8")
 
 
-def fine_sketches(sig: np.ndarray) -> np.ndarray:
-    """``(n, words)`` int64: one bit of every register, 64 to a word."""
-    return np.ascontiguousarray(np.packbits((w.keyed(sig, 19) & _U(1)).astype(np.uint8), axis=1)).view("<i8")
-
-
 def most_unequal(similarity: float, m: int, bits: int = 4) -> int:
     """Registers of ``m`` that may differ in the sketches of similar texts."""
     p = similarity + (1 - similarity) / 2**bits
     return int(m * (1 - p) + MARGIN * math.sqrt(m * p * (1 - p)))
 
 
-def _unequal(a: list[str], b: list[str]) -> Column:
-    """How many registers differ in two sketches."""
-    total = F.lit(0)
-    for x, y in zip(a, b, strict=True):
-        d = F.col(x).bitwiseXOR(F.col(y))
-        d = d.bitwiseOR(F.shiftright(d, 1))
-        d = d.bitwiseOR(F.shiftright(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + F.bit_count(d)
-    return total
-
-
-def _fine(batches: Batches) -> Batches:
+def _bags(batches: Batches) -> Batches:
+    """Every text's shingles, the ``k``-th repeat of one an element of its own."""
     for b in batches:
         low = pc.utf8_lower(pc.fill_null(b.column("text").cast(pa.large_string()), ""))
         for i, j, t in w.runs(low, run_bytes=1 << 20):
-            words = fine_sketches(signatures(*bags(*shingles(t)), t.n, FINE))
+            h, owner, weight = bags(*shingles(t))
+            again = w.spread(np.zeros(len(h), np.int64), weight).astype(_U)
+            token = w.mix(np.repeat(h, weight) ^ w.keyed(again, 20))
+            total = np.bincount(owner, weights=weight, minlength=t.n).astype(np.int64)
+            off = np.concatenate([[0], np.cumsum(total)])
+            raw = token.astype("<u8").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column("t_id").slice(i, j - i), *(pa.array(words[:, k]) for k in range(words.shape[1]))],
-                ["f_id", *(f"f{k}" for k in range(words.shape[1]))],
+                [b.column("id").slice(i, j - i), pa.array([raw[8 * off[k] : 8 * off[k + 1]] for k in range(t.n)], pa.binary())],
+                ["b_id", "bag"],
             )
 
 
@@ -220,37 +215,6 @@ def _sign(bands: int, rows: int):
     return run
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two sorted ``(hash, weight)`` bags."""
-    _, x, y = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][x], b[1][y]).sum())
-    either = int(a[1].sum() + b[1].sum()) - both
-    return both / either if either else 1.0
-
-
-def _bag_list(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    out = []
-    low = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    for _, _, t in w.runs(low):
-        h, owner, weight = bags(*shingles(t))
-        cut = np.searchsorted(owner, np.arange(t.n + 1))
-        out += [(h[cut[k] : cut[k + 1]], weight[cut[k] : cut[k + 1]]) for k in range(t.n)]
-    return out
-
-
-def _verify(least: float):
-    def run(batches: Batches) -> Batches:
-        for b in batches:
-            # A leader stands in many rows: its shingles are made once a batch.
-            ea, eb = (b.column(c).dictionary_encode() for c in ("text_a", "text_b"))
-            ba, bb = _bag_list(ea.dictionary), _bag_list(eb.dictionary)
-            ia, ib = ea.indices.to_numpy(), eb.indices.to_numpy()
-            keep = pa.array([overlap(ba[x], bb[y]) >= least for x, y in zip(ia, ib, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
-
-    return run
-
-
 def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(id, class)``: the least id of each node's connected component.
     ``nodes`` are the ids that have edges. Star-shaped links need few rounds."""
@@ -276,15 +240,19 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         label = label.select("id", "class")
 
 
-def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
+def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame | None:
     """``(id, class)`` after more links: components of the classes they join,
-    so that earlier links are not walked again."""
+    so that earlier links are not walked again. None: no links so far."""
+    if links.isEmpty():
+        return label
     if label is not None:
         a, b = (label.select(F.col("id").alias(f"i{c}"), F.col("class").alias(f"c{c}")) for c in "ab")
         links = links.join(a, F.col("a") == F.col("ia"), "left").join(b, F.col("b") == F.col("ib"), "left").select(
             F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
         ).filter("a <> b")
     links = written(links.distinct(), "dup-edges")
+    if links.isEmpty():
+        return label
     nodes = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct()
     found = _components(nodes, links)
     if label is None:
@@ -302,6 +270,8 @@ def classes(
     similarity: float = SIMILARITY,
     bands: int = BANDS,
     rows: int = ROWS,
+    block: int = BLOCK,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, tkey, rep_id, class_id,
     class_tkey)``. ``rep_id`` is the least id with the same text, ``class_id``
@@ -312,95 +282,74 @@ def classes(
         F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("tkey")
     )
     signed = written(map_arrow(ids, _sign(bands, rows), "doc_id long, tkey binary, n_shingles long, bands array<long>, sketch array<long>"), "bag-signatures")
-    # A text stands for its copies under a 63-bit number drawn from its key.
-    number = F.xxhash64("tkey")
-    reps = written(
-        signed.groupBy("tkey").agg(
-            F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch"),
-        ).select("tkey", "rep_id", "n_shingles", "bands", "sketch", number.alias("id")),
-        "distinct-texts",
-    )
-    band = reps.filter(F.size("bands") > 0).select("id", F.posexplode("bands").alias("k", "v")).select(
-        "id", F.xxhash64("k", "v").alias("bucket")
+    label: DataFrame | None = None
+    reps = signed.groupBy("tkey").agg(
+        F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch"),
     )
-    shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    # A text stands for its copies under a number of its own, fixed by writing it.
+    reps = written(reps.withColumn("id", F.monotonically_increasing_id()), "distinct-texts")
     parts = [f"s{k}" for k in range(-(-bands * rows // 16))]
-    brief = reps.select(
-        F.col("id").alias("b_id"), "n_shingles", *[F.element_at("sketch", k + 1).alias(p) for k, p in enumerate(parts)]
+    band = reps.filter(F.size("bands") > 0).select("id", "n_shingles", F.posexplode("bands").alias("band", "v"))
+    band = band.select("id", "n_shingles", "band", F.xxhash64("band", "v").alias("bucket"))
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(block)), F.ceil(F.col("size") / F.lit(block_shingles)))
+    shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")).filter("n > 1").select(
+        F.col("bucket").alias("s_bucket"), F.least(blocks, F.col("n")).cast("int").alias("blocks")
     )
+    brief = reps.select(F.col("id").alias("b_id"), *[F.element_at("sketch", k + 1).alias(p) for k, p in enumerate(parts)])
     band = written(
-        band.join(shared, "bucket").join(brief, F.col("id") == F.col("b_id")).select("bucket", "id", "n_shingles", *parts),
+        band.join(shared, F.col("bucket") == F.col("s_bucket")).join(brief, F.col("id") == F.col("b_id")).select(
+            "bucket", "band", "blocks", F.pmod(F.xxhash64("id", "bucket"), "blocks").cast("int").alias("block"), "id", "n_shingles", *parts
+        ),
         "shared-buckets",
     )
-    label: DataFrame | None = None
 
     # The texts of all candidates, once: by the row of the least id.
-    ends = band.select("id").distinct().join(reps.select(F.col("id").alias("r_id"), "rep_id"), F.col("id") == F.col("r_id"))
-    own = ids.select(F.xxhash64("tkey").alias("t_id"), "doc_id", "text")
+    ends = band.select(F.col("id").alias("e_id")).distinct().join(
+        reps.select("id", F.col("tkey").alias("e_key"), "rep_id"), F.col("e_id") == F.col("id")
+    ).select("id", "e_key", "rep_id")
     body = written(
-        own.join(ends, (F.col("t_id") == F.col("id")) & F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-        .dropDuplicates(["t_id"]).select("t_id", "text"),
+        ids.join(ends, (F.col("tkey") == F.col("e_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id")))
+        .select("id", "text").dropDuplicates(["id"]),
         "candidate-texts",
     )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda c: body.select(F.col("t_id").alias(f"id_{c}"), F.col("text").alias(f"text_{c}"))
-        full = pairs.join(side("a"), F.col("a") == F.col("id_a")).join(side("b"), F.col("b") == F.col("id_b"))
-        return map_arrow(full.select("a", "b", "text_a", "text_b"), _verify(similarity), "a long, b long")
-
-    fine = [f"f{k}" for k in range(FINE // 64)]
-
-    def apart(columns: list[str]) -> Column:
-        if columns is fine:
-            total = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"o_{c}"))) for c in fine), F.lit(0))
-            return total <= most_unequal(similarity, FINE, 1)
-        return _unequal(parts, [f"o_{p}" for p in parts]) <= most_unequal(similarity, bands * rows)
-
-    def comparable(columns: list[str]) -> Column:
-        # Sizes alone bound the overlap: min/max < similarity can't pass.
-        x, y = "n_shingles", "o_n_shingles"
-        return (F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)) & apart(columns)
-
-    for turn in range(STAR_ROUNDS + 1):
+    key = ["bucket", "i", "j"]
+    members = ", ".join(f"{c} long" for c in ("bucket", "i", "j", "side", "id", "class", "n_shingles"))
+
+    def met(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*key).sortWithinPartitions(*key, "side")
+
+    def found(now: DataFrame) -> DataFrame:
+        """Links that join classes within the groups of ``now``."""
+        near = _blocks.candidates(parts, similarity, most_unequal(similarity, bands * rows))
+        near = written(map_arrow(met(now), near, members), "near-texts")
+        texts = body.join(near.select(F.col("id").alias("n_id")).distinct(), F.col("id") == F.col("n_id"), "left_semi")
+        bag = map_arrow(texts, _bags, "b_id long, bag binary")
+        full = near.join(bag, F.col("id") == F.col("b_id")).select(*key, "side", "id", "class", "bag")
+        return written(map_arrow(met(full), _blocks.links(similarity), "a long, b long"), "dup-links")
+
+    # The blocks of a few bands, then of all, then the pairs of blocks.
+    several = F.sequence(F.lit(0), F.col("blocks") - 1)
+    for part, pairs in ((band.filter(F.col("band") < FIRST_BANDS), False), (band, False), (band.filter("blocks > 1"), True)):
         if label is None:
-            now = band.withColumn("class", F.col("id"))
+            now = part.withColumn("class", F.col("id"))
         else:
             named = label.select(F.col("id").alias("l_id"), "class")
-            now = band.join(named, F.col("id") == F.col("l_id"), "left").select(
-                "bucket", "id", "n_shingles", *parts, F.coalesce("class", "id").alias("class")
-            )
-        fields = ["id", "n_shingles", *parts, "class"]
-        leader = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("order"), *fields)).alias("lead")
-        open_buckets = (
-            now.groupBy("bucket").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), leader).filter("c0 <> c1")
-            .select(F.col("bucket").alias("o_bucket"), *[F.col(f"lead.{c}").alias(f"o_{c}") for c in fields])
+            now = part.join(named, F.col("id") == F.col("l_id"), "left").withColumn("class", F.coalesce("class", "id")).drop("l_id")
+        group = ["bucket"] if pairs else ["bucket", "block"]
+        is_open = now.groupBy(*group).agg(F.min("class").alias("c0"), F.max("class").alias("c1")).filter("c0 <> c1").select(
+            *[F.col(c).alias(f"o_{c}") for c in group]
         )
-        if turn < STAR_ROUNDS:
-            others, columns = open_buckets, parts
-        else:  # all that is left of the buckets that still hold several classes
-            now = now.join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi")
-            now = written(now, "open-buckets")
-            # Only texts that pass the short sketch with another class go on.
-            others = now.select(*[F.col(c).alias(f"o_{c}") for c in now.columns])
-            same = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class"))
-            near = now.join(others, same & comparable(parts), "left_semi").select(F.col("id").alias("n_id")).distinct()
-            near = written(near, "near-texts")
-            now = now.join(near, F.col("id") == F.col("n_id"), "left_semi").drop(*parts)
-            texts = body.join(near, F.col("t_id") == F.col("n_id"), "left_semi")
-            longer = map_arrow(texts, _fine, "f_id long, " + ", ".join(f"{c} long" for c in fine))
-            # At most one bucket per band.
-            lists = now.groupBy(F.col("id").alias("g_id")).agg(F.collect_set("bucket").alias("buckets"))
-            now = now.join(longer, F.col("id") == F.col("f_id")).join(lists, F.col("id") == F.col("g_id")).drop("f_id", "g_id")
-            now = written(now, "open-buckets")
-            others, columns = now.select(*[F.col(c).alias(f"o_{c}") for c in now.columns]), fine
-        met = (F.col("bucket") == F.col("o_bucket")) & (F.col("class") != F.col("o_class")) & comparable(columns)
-        if turn == STAR_ROUNDS:
-            # Each pair once, in the least of the buckets that both are in.
-            least = F.array_min(F.array_intersect("buckets", "o_buckets"))
-            met = met & (F.col("id") < F.col("o_id")) & (F.col("bucket") == least)
-        pairs = now.join(others, met).select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
-        label = _joined(label, written(verified(pairs), "dup-links"))
+        now = now.join(is_open, [F.col(c) == F.col(f"o_{c}") for c in group], "left_semi")
+        if pairs:
+            now = now.withColumn("other", F.explode(several)).filter("other <> block")
+            i, j, side = F.least("block", "other"), F.greatest("block", "other"), (F.col("block") > F.col("other")).cast("long")
+        else:
+            i, j, side = F.col("block"), F.col("block"), F.lit(0)
+        where = [x.cast("long").alias(c) for x, c in zip((i, j, side), ("i", "j", "side"), strict=True)]
+        label = _joined(label, found(now.select("bucket", *where, "id", "class", "n_shingles", *parts)))
+    if label is None:
+        label = reps.select("id", F.col("id").alias("class")).limit(0)
 
     member = reps.join(label.withColumnRenamed("id", "l_id"), F.col("id") == F.col("l_id"), "left").select(
         "tkey", "rep_id", F.coalesce("class", "id").alias("class")

@@ -15,9 +15,9 @@ def class_sets(rows):
     return sorted(map(sorted, out.values()))
 
 
-def check(spark, docs):
+def check(spark, docs, **options):
     rows = docs.select("doc_id", "text").collect()
-    got = b.classes(docs)
+    got = b.classes(docs, **options)
     found = got.collect()
     assert len(found) == len(rows)
     want = brute.classes([r.text for r in rows])
@@ -105,6 +105,91 @@ def test_large_group_and_chain(spark):
     check(spark, spark.createDataFrame(near_group(), "doc_id long, text string"))
 
 
+@pytest.mark.parametrize("options", [{"block": 7}, {"block": 1}, {"block_shingles": 700}])
+def test_buckets_in_many_blocks(spark, options):
+    check(spark, spark.createDataFrame(near_group(edits=30), "doc_id long, text string"), **options)
+
+
+def related(n, common=230, own=35, seed=4):
+    """Texts under the similarity to all others, though they share their bands."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(common)]
+    return [(k, " ".join(base + [word() for _ in range(own)])) for k in range(n)]
+
+
+def test_related_texts_make_no_rows(spark):
+    """Thousands of texts just under the similarity, with a few true copies."""
+    rows = related(3000)
+    rows += [(5000 + k, rows[40 * k][1] + " end") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {}
+    for r in b.classes(docs, block=700).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, (v for v in got.values() if len(v) > 1))) == [[40 * k, 5000 + k] for k in range(20)]
+
+
+def test_links_against_plain_overlaps():
+    """Every class that the matrices find, and no other."""
+    rng = np.random.default_rng(3)
+    from lexicount.llm import _blocks
+
+    for trial in range(60):
+        n, base = int(rng.integers(2, 40)), rng.integers(0, 2**60, 30).astype(np.uint64)
+        each = [np.unique(np.concatenate([base[rng.random(30) < 0.9], rng.integers(0, 50, rng.integers(0, 6)).astype(np.uint64)])) for _ in range(n)]
+        off = np.concatenate([[0], np.cumsum([len(x) for x in each])])
+        cls = rng.integers(0, max(2, n // 2), n)
+        order = np.argsort(cls, kind="stable")
+        cut = n // 2
+        for one, two in ((order, order), (order[order < cut], order[order >= cut])):
+            if not len(one) or not len(two):
+                continue
+            got, want = _blocks.Union(), _blocks.Union()
+            old = (_blocks.CELLS, _blocks.COLUMNS, _blocks.DENSE)
+            _blocks.CELLS, _blocks.COLUMNS, _blocks.DENSE = [(1 << 20, 1024, 1 / 200), (17, 3, 0.3), (40, 5, 2.0)][trial % 3]
+            try:
+                found = _blocks.joining_links(np.concatenate(each), off, cls, one, two, 0.7)
+            finally:
+                _blocks.CELLS, _blocks.COLUMNS, _blocks.DENSE = old
+            for x, y in found:
+                both = len(np.intersect1d(each[x], each[y]))
+                assert both / (len(each[x]) + len(each[y]) - both) >= 0.7 and cls[x] != cls[y]
+                got.join(int(cls[x]), int(cls[y]))
+            for x in one:
+                for y in two:
+                    both = len(np.intersect1d(each[x], each[y]))
+                    if x != y and both / max(1, len(each[x]) + len(each[y]) - both) >= 0.7:
+                        want.join(int(cls[x]), int(cls[y]))
+            assert [got.top(int(c)) for c in cls] == [want.top(int(c)) for c in cls]
+
+
+def test_candidates_against_plain_sketches():
+    import pyarrow as pa
+    from lexicount.llm import _blocks
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for bucket in range(30):
+        size = int(rng.integers(1, 60))
+        crossed = bool(rng.random() < 0.5)
+        for _ in range(size):
+            side = int(crossed and rng.random() < 0.5)
+            rows.append((bucket, 0, int(crossed), side, len(rows), int(rng.integers(0, 4)), int(rng.integers(8, 12)), int(rng.integers(0, 2**20))))
+    rows.sort(key=lambda r: (r[:4], r[4]))
+    names = ["bucket", "i", "j", "side", "id", "class", "n_shingles", "s0"]
+    table = pa.table({c: pa.array([r[k] for r in rows], pa.int64()) for k, c in enumerate(names)})
+    out = set()
+    for batch in _blocks.candidates(["s0"], 0.8, 3)(iter(table.to_batches(max_chunksize=37))):
+        out |= set(batch.column("id").to_pylist())
+    want = set()
+    for x in rows:
+        for y in rows:
+            nibbles = sum(((x[7] >> (4 * k)) & 15) != ((y[7] >> (4 * k)) & 15) for k in range(16))
+            if x[:3] == y[:3] and x[5] != y[5] and (x[2] == 0 or x[3] != y[3]) and min(x[6], y[6]) >= 0.8 * max(x[6], y[6]) and nibbles <= 3:
+                want.add(x[4])
+    assert out == want and 0 < len(want) < len(rows)
+
+
 def test_repeats_count_as_often_as_they_stand(spark):
     one = " ".join(f"w{k}" for k in range(40))
     rows = [(1, one), (2, one + " " + one), (3, one + " z")]
@@ -129,12 +214,6 @@ def test_sketches_keep_similar_texts(similarity):
     p = similarity + (1 - similarity) / 16
     rng = np.random.default_rng(0)
     assert (rng.binomial(m, 1 - p, 200_000) > b.most_unequal(similarity, m)).mean() < 5e-4
-    p = similarity + (1 - similarity) / 2
-    assert (rng.binomial(b.FINE, 1 - p, 200_000) > b.most_unequal(similarity, b.FINE, 1)).mean() < 5e-4
-    long = rng.integers(0, 2**62, (3, b.FINE)).astype(np.uint64)
-    long[1, :100] = long[0, :100]
-    x, y = b.fine_sketches(long)[:2].view(np.uint8)
-    assert np.unpackbits(x).size == b.FINE and (np.unpackbits(x) == np.unpackbits(y))[:100].all()
     sig = rng.integers(0, 2**62, (50, m)).astype(np.uint64)
     words = b.sketches(sig)
     bits = [[(int(x) >> (4 * k)) & 15 for x in row.view(np.uint64) for k in range(16)] for row in words]
