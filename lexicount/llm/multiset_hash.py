@@ -8,6 +8,9 @@ to a wide vector, and the fingerprint is the sum of the vectors modulo powers
 of two:
 
 * ``EXACT`` lanes of 32 uniform bits, added modulo 2**32, tell multisets apart;
+  half of them come from one 64-bit hash of the paragraph's words and half from
+  another under a key of its own (``WORD_KEYS``), so that 128 bits would have to
+  agree for two paragraphs to be taken for each other;
 * ``NEAR`` lanes are of the parts of paragraphs: one of more than ``PART_WORDS``
   words is cut where the words' hashes say so, a word of more than
   ``WORD_BYTES`` bytes likewise counts as several. Lanes of +1 or -1, added
@@ -27,20 +30,21 @@ Null texts are empty and have the zero fingerprint.
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
-from lexicount.llm._spark import Batches, map_arrow, pick, text_key
+from lexicount.llm._spark import Batches, map_arrow, pick, ship, text_key, written
 
 EXACT, NEAR = 16, 96
-_EXACT_KEYS = w.keyed(np.arange(EXACT // 2, dtype=w.U64), 401)
+#: Keys under which the words are hashed, each for its share of the exact lanes.
+WORD_KEYS = (0, 406)
+_EXACT_KEYS = w.keyed(np.arange(EXACT // 2, dtype=w.U64), 401).reshape(len(WORD_KEYS), -1)
 _NEAR_KEYS = w.keyed(np.arange((NEAR + 63) // 64, dtype=w.U64), 402)
 #: Longer paragraphs (in words) are cut for the near lanes: after one word in
 #: ``CUT`` by its hash, and where a part would have more words than that.
@@ -135,12 +139,12 @@ def _pieces(t: w.Flat, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray,
 
 
 def paragraphs(t: w.Flat) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """``(hash, text)`` of every paragraph, and of every part of one, repeats
-    included."""
+    """``(hashes, text)`` of every paragraph, a column for each of the keys,
+    and ``(hash, text)`` of every part of one, repeats included."""
     start, end, _ = w.word_spans(t)
     if not len(start):
-        none = np.zeros(0, w.U64), np.zeros(0, np.int64)
-        return none, none
+        none = np.zeros(0, np.int64)
+        return (np.zeros((0, len(WORD_KEYS)), w.U64), none), (np.zeros(0, w.U64), none)
     start, end = _cut(start, end, _wide_ends(t))
     owner = np.searchsorted(t.off, start, side="right") - 1
     # A paragraph starts at a text's first word, after a line break, after a stop.
@@ -148,15 +152,16 @@ def paragraphs(t: w.Flat) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarr
     gap = breaks[start[1:]] != breaks[end[:-1] - 1]
     stop = _ends_sentence(t.buf, start[:-1], end[:-1])
     head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | gap | stop]))
-    words = w.hash_spans(t.buf, start, end)
-    whole = _hashed(words, head), owner[head]
+    under = w.hashes_of_spans(t.buf, start, end, WORD_KEYS)
+    words = under[0]
+    whole = np.stack([_hashed(x, head) for x in under], axis=1), owner[head]
     ps, pe = _pieces(t, start, end)
     if len(ps) > len(start):
         head, owner = np.searchsorted(ps, start[head]), np.searchsorted(t.off, ps, side="right") - 1
         words = w.hash_spans(t.buf, ps, pe)
     count = np.diff(np.append(head, len(words)))
     if (count <= PART_WORDS).all():
-        return whole, (_hashed(words, head), owner[head])
+        return whole, (whole[0][:, 0] if words is under[0] else _hashed(words, head), owner[head])
     ends = (w.keyed(words, 405) % w.U64(CUT) == 0) & np.repeat(count > PART_WORDS, count)
     part = np.union1d(head, np.flatnonzero(ends[:-1]) + 1)
     part = np.union1d(part, _stepped(part, np.diff(np.append(part, len(words))), PART_WORDS))
@@ -164,8 +169,9 @@ def paragraphs(t: w.Flat) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarr
 
 
 def wide(h: np.ndarray) -> np.ndarray:
-    """``(n, EXACT)`` uint32 lanes of paragraph hashes."""
-    return w.mix(h[:, None] ^ _EXACT_KEYS[None, :]).view(np.uint32)
+    """``(n, EXACT)`` uint32 lanes of paragraphs, each group of lanes from the
+    hash under its own key."""
+    return w.mix(h[:, :, None] ^ _EXACT_KEYS[None]).reshape(len(h), EXACT // 2).view(np.uint32)
 
 
 def signs(h: np.ndarray) -> np.ndarray:
@@ -233,10 +239,8 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 # -------------------------------------------------- each text and the next one
-#: Ids are cut into ranges of about this many documents ...
-DOCS_PER_RANGE = 1000
-#: ... but at most this many ranges, which bounds the table of range heads.
-MAX_RANGES = 8192
+#: Ranges of documents for each shuffle partition.
+RANGES = 4
 
 _EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -280,43 +284,46 @@ def _edited(batches: Batches) -> Batches:
             )
 
 
-def edited_likeness(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", docs_per_range: int = DOCS_PER_RANGE
-) -> DataFrame:
+def _order(doc_id: int | None, tkey: bytes) -> tuple[bool, int, bytes]:
+    return (doc_id is not None, doc_id or 0, bytes(tkey))
+
+
+def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """Per document its fingerprint, that of its edited text (``edit`` with the
     next document, in descending id, the first following the last), and how
     like the two, and it and the next document, are.
 
-    Ids are cut into ranges at quantiles; the head of every range also goes to
-    the range before it, so each text is shuffled once and no range waits for
-    another. Among equal ids the greater key of the text comes first; null ids
-    come last.
+    The keys, id and hash of the text, are cut into ranges by Spark, ``RANGES``
+    for every shuffle partition unless ``ranges`` is given; many documents
+    under one id, or without one, fill as many ranges as they need. The heads
+    of the ranges, one row each, then say in which range a text belongs; the
+    head's text also goes to the range before it, so each text is shuffled once
+    and no range waits for another. Among equal ids the greater key of the text
+    comes first; null ids come last. Rows equal in id and text stay together.
     """
+    spark = docs.sparkSession
     base = pick(docs, doc_id=doc_id, text=text).select(
         F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("tkey")
     )
-    k = max(1, min(base.count() // docs_per_range, MAX_RANGES))
-    cuts = base.approxQuantile("doc_id", [i / k for i in range(1, k)], max(0.2 / k, 1e-4)) if k > 1 else []
-    # A last cut above all ids; equal quantiles are one cut.
-    splits = [-math.inf, *sorted(set(cuts)), 2.0**63, math.inf]
-    ascending = Bucketizer(splits=splits, inputCol="at", outputCol="bin")
-    at = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).cast("double")
-    keyed = ascending.transform(base.withColumn("at", at)).select(
-        "doc_id", "text", "tkey", (F.lit(len(splits)) - F.col("bin")).cast("int").alias("range")
-    )
-    heads = keyed.groupBy("range").agg(F.max(F.struct("doc_id", "tkey")).alias("head"))
-    # At most MAX_RANGES rows from here on.
-    line = Window.orderBy("range")
-    before = F.coalesce(F.lag("range").over(line), F.max("range").over(Window.partitionBy()))
-    heads = heads.select(F.col("range").alias("h_range"), "head", before.alias("before"))
-    marked = keyed.join(F.broadcast(heads), F.col("range") == F.col("h_range")).withColumn(
-        "first", F.struct("doc_id", "tkey").eqNullSafe(F.col("head"))
+    n = ranges or RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = written(base.select("doc_id", "tkey"), "edit-keys")
+    dealt = keys.repartitionByRange(n, F.desc_nulls_last("doc_id"), F.desc("tkey"))
+    first = F.max(F.struct("doc_id", "tkey")).alias("head")
+    # As many rows as there are ranges.
+    heads = [_order(*r.head) for r in dealt.groupBy(F.spark_partition_id().alias("part")).agg(first).collect()]
+    heads = sorted(set(heads))  # range k begins, from above, with heads[k]
+    ship(spark)
+
+    @F.udf("array<struct<range:int,own:boolean>>", useArrow=True)
+    def places(doc_id: int | None, tkey: bytes) -> list[tuple[int, bool]]:
+        key = _order(doc_id, tkey)
+        k = bisect.bisect_left(heads, key)
+        own = [(k, True)]
+        return [*own, ((k + 1) % len(heads), False)] if heads[k] == key else own
+
+    rows = base.select(F.explode(places("doc_id", "tkey")).alias("r"), "doc_id", "tkey", "text").select(
+        "r.range", "r.own", "doc_id", "tkey", "text"
     )
-    own = F.struct(F.col("range").alias("range"), F.lit(True).alias("own"))
-    ahead = F.struct(F.col("before").alias("range"), F.lit(False).alias("own"))
-    rows = marked.select(
-        "doc_id", "text", "tkey", F.explode(F.when(F.col("first"), F.array(own, ahead)).otherwise(F.array(own))).alias("r")
-    ).select("r.range", "r.own", "doc_id", "tkey", "text")
     sorted_rows = rows.repartition("range").sortWithinPartitions(
         "range", F.desc("own"), F.desc_nulls_last("doc_id"), F.desc("tkey")
     )

@@ -93,6 +93,32 @@ def test_long_texts_without_stops_are_found_again():
     assert (fp("x" * 100) != fp("x" * 64 + " " + "x" * 36)).any()
 
 
+def test_paragraphs_are_told_apart_by_128_bits(monkeypatch):
+    """Words whose hash under one of the keys is forced to be the same."""
+    real = m.w.hashes_of_spans
+    for same in range(len(m.WORD_KEYS)):
+        def forced(buf, start, end, keys, same=same):
+            out = real(buf, start, end, keys)
+            out[same] = np.full(len(start), 12345, dtype=m.w.U64)
+            return out
+
+        monkeypatch.setattr(m.w, "hashes_of_spans", forced)
+        a, b = fp("one paragraph here."), fp("two paragraphs there.")
+        lanes = [x[0, : 4 * m.EXACT].reshape(len(m.WORD_KEYS), -1) for x in (a, fp("one, paragraph here."), b)]
+        # The lanes under that key agree, those under the other do not.
+        assert (lanes[0][same] == lanes[1][same]).all() and (lanes[0][1 - same] != lanes[1][1 - same]).any()
+        assert (a != fp("one, paragraph here.")).any()
+    monkeypatch.setattr(m.w, "hashes_of_spans", real)
+    assert (fp("one paragraph here.")[0, : 4 * m.EXACT] != 0).all()
+
+
+def test_one_id_over_many_ranges(spark):
+    """A third of the rows under one id, a third without: cut by their texts."""
+    rows = [(7 if k % 3 == 0 else None if k % 3 == 1 else k, f"text {k} here.") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(m.edited_likeness(docs, ranges=30)) == expected(rows)
+
+
 def expected(rows):
     """By descending id, greater text key first, null ids last."""
     key = lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest())
@@ -112,8 +138,8 @@ def got(df):
 
 def test_awkward_rows(awkward, empty):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
-    for size in (1000, 7, 3):
-        assert got(m.edited_likeness(awkward, docs_per_range=size)) == expected(rows)
+    for ranges in (None, 1, 5, 200):
+        assert got(m.edited_likeness(awkward, ranges=ranges)) == expected(rows)
     assert m.edited_likeness(empty).count() == 0
     assert m.edited_likeness(awkward.filter("doc_id = 4")).first().near_next == 1
     assert sorted((r.fingerprint for r in m.fingerprinted(awkward).collect())) == sorted(m.strings(fp(*[t for _, t in rows])))
@@ -122,7 +148,7 @@ def test_awkward_rows(awkward, empty):
 def test_whole_table(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    df = m.edited_likeness(docs, docs_per_range=100)
+    df = m.edited_likeness(docs, ranges=10)
     assert got(df) == expected(rows)
     r = df.selectExpr("avg(near_edited)", "avg(near_next)").first()
     assert r[0] > 0.5 > 0.1 > r[1]
@@ -132,4 +158,4 @@ def test_large_ids(spark):
     rng = random.Random(1)
     rows = [(rng.choice([-1, 1]) * rng.randrange(2**62) if k else -(2**63), f"text {k}") for k in range(60)] + [(2**63 - 1, "last"), (2**53, "a"), (2**53 + 1, "b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert got(m.edited_likeness(docs, docs_per_range=5)) == expected(rows)
+    assert got(m.edited_likeness(docs, ranges=12)) == expected(rows)
