@@ -8,10 +8,12 @@ to the driver except by ``to_dict``, which refuses results over a row bound.
 from lexicount.functions import java_split, line_count, line_words, text_lines, text_words
 from lexicount.operators import (
     count_by_value,
+    exact_ranks,
     get,
     get_or_create,
     hit_ratio,
     is_cached,
+    is_current,
     line_counts,
     names,
     non_empty,
@@ -19,7 +21,10 @@ from lexicount.operators import (
     rank_by_count,
     release,
     scale,
+    store_counts,
+    stored_lookup,
     sum_of_squares,
+    top_by_count,
     total,
     word_count,
     word_lookup,
@@ -37,11 +42,13 @@ from lexicount.sources import (
 
 __all__ = [
     "count_by_value",
+    "exact_ranks",
     "fresh_path",
     "get",
     "get_or_create",
     "hit_ratio",
     "is_cached",
+    "is_current",
     "java_split",
     "line_count",
     "line_words",
@@ -57,11 +64,14 @@ __all__ = [
     "release",
     "scale",
     "shared_dir",
+    "store_counts",
+    "stored_lookup",
     "sum_of_squares",
     "table",
     "text_lines",
     "text_words",
     "to_dict",
+    "top_by_count",
     "total",
     "values",
     "word_count",

@@ -7,12 +7,13 @@ one row per occurrence. Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexicount._checks import natural, string
+from lexicount._checks import identifier, natural, string
 from lexicount.functions.text import as_column, can_be_word, line_count, word_occurrences
 from lexicount.operators.tokens import words
+from lexicount.sinks import fresh_path, written
 
 
 def _count() -> Column:
@@ -87,8 +88,8 @@ def rank_by_count(counts: DataFrame, n: int | None = None) -> DataFrame:
     Without ``n`` the rows are range-partitioned and every partition is
     sorted, so the ranking may be of any length. With ``n`` the plan is a
     single ``TakeOrderedAndProject``: every task keeps its own top ``n`` and
-    one task merges them, so ``n`` must stay small (thousands); take the full
-    ranking for more.
+    one task merges them, so ``n`` must stay small (thousands); use
+    ``top_by_count`` for more.
     """
     ranked = counts.orderBy(F.col("count").desc(), F.col("word").asc())
     if n is None:
@@ -96,6 +97,110 @@ def rank_by_count(counts: DataFrame, n: int | None = None) -> DataFrame:
     return ranked.limit(natural(n, "n"))
 
 
+def _best_first() -> list[Column]:
+    return [F.col("count").desc(), F.col("word").asc()]
+
+
+def exact_ranks(counts: DataFrame) -> DataFrame:
+    """``(rank, word, count)``: every word's place in the order of
+    ``rank_by_count``, from 1, without ties (O1).
+
+    The rows are range-partitioned and sorted, and written with their range
+    and their place in it; a rank is the number of rows in earlier ranges plus
+    the place. Only the sizes of the ranges, one row each, meet in one task, and
+    only they are broadcast.
+    """
+    order = _best_first()
+    # The upper bits of the increasing id are the partition, the lower 33 the place.
+    at = F.monotonically_increasing_id()
+    sorted_rows = counts.select("word", "count").repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(
+        sorted_rows.select("word", "count", F.spark_partition_id().alias("part"), at.bitwiseAND((1 << 33) - 1).alias("place")),
+        "ranked",
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select(F.col("part").alias("o_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    ranked = placed.join(F.broadcast(offsets), F.col("part") == F.col("o_part"))
+    return ranked.select((F.col("offset") + F.col("place") + 1).alias("rank"), "word", "count")
+
+
+#: Bits of a count that one histogram tells apart: at most 2**16 rows of it.
+_DIGIT = 16
+
+
+def _threshold(counts: DataFrame, n: int) -> tuple[int, int] | None:
+    """``(cut, above)``: the ``n``-th largest count and how many are larger;
+    None if there are fewer than ``n``. Digit by digit, from the highest."""
+    largest = counts.agg(F.max("count")).first()[0]
+    if largest is None:
+        return None
+    cut, above = 0, 0
+    for shift in reversed(range(0, max(1, largest.bit_length()), _DIGIT)):
+        of = counts.filter(F.shiftright("count", shift + _DIGIT) == cut) if shift + _DIGIT < 64 else counts
+        digit = F.shiftright("count", shift).bitwiseAND((1 << _DIGIT) - 1)
+        histogram = of.groupBy(digit.alias("digit")).agg(_count()).collect()
+        for row in sorted(histogram, key=lambda r: -r["digit"]):
+            if above + row["count"] >= n:
+                cut = (cut << _DIGIT) | row["digit"]
+                break
+            above += row["count"]
+        else:
+            return None
+    return cut, above
+
+
+def top_by_count(counts: DataFrame, n: int) -> DataFrame:
+    """``(rank, word, count)`` of the ``n`` first words in the order of
+    ``rank_by_count``, for an ``n`` of any size (O2).
+
+    Histograms of the counts' digits (at most 2**16 rows each) give the count
+    of the last word taken. All words above it are in; those that have just
+    that count are ranked by word, and as many as are missing are taken. No
+    task merges ``n`` rows.
+    """
+    n = natural(n, "n")
+    counts = written(counts.select("word", "count"), "counts")
+    if n == 0:
+        return exact_ranks(counts.limit(0))
+    found = _threshold(counts, n)
+    if found is None:
+        return exact_ranks(counts)
+    cut, above = found
+    ties = exact_ranks(counts.filter(F.col("count") == cut)).filter(F.col("rank") <= n - above)
+    ties = ties.withColumn("rank", F.col("rank") + above)
+    return exact_ranks(counts.filter(F.col("count") > cut)).unionByName(ties)
+
+
+COUNT_TABLE = "lexicount_counts_"
+
+
+def store_counts(spark: SparkSession, counts: DataFrame, name: str, buckets: int = 64) -> str:
+    """Write ``counts`` as a table bucketed and sorted by word, for repeated
+    lookups; returns the table's name. A table stored before under the name is
+    replaced. The files are in the shared folder, one for every bucket; choose
+    ``buckets`` so that one holds about 128 MB.
+    """
+    stored = COUNT_TABLE + identifier(name, "count table name")
+    if natural(buckets, "buckets") < 1:
+        raise ValueError("buckets must be positive")
+    # Dealt as the buckets are, so that each is written by one task.
+    dealt = counts.select("word", "count").repartition(buckets, "word")
+    writer = dealt.write.bucketBy(buckets, "word").sortBy("word").option("path", fresh_path(spark, stored))
+    writer.mode("overwrite").saveAsTable(stored)
+    return stored
+
+
+def stored_lookup(spark: SparkSession, name: str, word: str) -> DataFrame:
+    """``word_lookup`` over a table of ``store_counts``: ``(word, count)``, 0
+    when absent. The scan reads the one bucket that the word is in, with the
+    word pushed down to it; no text is read again.
+    """
+    word = string(word, "word")
+    rows = spark.table(COUNT_TABLE + identifier(name, "count table name")).filter(F.col("word") == word)
+    return rows.agg(F.coalesce(F.max("count"), F.lit(0)).alias("count")).select(F.lit(word).alias("word"), "count")
+
+
 def line_counts(df: DataFrame, key: str = "doc_id", col: str | Column = "text") -> DataFrame:
     """``(<key>, n_lines bigint)``: lines per key under the text-reader rule.
 

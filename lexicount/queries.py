@@ -8,6 +8,7 @@ tables). Column names and types agree between the two.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable
 
@@ -16,20 +17,26 @@ from pyspark.sql import functions as F
 
 from lexicount.operators import (
     count_by_value,
+    exact_ranks,
+    get,
     get_or_create,
     hit_ratio,
     line_counts,
+    names,
     prefix_filter,
     rank_by_count,
     release,
     scale,
+    store_counts,
+    stored_lookup,
     sum_of_squares,
+    top_by_count,
     total,
     word_count,
     word_lookup,
     word_lookup_sql,
 )
-from lexicount.sinks import fresh_path, pair_lines, write_pairs_as_text
+from lexicount.sinks import fresh_path, pair_lines, write_pairs_as_text, written
 from lexicount.sources import lines_from_column, lines_from_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +53,7 @@ TOP_N = 50
 LOOKUP_WORD = "the"
 LOOKUP_MISSING_WORD = "zzzz"
 LOOKUP_SQL_WORD = "of"
+LOOKUP_WORDS = ("the", "of", "and", "zzzz", "it's")
 HIT_RADIUS_SQ = 0.02
 # The reference's own disc has its centre at (1, 1).
 SHIFTED_RADIUS_SQ = 2.0
@@ -184,7 +192,21 @@ def q_pair_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_ranked_words(spark: SparkSession, d: str) -> DataFrame:
-    return rank_by_count(q_word_count(spark, d))
+    return exact_ranks(q_word_count(spark, d))
+
+
+def q_top_half_words(spark: SparkSession, d: str) -> DataFrame:
+    # The larger half of the vocabulary; most of it are words that occur once.
+    counts = written(q_word_count(spark, d), "counts")
+    return top_by_count(counts, counts.count() // 2)
+
+
+def q_word_lookup_stored(spark: SparkSession, d: str) -> DataFrame:
+    # Counted once, looked up again and again.
+    name = f"words_{_folder_hash(d)}"
+    store_counts(spark, q_word_count(spark, d), name)
+    found = [stored_lookup(spark, name, w) for w in LOOKUP_WORDS]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def q_pair_lines_file(spark: SparkSession, d: str) -> DataFrame:
@@ -238,10 +260,14 @@ def q_prefix_filter(spark: SparkSession, d: str) -> DataFrame:
     return prefix_filter(part, "p_name", PREFIX)
 
 
+def _folder_hash(d: str) -> str:
+    return hashlib.sha1(d.rstrip("/").encode()).hexdigest()[:12]
+
+
 def _dataset_name(d: str) -> str:
     # The name identifies the data (table and folder), so a second call over
     # the same folder reuses the cached dataset and another folder gets its own.
-    return f"lineitem_linenumber_{hashlib.sha1(d.rstrip('/').encode()).hexdigest()[:12]}"
+    return f"lineitem_linenumber_{_folder_hash(d)}"
 
 
 def q_named_dataset_total(spark: SparkSession, d: str) -> DataFrame:
@@ -251,6 +277,24 @@ def q_named_dataset_total(spark: SparkSession, d: str) -> DataFrame:
     return total(numbers, "l_linenumber")
 
 
+def q_named_datasets(spark: SparkSession, d: str) -> DataFrame:
+    # A dataset by its name, one that is not there, and the list of names.
+    name, missing = f"order_prices_{_folder_hash(d)}", f"nothing_{_folder_hash(d)}"
+    orders = table(spark, d, "orders")
+    first = get_or_create(spark, name, lambda: orders.select("o_orderkey"))
+    found, none = get(spark, name), get(spark, missing)
+    listed = names(spark)
+    same = found.sameSemantics(first)
+
+    def row(label: str, listed: bool, same: bool | None):
+        kinds = zip((label, listed, same), ("string", "boolean", "boolean"), ("dataset", "listed", "same_data"), strict=True)
+        return [F.lit(v).cast(kind).alias(c) for v, kind, c in kinds]
+
+    there = total(found, "o_orderkey").select(*row("order keys", name in listed, same), "total")
+    absent = total(orders.limit(0) if none is None else none, "o_orderkey")
+    return there.unionByName(absent.select(*row("missing", missing in listed, None), "total"))
+
+
 def release_named_dataset(spark: SparkSession, d: str) -> bool:
     """Free what ``q_named_dataset_total`` has cached for the folder."""
     return release(spark, _dataset_name(d))
@@ -276,6 +320,8 @@ QUERIES: dict[str, Query] = {
     "word_lookup_sql": q_word_lookup_sql,
     "top_words": q_top_words,
     "ranked_words": q_ranked_words,
+    "top_half_words": q_top_half_words,
+    "word_lookup_stored": q_word_lookup_stored,
     "pair_lines": q_pair_lines,
     "pair_lines_file": q_pair_lines_file,
     "count_by_value": q_count_by_value,
@@ -287,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "hit_ratio_shifted": q_hit_ratio_shifted,
     "prefix_filter": q_prefix_filter,
     "named_dataset_total": q_named_dataset_total,
+    "named_datasets": q_named_datasets,
 }
 
 
@@ -353,7 +400,8 @@ _BROKEN = (
 
 
 def _lookup(word: str, src: str = "documents") -> str:
-    return f"SELECT '{word}' AS word, count(*) AS count FROM ({_words(src)}) WHERE word='{word}'"
+    quoted = "'" + word.replace("'", "''") + "'"
+    return f"SELECT {quoted} AS word, count(*) AS count FROM ({_words(src)}) WHERE word={quoted}"
 
 
 def _line_counts(src: str = "documents") -> str:
@@ -377,6 +425,8 @@ _PAIR_LINES = (
 )
 
 
+_RANK = "row_number() OVER (ORDER BY count DESC, word) AS rank"
+
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORD_COUNT,
     "line_word_count": _WORD_COUNT,
@@ -411,7 +461,12 @@ ORACLE_SQL: dict[str, str] = {
     "word_lookup_missing": _lookup(LOOKUP_MISSING_WORD),
     "word_lookup_sql": _lookup(LOOKUP_SQL_WORD),
     "top_words": f"{_WORD_COUNT} ORDER BY count DESC, word LIMIT {TOP_N}",
-    "ranked_words": f"{_WORD_COUNT} ORDER BY count DESC, word",
+    "ranked_words": f"SELECT {_RANK}, word, count FROM ({_WORD_COUNT})",
+    "top_half_words": (
+        f"WITH c AS ({_WORD_COUNT}) SELECT {_RANK}, word, count FROM c "
+        "QUALIFY rank <= (SELECT count(*) // 2 FROM c)"
+    ),
+    "word_lookup_stored": " UNION ALL ".join(_lookup(w) for w in LOOKUP_WORDS),
     "pair_lines": _PAIR_LINES,
     "pair_lines_file": _PAIR_LINES,
     "count_by_value": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
@@ -425,6 +480,10 @@ ORACLE_SQL: dict[str, str] = {
     "hit_ratio_shifted": _hit_ratio(1.0, SHIFTED_RADIUS_SQ),
     "prefix_filter": f"SELECT p_partkey, p_name FROM part WHERE starts_with(p_name,'{PREFIX}')",
     "named_dataset_total": "SELECT CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem",
+    "named_datasets": (
+        "SELECT 'order keys' AS dataset, true AS listed, true AS same_data, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders "
+        "UNION ALL SELECT 'missing', false, NULL, NULL"
+    ),
 }
 
 if set(ORACLE_SQL) != set(QUERIES):

@@ -74,4 +74,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-__all__ = ["fresh_path", "pair_lines", "shared_dir", "to_dict", "write_pairs_as_text"]
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet under ``shared_dir`` and read back: computed
+    once, and a lost executor costs no recomputation. What is written stays
+    until the owner of the folder clears it."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+__all__ = ["fresh_path", "pair_lines", "shared_dir", "to_dict", "write_pairs_as_text", "written"]

@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 
 from lexicount import (
     count_by_value,
+    exact_ranks,
     lines_from_column,
     lines_from_literal,
     lines_from_text,
     rank_by_count,
+    store_counts,
+    stored_lookup,
+    top_by_count,
     word_count,
     word_lookup,
     word_lookup_sql,
@@ -151,3 +155,62 @@ def test_count_by_value_of_literal_strings(spark):
 
     got = count_by_value(values(spark, ["a", "b", "a", None], "string"), "x").collect()
     assert sorted((r.x or "", r["count"]) for r in got) == [("", 1), ("a", 2), ("b", 1)]
+
+
+def ranked(rows):
+    return [(k, w, n) for k, (w, n) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0].encode())), 1)]
+
+
+def made_up(spark, n=500, top=2**40):
+    import random
+
+    rng = random.Random(n)
+    rows = [(f"w{k}{rng.choice(['', 'é', '日'])}", rng.choice([1, 1, 1, 2, 3, 70_000, 70_001, top, 2**63 - 1])) for k in range(n)]
+    return rows, spark.createDataFrame(rows, "word string, count bigint").repartition(6)
+
+
+def test_exact_ranks(spark):
+    rows, df = made_up(spark)
+    got = sorted(tuple(r) for r in exact_ranks(df).collect())
+    assert got == ranked(rows)
+    assert exact_ranks(df.limit(0)).count() == 0
+    assert exact_ranks(df).dtypes == [("rank", "bigint"), ("word", "string"), ("count", "bigint")]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 49, 250, 499, 500, 501, 10**12])
+def test_top_of_any_size(spark, n):
+    """Within a tie the smaller words are taken; all rows if there are fewer."""
+    rows, df = made_up(spark)
+    assert sorted(tuple(r) for r in top_by_count(df, n).collect()) == ranked(rows)[:n]
+
+
+def test_top_of_equal_counts(spark):
+    df = spark.createDataFrame([(c, 1) for c in "qwertyuiop"], "word string, count bigint")
+    assert sorted(r.word for r in top_by_count(df, 4).collect()) == sorted("qwertyuiop")[:4]
+    assert top_by_count(df.limit(0), 4).count() == 0
+    with pytest.raises(ValueError):
+        top_by_count(df, -1)
+
+
+HOSTILE = ["the", "it's", 'a"b', "x\\y", "1=1 OR", "%", "é", ""]
+
+
+def test_stored_counts(spark):
+    rows, df = made_up(spark, 60)
+    for buckets in (1, 7, 64):
+        assert store_counts(spark, df, "made_up", buckets) == "lexicount_counts_made_up"
+        for word in [*HOSTILE, rows[0][0], rows[-1][0]]:
+            assert [tuple(r) for r in stored_lookup(spark, "made_up", word).collect()] == [(word, dict(rows).get(word, 0))]
+    with pytest.raises(ValueError):
+        store_counts(spark, df, "no name")
+    with pytest.raises(ValueError):
+        store_counts(spark, df, "made_up", 0)
+
+
+def test_stored_counts_are_replaced(spark):
+    first = spark.createDataFrame([("a", 1), ("it's", 5)], "word string, count bigint")
+    store_counts(spark, first, "again", 4)
+    before = stored_lookup(spark, "again", "a")
+    assert before.first()["count"] == 1 and stored_lookup(spark, "again", "it's").first()["count"] == 5
+    store_counts(spark, first.selectExpr("word", "count + 1 AS count"), "again", 2)
+    assert stored_lookup(spark, "again", "a").first()["count"] == 2 and before.first()["count"] == 1

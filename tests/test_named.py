@@ -2,7 +2,7 @@
 
 import pytest
 
-from lexicount import get, get_or_create, is_cached, names, release, sum_of_squares, word_lookup_sql
+from lexicount import get, get_or_create, is_cached, is_current, names, release, sum_of_squares, table, total, word_lookup_sql
 
 
 def test_get_or_create_builds_once(spark):
@@ -64,3 +64,48 @@ def test_identity_of_cached_data(spark):
     b = get_or_create(spark, "two", lambda: spark.range(9))
     assert get(spark, "one").sameSemantics(a) and not a.sameSemantics(b)
     assert release(spark, "one") and release(spark, "two")
+
+
+def test_overwritten_table_gives_the_new_total(spark, scratch):
+    import os
+
+    path = os.path.join(scratch, "numbers.parquet")
+    builds = []
+
+    def build():
+        builds.append(1)
+        return table(spark, scratch, "numbers").select("id")
+
+    def now():
+        return total(get_or_create(spark, "written_numbers", build), "id").first().total
+
+    spark.range(10).write.parquet(path)
+    assert now() == now() == 45 and len(builds) == 1 and is_current(spark, "written_numbers")
+    # The same number of rows and files.
+    spark.range(1, 11).write.mode("overwrite").parquet(path)
+    assert not is_current(spark, "written_numbers")
+    assert now() == now() == 55 and len(builds) == 2
+    spark.range(100, 101).write.mode("append").parquet(path)
+    assert now() == now() == 155 and len(builds) == 3
+    assert is_cached(spark, "written_numbers") and release(spark, "written_numbers")
+    assert not is_current(spark, "written_numbers")
+
+
+def test_a_removed_folder_is_a_change(spark, scratch):
+    import os
+
+    spark.range(4).write.parquet(os.path.join(scratch, "one.parquet"))
+    get_or_create(spark, "moved", lambda: table(spark, scratch, "one"))
+    os.rename(os.path.join(scratch, "one.parquet"), os.path.join(scratch, "two.parquet"))
+    assert not is_current(spark, "moved")
+    assert get_or_create(spark, "moved", lambda: table(spark, scratch, "two")).count() == 4
+    assert is_current(spark, "moved") and release(spark, "moved")
+
+
+def test_state_keeps_other_metadata(spark, scratch):
+    import os
+
+    spark.range(4).withMetadata("id", {"unit": "m"}).write.parquet(os.path.join(scratch, "m.parquet"))
+    df = get_or_create(spark, "with_metadata", lambda: table(spark, scratch, "m"))
+    assert df.schema["id"].metadata["unit"] == "m" and is_current(spark, "with_metadata")
+    assert release(spark, "with_metadata")

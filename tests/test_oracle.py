@@ -9,7 +9,7 @@ from lexicount.queries import ORACLE_SQL, QUERIES
 from tools.oracle_check import duck, rows_of
 
 NAMES = sorted(QUERIES)
-SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def test_every_query_has_oracle():

@@ -3,7 +3,7 @@
 import pytest
 
 from locations import SF_ORACLE
-from lexicount import table, word_count
+from lexicount import rank_by_count, store_counts, stored_lookup, table, word_count
 from lexicount.plans import repartitioned
 from lexicount.queries import QUERIES
 from plan_helpers import node_names, physical_plan, pushed_filters, read_schemas
@@ -113,13 +113,46 @@ def words_of(docs):
 
 
 def test_full_ranking_is_range_partitioned(spark):
-    names = node_names(QUERIES["ranked_words"](spark, SF_ORACLE))
+    ranking = rank_by_count(QUERIES["word_count"](spark, SF_ORACLE))
+    names = node_names(ranking)
     assert "TakeOrderedAndProject" not in names and "Sort" in names
-    assert "rangepartitioning(count" in physical_plan(QUERIES["ranked_words"](spark, SF_ORACLE))
-    rows = QUERIES["ranked_words"](spark, SF_ORACLE).collect()
+    assert "rangepartitioning(count" in physical_plan(ranking)
+    rows = ranking.collect()
     assert rows == sorted(rows, key=lambda r: (-r["count"], r.word))
 
 
+def test_ranks_without_a_window_over_the_words(spark):
+    """Only the sizes of the ranges meet in one task and are broadcast."""
+    for name in ("ranked_words", "top_half_words"):
+        df = QUERIES[name](spark, SF_ORACLE)
+        plan = physical_plan(df)
+        assert "TakeOrderedAndProject" not in plan
+        windows = [x for x in plan.splitlines() if " Window " in x]
+        assert windows and all("part#" in x and "word#" not in x for x in windows)
+        rows = sorted(df.collect(), key=lambda r: r.rank)
+        assert [r.rank for r in rows] == list(range(1, len(rows) + 1))
+        assert rows == sorted(rows, key=lambda r: (-r["count"], r.word))
+
+
+def test_stored_lookup_reads_one_bucket(spark):
+    """The files of all other buckets are spoilt: the lookup doesn't open them."""
+    import re
+
+    stored = store_counts(spark, QUERIES["word_count"](spark, SF_ORACLE), "plan_words", buckets=16)
+    df = stored_lookup(spark, "plan_words", "the")
+    assert any("EqualTo(word,the)" in f for f in pushed_filters(df))
+    files = {int(re.search(r"_(\d{5})[._]", f)[1]): f.removeprefix("file://") for f in spark.table(stored).inputFiles()}
+    assert len(files) == 16
+    own = spark.sql("SELECT pmod(hash('the'), 16) AS bucket").first().bucket
+    for bucket, file in files.items():
+        if bucket != own:
+            with open(file, "wb") as f:
+                f.write(b"not a table")
+    assert [tuple(r) for r in df.collect()] == [tuple(r) for r in QUERIES["word_lookup"](spark, SF_ORACLE).collect()]
+    with pytest.raises(Exception, match="(?i)parquet|length|magic|footer|read"):
+        spark.table(stored).groupBy().sum("count").collect()
+
+
 def test_break_queries_read_the_text(spark):
     for name in ("word_count_breaks", "word_count_raw_breaks", "line_counts_breaks", "word_lookup_breaks", "word_count_raw_edge"):
         assert all("text:string" in s for s in read_schemas(QUERIES[name](spark, SF_ORACLE))), name
