@@ -7,6 +7,7 @@ this equals the same rule on code points).
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -110,23 +111,48 @@ def line_spans(t: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
     """64-bit hashes of the byte spans, eight bytes at a time."""
+    return hashes_of_spans(buf, start, end, (key,))[0]
+
+
+#: Of so few spans that are left the rest is hashed without arrays.
+_LAST_SPANS = 6
+
+
+def hashes_of_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, keys: tuple[int, ...]) -> list[np.ndarray]:
+    """``hash_spans`` under several keys."""
     view = np.ndarray((len(buf) - 7,), dtype="<u8", buffer=buf, strides=(1,))
     size = end - start
-    h = keyed(size.astype(U64), key)
+    out = [keyed(size.astype(U64), key) for key in keys]
     todo, at, left = np.flatnonzero(size > 0), start, size
     if len(todo) < len(size):
         at, left = start[todo], size[todo]
     with np.errstate(over="ignore"):
-        while len(todo):
+        while len(todo) > _LAST_SPANS:
             lane = view[at]
             short = left < 8
             if short.any():
                 keep = np.minimum(left, 8).astype(U64) * U64(8)
                 mask = np.where(keep == U64(64), ~U64(0), (U64(1) << (keep & U64(63))) - U64(1))
                 lane = lane & mask
-            h[todo] = mix((h[todo] ^ lane) + _GOLD)
+            for h in out:
+                h[todo] = mix((h[todo] ^ lane) + _GOLD)
             more = left > 8
             todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for k, a, n in zip(todo.tolist(), at.tolist(), left.tolist(), strict=True):
+        lanes = buf[a : a + n].tobytes()
+        for h in out:
+            h[k] = _rest(int(h[k]), lanes)
+    return out
+
+
+def _rest(h: int, data: bytes) -> int:
+    """The steps of ``hash_spans`` over some bytes, as plain numbers."""
+    every, gold, m1, m2 = 0xFFFFFFFFFFFFFFFF, int(_GOLD), int(_M1), int(_M2)
+    for (lane,) in struct.iter_unpack("<Q", data + bytes(-len(data) % 8)):
+        h = ((h ^ lane) + gold) & every
+        h = ((h ^ (h >> 30)) * m1) & every
+        h = ((h ^ (h >> 27)) * m2) & every
+        h ^= h >> 31
     return h
 
 

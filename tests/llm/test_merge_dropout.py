@@ -1,6 +1,8 @@
 """Operator 5: merges under dropout, decoding."""
 
 import hashlib
+import random
+import re
 from collections import Counter, defaultdict
 
 import brute
@@ -50,12 +52,70 @@ def test_same_as_the_plainest_agenda():
                 return (int(r[0]), int(t[0])) if r[0] < d._NONE else None
 
             def skip(s, m, e):
-                return bool(d.skipped(key, np.asarray([s]), np.asarray([m]), np.asarray([e]), dropout)[0])
+                return bool(d.skipped(key, d.spans(*(np.asarray([x]) for x in (s, m, e))), dropout)[0])
 
             want = brute.merge(sym, pairs, skip)
             assert d.agenda(v, sym, int(key[0]), dropout) == want
-            got, first = d.merge_units(v, np.asarray(sym), np.asarray([0, len(sym)]), key, dropout)
-            assert got[0].tolist() == want
+            n = len(sym)
+            got, _, _ = d.merge_units(v, np.asarray(sym), np.zeros(n, int), np.arange(n), np.arange(1, n + 1), key, dropout)
+            assert got.tolist() == want
+
+
+def by_agenda(text, seed, dropout):
+    """Unit by unit with the heap, nothing remembered."""
+    v = d.vocabulary_of(d.VOCABULARY)
+    (_, _, t), = w.runs(pa.array([" " + text] if text else [""]), 1 << 20)
+    body = w.hash_spans(t.buf, t.off[:-1], t.off[1:], 512)
+    out = []
+    for place, unit in enumerate(re.findall(" +[^ ]*", " " + text) if text else []):
+        with np.errstate(over="ignore"):
+            key = w.keyed(w.mix(body + w.U64(place)), seed)
+        sym = [int(v.char[ord(c)]) for c in unit]
+        at = 0
+        for i in d.agenda(v, sym, int(key[0]), dropout):
+            raw = unit[at].encode() if i < 0 else None
+            out += [i] if raw is None else [int(v.byte[b]) for b in raw]
+            at += 1 if i < 0 else int(d._chars(v)[i])
+    return out
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.05, 0.3, 1.0])
+def test_remembered_merges_change_nothing(dropout):
+    rng = random.Random(4)
+    some = ["standing", "the", "nation", "é", "▁x", "日本", "antidisestablishment" * 4, "", "a", "😀s"]
+    texts = [" ".join(rng.choice(some) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    want = [by_agenda(x, 3, dropout) for x in texts]
+    for _ in range(2):  # from an empty memory, then from a full one
+        assert [x.tolist() for x in d.encode(pa.array(texts), 3, dropout)] == want
+    old, d.MEMO_UNITS = d.MEMO_UNITS, 3
+    d.vocabulary_of.cache_clear()
+    try:
+        assert [x.tolist() for half in (texts[:30], texts[30:]) for x in d.encode(pa.array(half), 3, dropout)] == want
+    finally:
+        d.MEMO_UNITS = old
+        d.vocabulary_of.cache_clear()
+
+
+def test_units_with_equal_hashes_stay_apart():
+    key, check = np.asarray([5, 5, 7, 5], dtype=w.U64), np.asarray([1, 2, 1, 1], dtype=w.U64)
+    one, back, times = d._distinct(key, check)
+    assert len(one) == 3 and back[0] == back[3] != back[1] and sorted(times.tolist()) == [1, 1, 2]
+    memo = d.Plain()
+    memo.key, memo.check = key[2:3], check[2:3]
+    assert memo.find(key, check).tolist() == [-1, -1, 0, -1]
+
+
+def test_long_units_take_their_time_by_length():
+    import time
+
+    rng = random.Random(2)
+    spent = []
+    for n in (20_000, 80_000):
+        text = pa.array(["".join(rng.choice("theandiongsr") for _ in range(n))])
+        began = time.process_time()
+        d.encode(text, 1, 0.1)
+        spent.append(time.process_time() - began)
+    assert spent[1] < 12 * spent[0] + 1
 
 
 def test_seeds_vary_and_repeat():
@@ -73,7 +133,7 @@ def test_seeds_vary_and_repeat():
 def test_share_of_skipped_candidates():
     n = 200_000
     unit = w.keyed(np.arange(n, dtype=w.U64), 3)
-    hit = d.skipped(unit, np.zeros(n, int), np.ones(n, int), np.full(n, 2), 0.1)
+    hit = d.skipped(unit, d.spans(np.zeros(n, int), np.ones(n, int), np.full(n, 2)), 0.1)
     assert abs(hit.mean() - 0.1) < 0.005
 
 

@@ -64,3 +64,14 @@ def test_repeats_and_copies():
 def test_runs_cover_everything(texts):
     got = runs(texts, 10)
     assert [k for i, j, _ in got for k in range(i, j)] == list(range(len(texts)))
+
+
+def test_few_long_spans_are_hashed_alike():
+    """The last spans go without arrays: the same hashes, whatever the company."""
+    rng = np.random.default_rng(2)
+    buf = np.concatenate([rng.integers(0, 256, 4000, dtype=np.uint8), np.zeros(8, np.uint8)])
+    end = rng.integers(0, 4001, 40)
+    start = rng.integers(0, end + 1)
+    whole = w.hash_spans(buf, start, end, 9)
+    assert [w.hash_spans(buf, start[k : k + 1], end[k : k + 1], 9)[0] for k in range(40)] == whole.tolist()
+    assert [x.tolist() for x in w.hashes_of_spans(buf, start, end, (9, 4))] == [whole.tolist(), w.hash_spans(buf, start, end, 4).tolist()]
