@@ -95,6 +95,23 @@ def ownership(spans: DataFrame) -> DataFrame:
     )
 
 
+def _covered() -> Column:
+    """Whether a span gives way: an added kind does if it is not live, or meets
+    a base span or a live one of a kind listed before its own. Of a text's spans
+    by their start one sweep keeps the last end so far, another from the back
+    the next start, kind by kind; no span is held against all others."""
+    ahead = Window.partitionBy("row").orderBy("start", "no").rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("no")).rowsBetween(Window.unboundedPreceding, 0)
+    met = F.lit(False)
+    for no in range(len(KINDS) - 1):
+        stays = (F.col("no") == no) & (F.col("live") | F.lit(no < len(BASE)))
+        last = F.max(F.when(stays, F.col("end"))).over(ahead)
+        nearest = F.min(F.when(stays, F.col("start"))).over(behind)
+        overlap = F.coalesce(last > F.col("start"), F.lit(False)) | F.coalesce(nearest < F.col("end"), F.lit(False))
+        met = met | ((F.col("no") > no) & overlap)
+    return (F.col("no") >= len(BASE)) & (~F.col("live") | met)
+
+
 def scanned(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id",
     example_owners: int = EXAMPLE_OWNERS,
@@ -109,13 +126,8 @@ def scanned(
     judged = spans.withColumn("h", F.sha2("value", 256)).join(owned, F.col("h") == F.col("o_hash")).select(
         "row", F.struct("start", "no", "end", kind.alias("kind"), live.alias("live"), "n_repos", "n_owners").alias("s")
     )
-    per_row = judged.groupBy(F.col("row").alias("s_row")).agg(F.array_sort(F.collect_list("s")).alias("all"))
-    base = F.filter("all", lambda x: x["no"] < len(BASE))
-    extra = F.filter("all", lambda x: (x["no"] >= len(BASE)) & x["live"] & ~F.exists(
-        # Of spans that overlap, the base one or else the kind listed first stays.
-        F.col("all"), lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]) & (y["no"] < x["no"]) & ((y["no"] < len(BASE)) | y["live"])
-    ))
-    per_row = per_row.select("s_row", F.array_sort(F.concat(base, extra)).alias("spans"))
+    judged = judged.select("row", "s", "s.start", "s.no", "s.end", "s.live")
+    per_row = judged.withColumn("gone", _covered()).filter("NOT gone").groupBy(F.col("row").alias("s_row")).agg(F.array_sort(F.collect_list("s")).alias("spans"))
     none = F.array().cast("array<struct<start:int,no:int,end:int,kind:string,live:boolean,n_repos:bigint,n_owners:bigint>>")
     return rows.join(per_row, F.col("row") == F.col("s_row"), "left").select(
         "doc_id", "tkey", F.coalesce("spans", none).alias("spans")
@@ -127,31 +139,48 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+_BLOCK = 512
+
+
+def _piece(a: Column, b: Column) -> Column:
+    """Code points ``a`` to ``b`` of the text that ``blocks`` holds in order,
+    ``_BLOCK`` of them in each."""
+    first, last = F.floor(a / _BLOCK), F.floor((b - 1) / _BLOCK)
+    block = lambda k: F.get("blocks", k.cast("int"))
+    inside = F.substring(block(first), a % _BLOCK + 1, b - a)
+    between = F.slice("blocks", (first + 2).cast("int"), (last - first - 1).cast("int"))
+    over = F.concat(
+        F.substring(block(first), a % _BLOCK + 1, F.lit(_BLOCK)), F.array_join(between, ""),
+        F.substring(block(last), F.lit(1), (b - 1) % _BLOCK + 1),
+    )
+    return F.when(a >= b, F.lit("")).when(first == last, inside).otherwise(over)
+
+
 def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id", mark: str = "[secret]", **options) -> DataFrame:
     """``docs`` with every live span replaced by ``mark``, same columns; an
     ``n_chars`` column follows the text. Widely copied examples stay."""
     found = scanned(docs, doc_id, text, owner, repo, **options)
     hits = found.select(
-        F.col("doc_id").alias("h_id"), F.col("tkey").alias("h_key"), F.filter("spans", lambda x: x["live"]).alias("cut")
-    ).filter(F.size("cut") > 0).dropDuplicates(["h_id", "h_key"])
+        F.col("doc_id").alias("h_id"), F.col("tkey").alias("h_key"), F.filter("spans", lambda x: x["live"]).alias("live")
+    ).filter(F.size("live") > 0).dropDuplicates(["h_id", "h_key"])
+    # What lies between the spans, from the last end so far to the next start; a
+    # span that begins before that end only moves it.
+    each = hits.select("h_id", "h_key", F.explode("live").alias("s")).select("h_id", "h_key", "s.start", "s.end")
+    so_far = Window.partitionBy("h_id", "h_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("at", F.coalesce(F.max("end").over(so_far), F.lit(0)))
+    gap = F.when(F.col("start") >= F.col("at"), F.struct(F.col("at").alias("a"), F.col("start").alias("b")))
+    hits = each.groupBy("h_id", "h_key").agg(F.array_sort(F.collect_list(gap)).alias("cut"), F.max("end").alias("tail"))
     body = F.col(f"`{text}`")
     rows = docs.select(
         packed_row(docs, text), body.cast("string").alias("text"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
         text_key(body).alias("tkey"),
     )
     joined = rows.join(hits, (F.col("tkey") == F.col("h_key")) & F.col("doc_id").eqNullSafe(F.col("h_id")), "left")
-    # Walk along the spans; one that begins inside the last only extends it.
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate(
-        "cut", start,
-        lambda acc, x: F.struct(
-            F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)))
-            .otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], x["end"]).alias("at"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
-    )
+    pieces = F.concat(F.transform("cut", lambda g: _piece(g["a"], g["b"])), F.array(_piece(F.col("tail"), F.length("text"))))
+    done = F.array_join(pieces, mark)
     whole = F.col("cut").isNull()
+    # Cut once, so that a piece is found without walking from the start.
+    joined = joined.withColumn("blocks", F.when(~whole, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))))
     wide = joined.withColumn("new", F.when(whole, F.col("text")).otherwise(done))
     new = {text: F.col("new")}
     if "n_chars" in docs.columns:

@@ -3,7 +3,7 @@
 import brute
 import corpus_pipeline as c
 import pytest
-from lexicount.llm import bagminhash, langid, queries
+from lexicount.llm import bagminhash, langid, queries, secret_scan
 from lexicount.llm._spark import written
 
 
@@ -55,6 +55,22 @@ def test_secret_scans(stages):
     assert all(brute.base_spans(before[i].text) for i in changed)
 
 
+def test_secret_scans_mask_every_live_span(stages):
+    """What is left of a text: its pieces between the live spans, no value of one."""
+    before, after = rows(stages[3]), rows(stages[4])
+    n = 0
+    for r in secret_scan.scanned(stages[3]).collect():
+        text, out, at = before[r.doc_id].text, "", 0
+        for x in r.spans:
+            if x.live:
+                n += 1
+                if x.start >= at:
+                    out += text[at : x.start] + "[secret]"
+                at = max(at, x.end)
+        assert after[r.doc_id].text == out + text[at:]
+    assert n > 0
+
+
 def test_packing_holds_every_document(stages):
     packed = stages[5].collect()
     assert {r.doc_id for r in packed} == set(rows(stages[4]))
@@ -79,7 +95,7 @@ def test_stages_take_awkward_rows(spark, data, awkward, empty, n):
 
 def test_every_operator_is_registered():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert names == list(range(1, 11)) and "pipeline" in queries.QUERIES and c.ORACLE_SQL is None
+    assert names == list(range(1, 14)) and "pipeline" in queries.QUERIES and c.ORACLE_SQL is None
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))

@@ -95,3 +95,69 @@ def test_no_python_in_the_plan(spark, data):
     df = s.scanned(spark.read.parquet(f"{data}/documents.parquet"))
     plan = df._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def kept_of(spans):
+    """Of all judged spans those that stay, by the rule itself."""
+    stays = lambda x: x[1] < len(s.BASE) or x[3]
+    return sorted(
+        x for x in spans if x[1] < len(s.BASE) or (x[3] and not any(y[0] < x[2] and x[0] < y[2] and y[1] < x[1] and stays(y) for y in spans))
+    )
+
+
+def test_spans_that_give_way(spark):
+    """The sweeps against every pair of spans, on random spans of all kinds."""
+    rng = random.Random(6)
+    rows = []
+    for text in range(150):
+        for no in range(len(s.KINDS)):
+            at = 0
+            for _ in range(rng.randint(0, 5)):  # of one kind none overlap
+                at += rng.randint(0, 12)
+                end = at + rng.randint(1, 15)
+                rows.append((text, at, no, end, rng.random() < 0.7))
+                at = end
+    df = spark.createDataFrame(rows, "row long, start int, no int, end int, live boolean")
+    got = df.withColumn("gone", s._covered()).filter("NOT gone").collect()
+    for text in range(150):
+        want = kept_of([(a, n, e, v) for t, a, n, e, v in rows if t == text])
+        assert sorted((r.start, r.no, r.end, r.live) for r in got if r.row == text) == want
+
+
+def masked(text, spans, mark="[secret]"):
+    out, at = "", 0
+    for a, b in sorted(spans):
+        if a >= at:
+            out += text[at:a] + mark
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_every_live_span_is_masked(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(BITS) for _ in range(rng.randint(0, 300))) for _ in range(150)] + [None, "", "x" * 3000]
+    docs = docs_of(spark, texts)
+    clean = {r.doc_id: (r.text, r.n_chars) for r in s.redacted(docs).collect()}
+    n = 0
+    for r in s.scanned(docs).collect():
+        t = texts[r.doc_id]
+        live = [(x.start, x.end) for x in r.spans if x.live]
+        n += len(live)
+        assert clean[r.doc_id] == ((masked(t, live), len(masked(t, live))) if live else (t, len(t or "")))
+    assert n > 100
+
+
+def test_a_text_full_of_secrets(spark):
+    """A leaked dump of 100,000 values, scanned and masked by sweeps."""
+    import time
+
+    spent = []
+    for n in (25_000, 100_000):
+        value = lambda k: f"Aa1Bb2Cc3Dd4Ee5Ff6G{k:06d}"
+        text = "é\n".join(f"key {value(k)}" for k in range(n))
+        docs = docs_of(spark, [text, "nothing"])
+        began = time.time()
+        rows = {r.doc_id: r.text for r in s.redacted(docs).collect()}
+        spent.append(time.time() - began)
+        assert rows == {0: "é\n".join(["key [secret]"] * n), 1: "nothing"}
+    assert spent[1] < 8 * spent[0] + 5, spent
