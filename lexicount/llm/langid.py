@@ -6,8 +6,10 @@ its embeddings, and a linear softmax over the average names the language. The
 model is trained by stochastic gradient descent in numpy (steps scaled as in
 AdaGrad) on a bounded sample
 of labelled texts (``PER_LABEL`` expected texts of each label, whole), every
-one as its bag of buckets made on the executors, so what reaches the driver is
-bounded by the sample, not by the lengths of its texts.
+one as its bag of buckets made on the executors. There the sample is cut, too:
+of each label the texts of the smallest draws, as long as their bags fit into the
+label's share of ``ENTRIES``, so that neither the number of labels nor the
+lengths of the texts decide what reaches the driver.
 
 Part of the sample is held back to calibrate: a temperature is fitted to it,
 and a text is rejected if its calibrated probability is below ``threshold``,
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexicount.llm import _words as w
@@ -31,10 +33,14 @@ from lexicount.llm._spark import Batches, map_arrow, packed_row, pick, row_type,
 
 BUCKETS = 1 << 15
 WINDOWS = (2, 3, 4)
-DIM = 16
+#: Dimensions of an embedding: at least, for each label above that, at most.
+DIM, DIM_EACH, MOST_DIM = 16, 0.25, 64
 PER_LABEL = 400
-#: Labels are taken from at most this many values, the most frequent ones.
-MAX_LABELS = 256
+#: Labels are taken from at most this many values, the most frequent ones,
+#: unless the caller says otherwise: a model has a column for each.
+MAX_LABELS = 1024
+#: Bag entries (a bucket and its share, 8 bytes) of the whole sample.
+ENTRIES = 24_000_000
 EPOCHS, RATE = 8, 0.05
 REJECT_SHARE = 0.001
 MOST_REJECT = 0.5
@@ -80,10 +86,11 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 @dataclass
 class Model:
     labels: list[str]
-    table: np.ndarray  # (BUCKETS, labels): each bucket's share of the logits
+    table: np.ndarray  # (BUCKETS, n): each bucket's share of what ``head`` takes
     bias: np.ndarray
     temperature: float
     threshold: float
+    head: np.ndarray | None = None  # from the averages to the logits; None: they are the logits
 
     def logits(self, texts: pa.Array) -> np.ndarray:
         out = []
@@ -91,13 +98,14 @@ class Model:
             first = t.off
             size = np.diff(first)
             full = np.flatnonzero(size)
-            z = np.zeros((t.n, len(self.labels)))
+            z = np.zeros((t.n, self.table.shape[1]))
             for n in WINDOWS:
                 at = window_buckets(t, n)
-                for k in range(len(self.labels)):
+                for k in range(self.table.shape[1]):
                     if len(full):
                         z[full, k] += np.add.reduceat(self.table[:, k][at], first[full], dtype=np.float64)
-            out.append(z / np.maximum(1, size * len(WINDOWS))[:, None] + self.bias)
+            z /= np.maximum(1, size * len(WINDOWS))[:, None]
+            out.append((z if self.head is None else z @ self.head) + self.bias)
         return np.concatenate(out) if out else np.zeros((0, len(self.labels)))
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -118,6 +126,10 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True) if len(z) else z
 
 
+def dimensions(labels: int) -> int:
+    return max(DIM, min(MOST_DIM, int(DIM_EACH * labels)))
+
+
 def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
     """The model from ``(label, buckets, shares)``; a fifth calibrates."""
     labels = sorted({e[0] for e in examples})
@@ -128,8 +140,9 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
     order = rng.permutation(len(examples))
     held = set(order[: len(examples) // 5].tolist()) if len(examples) >= 50 else set()
     fit = [k for k in range(len(examples)) if k not in held]
-    emb = rng.normal(0, 0.1, (BUCKETS, DIM))
-    out = np.zeros((DIM, len(labels)))
+    dim = dimensions(len(labels))
+    emb = rng.normal(0, 0.1, (BUCKETS, dim))
+    out = np.zeros((dim, len(labels)))
     bias = np.zeros(len(labels))
     steps, total = 0, EPOCHS * len(fit)
     # Steps are scaled by the gradients met so far (one sum per embedding), so
@@ -138,6 +151,7 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
     for _ in range(EPOCHS):
         for k in rng.permutation(fit):
             label, b, c = examples[k]
+            c = c.astype(np.float64)
             rate = RATE * (1 - steps / total)
             steps += 1
             mean = c @ emb[b]
@@ -151,10 +165,12 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
             out -= rate * outer / np.sqrt(seen_out)
             bias -= rate * p / np.sqrt(seen_bias)
             emb[b] -= (rate * c / np.sqrt(seen_emb[b]))[:, None] * g[None]
-    table = emb @ out
+    # With few labels a bucket's part in the logits is smaller than its embedding.
+    table, head = (emb @ out, None) if len(labels) <= dim else (emb, out)
 
     def score(keys) -> tuple[np.ndarray, np.ndarray]:
-        z = np.stack([examples[k][2] @ table[examples[k][1]] + bias for k in keys])
+        z = np.stack([examples[k][2].astype(np.float64) @ table[examples[k][1]] for k in keys])
+        z = (z if head is None else z @ head) + bias
         return z, np.asarray([no[examples[k][0]] for k in keys])
 
     z, y = score(sorted(held) if held else fit)
@@ -164,49 +180,68 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
     p = softmax(z / temperature)
     right = p.max(1)[p.argmax(1) == y]
     threshold = min(MOST_REJECT, float(np.quantile(right, REJECT_SHARE))) if len(right) else 0.0
-    return Model(labels, table.astype(np.float32), bias, temperature, threshold)
+    return Model(labels, table.astype(np.float32), bias, temperature, threshold, head)
 
 
 def _bags(batches: Batches) -> Batches:
     for b in batches:
         found = bags(b.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [b.column("lang"), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([c.astype(np.float32) for _, c in found], pa.list_(pa.float32())), b.column("draw")],
-            ["lang", "bucket", "share", "draw"],
+            [
+                b.column("lang"), b.column("draw"), b.column("key"), pa.array([len(x) for x, _ in found], pa.int64()),
+                pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([c.astype(np.float32) for _, c in found], pa.list_(pa.float32())),
+            ],
+            ["lang", "draw", "key", "size", "bucket", "share"],
         )
 
 
-def learned(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column | None = None, per_label: int = PER_LABEL) -> Model:
-    """A model from the labelled rows that pass ``where``; the sample is drawn
-    by a hash of the text, the label left out. Copies of a text under one label
-    are one example, and count as one."""
+def sampled(
+    docs: DataFrame, lang: str = "lang", text: str = "text", where: Column | None = None, per_label: int = PER_LABEL,
+    max_labels: int = MAX_LABELS, entries: int = ENTRIES,
+) -> DataFrame | None:
+    """``(lang, draw, key, size, bucket, share)``, the bags to learn from; None
+    if there is no label.
+
+    A text is drawn by its hash, so that a label has about ``per_label`` distinct
+    ones; of those the smallest draws stay, at most twice as many and at most
+    ``entries / labels`` entries, cut on the executors."""
     rows = docs.filter(where) if where is not None else docs
     rows = pick(rows, lang=lang, text=text).filter("lang IS NOT NULL AND text IS NOT NULL")
     texts = F.approx_count_distinct(F.xxhash64("text")).alias("texts")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), texts).orderBy(F.desc("n"), "lang").limit(MAX_LABELS).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), texts).orderBy(F.desc("n"), "lang").limit(max_labels).collect()
     if not counts:
-        return train([])
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_label / max(1, r["texts"])))).otherwise(share)
+        return None
+    # At most max_labels rows.
+    shares = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, per_label / max(1, r["texts"]))) for r in counts], "s_lang string, drawn_share double"
+    )
     draw = F.pmod(F.xxhash64("text", F.lit(1707)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # Texts are drawn apart from each other, so a label has about per_label of them.
-    sample = rows.filter(draw < share).dropDuplicates(["lang", "text"]).withColumn("draw", draw)
-    got = map_arrow(sample, _bags, "lang string, bucket array<int>, share array<float>, draw double").toArrow()
-    drawn = [
-        (x, d, np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float64))
-        for x, d, b, c in zip(got["lang"].to_pylist(), got["draw"].to_pylist(), got["bucket"].to_numpy(), got["share"].to_numpy(), strict=True)
-    ]
-    # Whatever order they came in; of each label the least draws.
-    drawn.sort(key=lambda e: (e[0], e[1], len(e[2]), e[2].tobytes(), e[3].tobytes()))
-    examples, taken = [], {}
-    for x, _, b, c in drawn:
-        taken[x] = taken.get(x, 0) + 1
-        if taken[x] <= 2 * per_label:
-            examples.append((x, b, c))
-    del got, drawn
-    pa.default_memory_pool().release_unused()  # the driver keeps the examples only
-    return train([e for e in examples if len(e[1])])
+    drawn = rows.withColumn("draw", draw).join(F.broadcast(shares), F.col("lang") == F.col("s_lang")).filter(F.col("draw") < F.col("drawn_share"))
+    drawn = drawn.dropDuplicates(["lang", "text"]).select("lang", "text", "draw", F.xxhash64("text").alias("key"))
+    bag = map_arrow(drawn, _bags, "lang string, draw double, key long, size long, bucket array<int>, share array<float>")
+    # A label's group has about per_label rows, whatever the table.
+    least = Window.partitionBy("lang").orderBy("draw", "key")
+    so_far = F.sum("size").over(least.rowsBetween(Window.unboundedPreceding, 0))
+    kept = bag.withColumn("place", F.row_number().over(least)).withColumn("so_far", so_far)
+    return kept.filter((F.col("place") <= 2 * per_label) & (F.col("so_far") <= max(BUCKETS, entries // len(counts)))).drop("place", "so_far")
+
+
+def learned(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column | None = None, **bounds) -> Model:
+    """A model from the labelled rows that pass ``where``; the sample is drawn
+    by a hash of the text, the label left out. Copies of a text under one label
+    are one example, and count as one. ``bounds`` are those of ``sampled``."""
+    sample = sampled(docs, lang, text, where, **bounds)
+    if sample is None:
+        return train([])
+    got = sample.toArrow()
+    order = np.lexsort((got["key"].to_numpy(), got["draw"].to_numpy()))
+    # The bags stay in Arrow's memory; whatever order they came in.
+    label, bucket, share = got["lang"].to_pylist(), got["bucket"].to_numpy(), got["share"].to_numpy()
+    examples = sorted(((label[k], bucket[k], share[k]) for k in order), key=lambda e: e[0])
+    model = train([e for e in examples if len(e[1])])
+    del got, label, bucket, share, examples
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _predict(model):

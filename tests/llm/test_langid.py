@@ -99,3 +99,57 @@ def test_long_training_on_noisy_labels_stays_finite():
     assert np.isfinite(m.table).all() and np.isfinite(m.bias).all() and 0 < m.threshold <= g.MOST_REJECT
     right = [m.labels[int((c @ m.table[b] + m.bias).argmax())] == f"l{k % 3}" for k, (_, b, c) in enumerate(examples)]
     assert np.mean(right) > 0.95
+
+
+def many_labels(spark, labels=300, each=30):
+    """Made-up languages: every one has syllables of its own."""
+    import random
+
+    rng = random.Random(1)
+    rows = []
+    for k in range(labels):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)]
+        rows += [(f"l{k:03d}", " ".join("".join(rng.choices(own, k=rng.randint(1, 3))) for _ in range(rng.randint(20, 200)))) for _ in range(each)]
+    return spark.createDataFrame(rows, "lang string, text string").repartition(6)
+
+
+def test_three_hundred_labels(spark):
+    """All are learned; what reaches the driver is bounded whatever they are."""
+    docs = many_labels(spark)
+    bound = 600_000
+    sample = g.sampled(docs, entries=bound).toArrow()
+    sizes = sample["size"].to_numpy()
+    assert sizes.sum() <= max(bound, 300 * g.BUCKETS) and len(set(sample["lang"].to_pylist())) == 300
+    assert (sizes == [len(x) for x in sample["bucket"].to_pylist()]).all()
+    m = g.learned(docs)
+    assert len(m.labels) == 300 and m.head is not None and m.table.shape == (g.BUCKETS, 64)
+    rows = docs.toArrow()
+    names, _, _ = m.predict(rows["text"].combine_chunks())
+    assert np.mean([a == b for a, b in zip(names, rows["lang"].to_pylist())]) > 0.9
+    assert len(g.learned(docs, per_label=20, max_labels=7).labels) == 7
+
+
+def test_the_smallest_draws_stay(spark):
+    """A label's bags are cut to its share of the entries, in the order of draws."""
+    docs = many_labels(spark, 4, 200)
+    every = {k: [] for k in range(4)}
+    for r in g.sampled(docs, per_label=10**6).collect():
+        every[int(r.lang[1:])].append((r.draw, r.key, r["size"]))
+    bound = 4 * g.BUCKETS
+    for r in g.sampled(docs, per_label=10**6, entries=bound).groupBy("lang").agg({"size": "sum", "draw": "max"}).collect():
+        total, last = 0, None
+        for draw, _, size in sorted(every[int(r.lang[1:])]):
+            if total + size > bound // 4:
+                break
+            total, last = total + size, draw
+        assert (r["sum(size)"], r["max(draw)"]) == (total, last) and total > g.BUCKETS // 2
+
+
+def test_averages_go_through_the_head(model):
+    """With many labels a model keeps embeddings: the same logits."""
+    rng = np.random.default_rng(5)
+    head = rng.normal(size=(len(model.labels), len(model.labels)))
+    table = model.table @ np.linalg.inv(head)
+    other = g.Model(model.labels, table.astype(np.float64), model.bias, 1.0, 0.0, head)
+    texts = pa.array(["Der Hund und die Katze", "", "the thing of it"])
+    assert np.allclose(other.logits(texts), model.logits(texts), atol=1e-4)
