@@ -15,7 +15,11 @@ A task writes a bundle under a name of its own (with a random part) in the
 shared folder and only reports it when it is closed. What a lost task leaves
 behind is in no index, so it is never read. Bundles are written through
 ``pyarrow.fs``, which reaches the stores Spark's cluster shares (file, hdfs,
-s3, gs, abfs).
+s3, gs, abfs). Which store a folder is in is settled on the driver, by Spark: a
+path without a scheme belongs to the cluster's default file system, and the
+executors only ever see whole addresses.
+
+Writing and reading go frame by frame: a task holds the records of one frame.
 
 A null payload is empty. Null ids are written as empty identifiers and come
 after all others; rows equal in id and payload get the same kind of record.
@@ -27,9 +31,11 @@ import base64
 import hashlib
 import struct
 import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexicount.llm._spark import Batches, map_arrow, pick, written
@@ -143,15 +149,34 @@ def seek_table(source) -> list[tuple[int, int, int]]:
     return out
 
 
-def _open(path: str):
-    """``(filesystem, path)`` of a Spark path."""
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The whole address of a folder, as Spark resolves it: by the file it
+    makes there for a one-row table."""
+    mark = f"made-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{mark}"
+    spark.range(1).coalesce(1).write.parquet(path)
+    (file,) = spark.read.parquet(path).inputFiles()
+    return file.rpartition(f"/{mark}/")[0]
+
+
+def _open(address: str):
+    """``(filesystem, path)`` of a whole address."""
     from pyarrow import fs
 
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem(), path
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = address.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{address!r} does not say which file system it is in")
+    if scheme == "file":
+        return fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))
+    if scheme in ("s3a", "s3n"):
+        address = f"s3:{rest}"
+    return fs.FileSystem.from_uri(address)
+
+
+def _rows(b: pa.RecordBatch, at_once: int = 64) -> Iterator[dict]:
+    """The rows, a few at a time as Python values."""
+    for lo in range(0, b.num_rows, at_once):
+        yield from b.slice(lo, at_once).to_pylist()
 
 
 def _write(folder: str, per_frame: int, level: int):
@@ -169,7 +194,7 @@ def _write(folder: str, per_frame: int, level: int):
 
         done = []
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 if writer is None:
                     name = f"{folder.rstrip('/')}/bundle-{uuid.uuid4().hex}.warc.zst"
                     files, path = _open(name)
@@ -211,21 +236,21 @@ def archived(
     chosen = full.filter(big).groupBy(F.col("sha1").alias("c_sha1")).agg(F.max("page_id").alias("chosen"))
     other = F.when(big & ~F.col("page_id").eqNullSafe(F.col("chosen")), F.col("chosen"))
     marked = full.join(chosen, F.col("sha1") == F.col("c_sha1"), "left").withColumn("refers_to", other)
-    target = folder or fresh_path(spark, "warc")
+    target = qualified(spark, folder or fresh_path(spark, "warc"))
     return written(
         map_arrow(marked.select("page_id", "url", "payload", "sha1", "refers_to"), _write(target, per_frame, level), _INDEX),
         "warc-index",
     )
 
 
-def read_records(files, path: str, wanted: list[dict]) -> list[tuple[dict, dict[str, str], bytes]]:
-    """The wanted records (index rows) of one bundle: the seek table gives the
-    place of each frame by its number; the frame is fetched and decompressed
-    once, whatever the rest of the bundle holds."""
+def read_records(files, path: str, wanted: list[dict]) -> Iterator[tuple[dict, dict[str, str], bytes]]:
+    """The wanted records (index rows) of one bundle, in the order of their
+    places: the seek table gives the place of each frame by its number; the
+    frame is fetched and decompressed once, when its first record is asked for,
+    and given up before the next."""
     import zstandard
 
     unzip = zstandard.ZstdDecompressor()
-    out = []
     with files.open_input_file(path) as source:
         table = seek_table(source)
         frame, data = None, b""
@@ -240,8 +265,7 @@ def read_records(files, path: str, wanted: list[dict]) -> list[tuple[dict, dict[
                 if len(data) != size:
                     raise ValueError(f"{path}: frame {frame} has {len(data)} bytes, the seek table says {size}")
             headers, block = parse(data[row["begin"] : row["begin"] + row["length"]])
-            out.append((row, headers, block))
-    return out
+            yield row, headers, block
 
 
 def _read(batches: Batches) -> Batches:

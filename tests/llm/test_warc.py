@@ -118,7 +118,7 @@ def test_frames_are_found_by_the_seek_table(spark):
         with files.open_output_stream(other, compression=None) as out:
             out.write(body)
         with pytest.raises(Exception, match="seek table|[Zz]std|decompress|frame"):
-            warc.read_records(files, other, [r.asDict() for r in index.collect()])
+            list(warc.read_records(files, other, [r.asDict() for r in index.collect()]))
 
 
 def test_record_headers():
@@ -135,7 +135,7 @@ def test_a_repeated_task_writes_a_bundle_of_its_own(spark):
     import pyarrow as pa
     from lexicount.sinks import fresh_path
 
-    folder = fresh_path(spark, "warc-test")
+    folder = warc.qualified(spark, fresh_path(spark, "warc-test"))
     rows = [{"page_id": k, "url": "u", "payload": f"page {k}", "sha1": hashlib.sha1(f"page {k}".encode()).hexdigest(), "refers_to": None} for k in range(10)]
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.string()), ("sha1", pa.string()), ("refers_to", pa.int64())])
     batch = pa.RecordBatch.from_pylist(rows, schema)
@@ -152,3 +152,65 @@ def test_a_repeated_task_writes_a_bundle_of_its_own(spark):
     files, path = warc._open(second[0]["bundle"])
     got = warc.read_records(files, path, second)
     assert sorted(warc._id(h["warc-record-id"]) for _, h, _ in got) == list(range(10))
+
+
+def test_a_path_without_a_scheme_is_in_the_default_file_system(spark, scratch):
+    """The cluster's default is not this machine: Spark says which store it is,
+    and nothing is written to a folder of that name here."""
+    import os
+
+    mine = f"/shared-{os.path.basename(scratch)}"
+    conf = {"fs.defaultFS": "viewfs://cluster/", f"fs.viewfs.mounttable.cluster.link.{mine}": f"file://{scratch}"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert warc.qualified(spark, f"{mine}/bundles here") == f"viewfs://cluster{mine}/bundles%20here"
+        assert os.listdir(scratch) == ["bundles here"] and not os.path.exists(mine)
+        assert warc.qualified(spark, f"file://{scratch}/a b") in (f"file:{scratch}/a%20b", f"file://{scratch}/a%20b")
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    with pytest.raises(ValueError, match="file system"):
+        warc._open(f"{mine}/bundle")
+    files, path = warc._open(f"file:{scratch}/a%20b")
+    assert path == f"{scratch}/a b" and files.type_name == "local"
+
+
+def test_a_folder_without_a_scheme(spark, scratch):
+    index = warc.archived(pages_of(spark), folder=f"{scratch}/own folder")
+    assert all(r.bundle.startswith("file:") for r in index.collect())
+    assert sorted((tuple(r) for r in warc.read_back(index).collect()), key=str) == expected(ROWS)
+
+
+class Counted:
+    """A file system that counts what is read."""
+
+    def __init__(self, files):
+        self.files, self.reads = files, 0
+
+    def open_input_file(self, path):
+        source, outer = self.files.open_input_file(path), self
+
+        class Source:
+            __enter__ = lambda s: s
+            __exit__ = lambda s, *e: source.close()
+            size, seek = source.size, source.seek
+
+            def read(self, n):
+                outer.reads += n
+                return source.read(n)
+
+        return Source()
+
+
+def test_reading_holds_one_frame(spark):
+    rows = [(k, "u", f"page {k} " * 2000) for k in range(40)]
+    index = [r.asDict() for r in warc.archived(pages_of(spark, rows).coalesce(1), per_frame=4).collect()]
+    files, path = warc._open(index[0]["bundle"])
+    counted = Counted(files)
+    places = sorted({(r["at"], r["size"]) for r in index})
+    foot = 9 + 8 * len(places)
+    assert len(places) == 10
+    for n, (_, headers, _) in enumerate(warc.read_records(counted, path, index)):
+        assert headers["warc-type"] == "response"
+        assert counted.reads == foot + sum(size for _, size in places[: n // 4 + 1])
