@@ -70,14 +70,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under ``shared_dir`` for a written intermediate table."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under ``shared_dir`` for a written intermediate table.
+
+    All paths of an application lie in one folder, ``lexicount-<application id>``.
+    Results are read from it lazily, so it must live as long as the application;
+    after that nothing refers to it and it can be deleted as a whole.
+    """
+    own = f"lexicount-{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark).rstrip('/')}/{own}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet under ``shared_dir`` and read back: computed
-    once, and a lost executor costs no recomputation. What is written stays
-    until the owner of the folder clears it."""
+    once, and a lost executor costs no recomputation. It stays as long as
+    ``fresh_path`` says."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
