@@ -242,7 +242,10 @@ def learned(
     chosen = F.broadcast(marks.filter(draw < share).limit(4 * per_class).withColumnRenamed("doc_id", "m_id"))
     src = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
     fold = F.pmod(F.xxhash64("text", F.lit(910)), F.lit(FOLDS)).cast("int").alias("fold")
-    sample = written(src.join(chosen, F.col("doc_id") == F.col("m_id")).select("text", "toxic", fold), "toxic-sample")
+    # An id is one example, however many rows repeat it: that of the least hash.
+    met = src.join(chosen, F.col("doc_id") == F.col("m_id"))
+    one = met.groupBy("m_id").agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("r")).select("r.*")
+    sample = written(one.select("text", "toxic", fold), "toxic-sample")
     # At most 2 * FOLDS * BUCKETS rows, whatever the corpus.
     table = map_arrow(sample, _counts, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(2 * FOLDS * BUCKETS)

@@ -94,3 +94,16 @@ def test_awkward_rows(spark, awkward, empty):
         assert len(rows) == awkward.count()
         assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= t.THRESHOLD) for r in rows)
         assert t.scored(empty, m).count() == 0
+
+
+def test_an_id_is_one_example(spark, monkeypatch):
+    """However many rows repeat a labelled id, the sample has one of them."""
+    rows = [(1, f"some bad words here {k}") for k in range(400)] + [(k, f"clean words number {k}") for k in range(2, 40)] + [(2, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 9 == 1)) for k in range(40)], "doc_id long, toxic int")
+    kept, real = [], t.written
+    monkeypatch.setattr(t, "written", lambda df, label: kept.append(real(df, label)) or kept[-1])
+    a, b = t.learned(docs, labels), t.learned(docs.repartition(7), labels)
+    assert sorted(r.toxic for r in kept[0].collect()) == sorted(int(k % 9 == 1) for k in range(1, 40))
+    assert sorted(map(str, kept[0].collect())) == sorted(map(str, kept[1].collect()))
+    assert np.allclose(a.score, b.score)
