@@ -188,9 +188,11 @@ def _summaries(keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBat
 
 
 def _runs(b: pa.RecordBatch):
-    lang = b.column("lang").to_pylist()
-    for i, j, t in w.runs(b.column("text"), _RUN):
-        yield lang[i:j], Phrases(t, lang[i:j])
+    for lo in range(0, b.num_rows, 512):  # a batch's texts are not copied at once
+        part = b.slice(lo, 512)
+        lang = part.column("lang").to_pylist()
+        for i, j, t in w.runs(part.column("text"), _RUN):
+            yield lang[i:j], Phrases(t, lang[i:j])
 
 
 def _summarise(parts: int, most_words: int, held: int):
