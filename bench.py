@@ -4,7 +4,7 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_RUNS (timed runs per query, default 5; the median is
 reported after one warm-up pass over all queries). Every run builds the query and executes it
 completely with a ``noop`` write, so all rows are computed and none is
-collected. A failing query is listed under ``errors`` and ``complete`` is
+collected; caches of named datasets are freed before every run. A failing query is listed under ``errors`` and ``complete`` is
 false (the total then covers the other queries only). Also times the
 reference-shaped word count (all words forced into
 one partition before the group-by) for comparison; it is not in the total.
@@ -19,6 +19,7 @@ import statistics
 import sys
 import time
 
+NAMED = {"named_dataset_total", "named_datasets"}
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
@@ -60,7 +61,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from lexicount import table, text_words
-    from lexicount.queries import QUERIES, release_named_dataset
+    from lexicount.queries import QUERIES, release_named_datasets
 
     def word_count_single_partition(spark, d):
         """The reference's shape: all words forced into one partition before the group-by."""
@@ -70,8 +71,10 @@ def main() -> None:
     names = only or list(QUERIES)
     errors: dict[str, str] = {}
 
-    def attempt(name, build) -> float | None:
+    def attempt(name, build, warm: bool = False) -> float | None:
         try:
+            if name in NAMED and not warm:  # its time holds filling the cache
+                release_named_datasets(spark, data_dir)
             return run_once(spark, build, data_dir)
         except Exception as e:  # noqa: BLE001 - report the query, keep the others
             errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200] if str(e) else ''}"
@@ -95,14 +98,13 @@ def main() -> None:
         if "reference_shape" not in errors:
             ref_shape = round(statistics.median(ts), 4)
 
-    # The named dataset's median is that of a warm cache; its first use also
-    # fills the cache. Freed before every cold run and at the end.
-    cold = []
-    if "named_dataset_total" in medians:
-        for _ in range(runs):
-            release_named_dataset(spark, data_dir)
-            cold.append(attempt("named_dataset_total", QUERIES["named_dataset_total"]))
-        release_named_dataset(spark, data_dir)
+    # Used again, a named dataset is read from its cache.
+    warm: dict[str, float] = {}
+    for name in NAMED & set(medians):
+        ts = [attempt(name, QUERIES[name], warm=True) for _ in range(runs)]
+        if name not in errors:
+            warm[name] = round(statistics.median(ts), 4)
+    release_named_datasets(spark, data_dir)
 
     m = re.search(r"sf(\d+(?:\.\d+)?)(?![\d.])", os.path.basename(data_dir.rstrip("/")))
     print(
@@ -119,7 +121,7 @@ def main() -> None:
                 "spark": spark.version,
                 "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
                 "reference_shape": {"word_count_coalesce1": ref_shape},
-                "cold": {"named_dataset_total": round(statistics.median(cold), 4)} if cold and None not in cold else {},
+                "warm": warm,
                 **({"errors": errors} if errors else {}),
             }
         )

@@ -2,7 +2,8 @@
 
 Every public function takes and returns DataFrames (or Columns) built only
 from native Spark expressions, and no Python UDF runs. Nothing is collected
-to the driver except by ``to_dict``, which refuses results over a row bound.
+to the driver except by ``to_dict``, which refuses results over a row bound, and
+the histograms of ``top_by_count``, which have a fixed size.
 """
 
 from lexicount.functions import java_split, line_count, line_words, text_lines, text_words

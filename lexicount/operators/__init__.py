@@ -1,4 +1,5 @@
-"""DataFrame-to-DataFrame operators. All are lazy; none collects."""
+"""DataFrame-to-DataFrame operators. All are lazy but ``exact_ranks``,
+``top_by_count`` and ``store_counts``, which write a table first."""
 
 from lexicount.operators.counts import (
     count_by_value,

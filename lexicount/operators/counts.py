@@ -2,11 +2,14 @@
 
 Every aggregate here is a hash aggregate split into a partial (map-side)
 and a final phase, so a hot key costs one row per task in the shuffle, not
-one row per occurrence. Nothing is collected to the driver.
+one row per occurrence. Nothing is collected to the driver but the histograms
+of ``top_by_count``, which have a fixed size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,15 +28,17 @@ def word_count(
     col: str | Column = "value",
     keep_empty: bool = False,
     multiline: bool = False,
+    only: Iterable[str] | None = None,
 ) -> DataFrame:
     """``(word string, count bigint)`` for every distinct word of ``col``.
 
     ``keep_empty=False`` is the DataFrame word count (empty words dropped);
     ``keep_empty=True`` is the RDD/literal word count, which counts the empty
     words the Java split rule produces. ``multiline`` says ``col`` holds whole
-    texts rather than single lines.
+    texts rather than single lines. ``only`` counts just these words.
     """
-    return words(df, col, keep_empty=keep_empty, multiline=multiline).groupBy("word").agg(_count())
+    each = words(df, col, keep_empty=keep_empty, multiline=multiline, only=only)
+    return each.groupBy("word").agg(_count())
 
 
 def count_by_value(df: DataFrame, col: str | Column) -> DataFrame:
@@ -70,8 +75,9 @@ def word_lookup_sql(spark: SparkSession, counts: DataFrame, word: str) -> DataFr
     so quotes, backslashes or SQL fragments in it are plain data. ``counts``
     is passed to the statement itself: no view of any name is made or
     replaced. Catalyst pushes ``word = :w`` below the aggregate, but not below
-    the tokeniser, so every word of every text is still made into a row; use
-    ``word_lookup`` to count in place.
+    the tokeniser: counts made for this lookup alone should be of ``only`` that
+    word (``word_count(..., only=[word])``), so that the scan leaves out the texts
+    without it; ``word_lookup`` counts in place.
     """
     word = string(word, "word")
     return spark.sql(

@@ -179,7 +179,7 @@ def q_word_lookup_missing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_word_lookup_sql(spark: SparkSession, d: str) -> DataFrame:
-    counts = word_count(_docs(spark, d), "text", multiline=True)
+    counts = word_count(_docs(spark, d), "text", multiline=True, only=[LOOKUP_SQL_WORD])
     return word_lookup_sql(spark, counts, LOOKUP_SQL_WORD)
 
 
@@ -270,6 +270,10 @@ def _dataset_name(d: str) -> str:
     return f"lineitem_linenumber_{_folder_hash(d)}"
 
 
+def _keys_name(d: str) -> str:
+    return f"order_keys_{_folder_hash(d)}"
+
+
 def q_named_dataset_total(spark: SparkSession, d: str) -> DataFrame:
     numbers = get_or_create(
         spark, _dataset_name(d), lambda: _lineitem(spark, d).select("l_linenumber")
@@ -279,7 +283,7 @@ def q_named_dataset_total(spark: SparkSession, d: str) -> DataFrame:
 
 def q_named_datasets(spark: SparkSession, d: str) -> DataFrame:
     # A dataset by its name, one that is not there, and the list of names.
-    name, missing = f"order_prices_{_folder_hash(d)}", f"nothing_{_folder_hash(d)}"
+    name, missing = _keys_name(d), f"nothing_{_folder_hash(d)}"
     orders = table(spark, d, "orders")
     first = get_or_create(spark, name, lambda: orders.select("o_orderkey"))
     found, none = get(spark, name), get(spark, missing)
@@ -295,9 +299,10 @@ def q_named_datasets(spark: SparkSession, d: str) -> DataFrame:
     return there.unionByName(absent.select(*row("missing", missing in listed, None), "total"))
 
 
-def release_named_dataset(spark: SparkSession, d: str) -> bool:
-    """Free what ``q_named_dataset_total`` has cached for the folder."""
-    return release(spark, _dataset_name(d))
+def release_named_datasets(spark: SparkSession, d: str) -> None:
+    """Free what the queries over named datasets have cached for the folder."""
+    for name in (_dataset_name(d), _keys_name(d)):
+        release(spark, name)
 
 
 QUERIES: dict[str, Query] = {

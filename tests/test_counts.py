@@ -214,3 +214,17 @@ def test_stored_counts_are_replaced(spark):
     assert before.first()["count"] == 1 and stored_lookup(spark, "again", "it's").first()["count"] == 5
     store_counts(spark, first.selectExpr("word", "count + 1 AS count"), "again", 2)
     assert stored_lookup(spark, "again", "a").first()["count"] == 2 and before.first()["count"] == 1
+
+
+@pytest.mark.parametrize("keep_empty", [False, True])
+@pytest.mark.parametrize("multiline", [False, True])
+def test_only_some_words(spark, keep_empty, multiline):
+    """The words asked for, with the counts they have among all."""
+    texts = ["the cat  the\nother the", "therefore it's", None, "", "the", "a%b _ a.b", " x ", "cat\r\nthe"]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    whole = as_dict(word_count(df, keep_empty=keep_empty, multiline=multiline))
+    for only in (["the"], ["the", "cat", "the"], ["a%b", "_"], ["it's"], ["zzz"], [""], []):
+        got = as_dict(word_count(df, keep_empty=keep_empty, multiline=multiline, only=only))
+        assert got == {w: n for w, n in whole.items() if w in only}, only
+    with pytest.raises(ValueError):
+        word_count(df, only=[3])

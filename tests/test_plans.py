@@ -68,6 +68,12 @@ def test_prefix_pushed_to_parquet(spark):
     assert read_schemas(df) == ["struct<p_partkey:bigint,p_name:string>"]
 
 
+def test_sql_lookup_pushes_the_word_to_the_scan(spark):
+    df = QUERIES["word_lookup_sql"](spark, SF_ORACLE)
+    assert any("StringContains(text,of)" in f for f in pushed_filters(df))
+    assert "(word#" in physical_plan(df) and physical_plan(df).count("Generate") == 1
+
+
 def test_numeric_queries_prune_columns(spark):
     for name in ("total", "total_doubled", "sum_of_squares"):
         assert read_schemas(QUERIES[name](spark, SF_ORACLE)) == ["struct<l_linenumber:int>"], name
