@@ -1,0 +1,59 @@
+"""Operators give the same rows when every task that reads the texts fails once."""
+
+import json
+import os
+import subprocess
+import sys
+import tempfile
+
+# Runs in its own process: `local[4,4]` lets a failed task be retried, which a
+# plain local master does not. The failing function exists only in this test.
+SCRIPT = r"""
+import json, sys, tempfile
+sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+spark = (SparkSession.builder.master("local[4,4]")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+spark.sparkContext.setLogLevel("WARN")
+spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexicount-ft-ckpt-"))
+from lexicount.llm import bagminhash, collocations, line_dedup, multiset_hash, secret_scan, spelling
+
+@F.udf("string")
+def fail_first_attempt(s):
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("injected task failure")
+    return s
+
+def bitmaps(docs):
+    return line_dedup.applied(docs, line_dedup.keep_bitmaps(docs)).drop("keep")
+
+RUNS = {
+    "classes": lambda d: bagminhash.classes(d).select("doc_id", "rep_id", "class_id"),
+    "likeness": multiset_hash.edited_likeness,
+    "secrets": lambda d: secret_scan.scanned(d).select("doc_id", F.to_json("spans").alias("spans")),
+    "variants": lambda d: spelling.variants(spelling.word_counts(d, least_count=2), sample=500, cell=50),
+    "collocations": lambda d: collocations.collocations(d, least=5, counters=64, held=2000),
+    "bitmaps": bitmaps,
+}
+docs = spark.read.parquet(sys.argv[2] + "/documents.parquet").repartition(3)
+flaky = docs.withColumn("text", fail_first_attempt("text"))
+out = {}
+for name, run in RUNS.items():
+    a, b = (sorted(map(str, run(d).collect())) for d in (docs, flaky))
+    out[name] = [a == b, len(a)]
+print(json.dumps(out))
+"""
+
+
+def test_every_reading_task_fails_once():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = os.path.join(tempfile.mkdtemp(prefix="lexicount-ft-"), "ft.py")
+    with open(script, "w") as f:
+        f.write(SCRIPT)
+    out = subprocess.run([sys.executable, script, root, "/root/testdata/sf0.001"], capture_output=True, text=True, timeout=900)
+    assert out.returncode == 0, out.stderr[-2000:]
+    result = json.loads(out.stdout.strip().splitlines()[-1])
+    assert all(same and n > 20 for same, n in result.values()), result
+    assert "injected task failure" in out.stderr  # the first attempts did fail
