@@ -192,9 +192,14 @@ def joining_links(
     step = max(1, CELLS // max(1, len(two)))
     exact = np.float32 if not len(total) or total.max() < 1 << 24 else np.float64
     edge0 = np.concatenate([[0], np.cumsum(total[one])])
+    # A few rows first: their links may join most of the classes.
+    cuts, size = [0], 8
+    while cuts[-1] < len(one):
+        cuts.append(min(len(one), cuts[-1] + min(step, size)))
+        size *= 2
     # Rows of one class together: what has their class needs no comparison.
-    for lo in range(0, len(one), step):
-        x = np.arange(lo, min(len(one), lo + step))
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        x = np.arange(lo, hi)
         mine = label[one[x]]
         y = np.flatnonzero(label[two] != mine[0]) if (mine == mine[0]).all() else np.arange(len(two))
         if not len(y):
