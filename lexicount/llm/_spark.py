@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -25,10 +27,37 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
 
 
+#: Rows that an operator's function gets at once: what it copies or makes of a
+#: batch follows these, not the batch that Spark sends.
+ROWS_AT_ONCE = 1024
+
+
+def _parts(batches: Batches) -> Batches:
+    for b in batches:
+        for lo in range(0, b.num_rows, ROWS_AT_ONCE):
+            yield b.slice(lo, ROWS_AT_ONCE)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker waits for its next task
+    with little of it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package importable on the workers."""
+    """``mapInArrow`` in parts of batches, with the package importable on the
+    workers. An empty batch is passed over."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from fn(_parts(batches))
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

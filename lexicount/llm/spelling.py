@@ -129,16 +129,9 @@ def _strings(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(off), pa.py_buffer(body))
 
 
-def _parts(batches: Batches) -> Batches:
-    """Batches of fewer rows, so that their texts are not copied at once."""
-    for b in batches:
-        for lo in range(0, b.num_rows, 1024):
-            yield b.slice(lo, 1024)
-
-
 def _count(least_chars: int, slip: int | None):
     def run(batches: Batches) -> Batches:
-        for b in _parts(batches):
+        for b in batches:
             names = [b"" if x is None else str(x).encode() for x in b.column("doc_id").to_pylist()]
             for i, j, t in w.runs(b.column("text"), COUNT_BYTES):
                 low, start, size, chars = letter_runs(t)
