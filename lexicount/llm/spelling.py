@@ -8,7 +8,7 @@ one (insertion) or at most two (replacement), so near words of lengths
 in k-d trees of the vectors, one tree for every length.
 
 The search is spread over the cluster in two levels. A forest of k-d trees is
-built on a bounded sample of the words (``SAMPLE``); it only says how the space
+built on a bounded sample of the words (``SAMPLE`` to ``MOST_SAMPLE``); it only says how the space
 is cut into cells, every word is put into the cell that holds its vector. A word
 is sent as a point to its own cell and as a query to all cells whose boxes lie
 within the radius. A cell of more than ``2 * CELL`` words is dealt into blocks by
@@ -51,8 +51,9 @@ COUNT_BYTES = 4 << 20
 LONG_RUN = 128
 #: Expected words of the sample that shapes the cells, and words in a cell.
 SAMPLE, CELL = 50_000, 2048
-#: Least sample words in a cell, so that the forest is bounded by the sample.
-LEAST_SAMPLE = 8
+#: Least sample words in a cell, so that the forest is bounded by the sample;
+#: where the words need more cells the sample grows, up to this many words.
+LEAST_SAMPLE, MOST_SAMPLE = 8, 500_000
 #: Longer words share one tree.
 LONG_WORD = 128
 #: Points in a leaf of a block's tree; queries searched at once.
@@ -432,6 +433,7 @@ def near_pairs(words: DataFrame, sample: int = SAMPLE, cell: int = CELL) -> Data
     ``words`` is read several times: give a written table."""
     sc = words.sparkSession.sparkContext
     total = words.count()
+    sample = max(sample, min(MOST_SAMPLE, LEAST_SAMPLE * total // cell))
     share = min(1.0, sample / max(1, total))
     draw = F.pmod(F.xxhash64("word", F.lit(1111)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     # The sample shapes the cells and nothing else; whichever rows the limit leaves out.

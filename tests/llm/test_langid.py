@@ -153,3 +153,74 @@ def test_averages_go_through_the_head(model):
     other = g.Model(model.labels, table.astype(np.float64), model.bias, 1.0, 0.0, head)
     texts = pa.array(["Der Hund und die Katze", "", "the thing of it"])
     assert np.allclose(other.logits(texts), model.logits(texts), atol=1e-4)
+
+
+def plain_training(examples, buckets, seed=7):
+    """The same descent, number by number: embeddings, output weights, bias,
+    each step scaled by the root of the squared gradients met so far."""
+    import math
+
+    labels = sorted({e[0] for e in examples})
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(len(examples)).tolist()
+    held = order[: len(order) // 5] if len(order) >= 50 else []
+    fit = [k for k in range(len(examples)) if k not in held]
+    emb = rng.normal(0, 0.1, (buckets, g.DIM)).tolist()
+    out = [[0.0] * len(labels) for _ in range(g.DIM)]
+    bias = [0.0] * len(labels)
+    s_emb, s_out, s_bias = [1e-12] * buckets, [[1e-12] * len(labels) for _ in range(g.DIM)], [1e-12] * len(labels)
+
+    def logits(b, c):
+        mean = [sum(x * emb[i][d] for i, x in zip(b, c)) for d in range(g.DIM)]
+        return mean, [sum(mean[d] * out[d][y] for d in range(g.DIM)) + bias[y] for y in range(len(labels))]
+
+    def shares(z):
+        e = [math.exp(x - max(z)) for x in z]
+        return [x / sum(e) for x in e]
+
+    step, steps = 0, g.EPOCHS * len(fit)
+    for _ in range(g.EPOCHS):
+        for k in rng.permutation(fit).tolist():
+            label, b, c = examples[k][0], examples[k][1].tolist(), examples[k][2].tolist()
+            rate = g.RATE * (1 - step / steps)
+            step += 1
+            mean, z = logits(b, c)
+            p = [x - (labels[y] == label) for y, x in enumerate(shares(z))]
+            back = [sum(out[d][y] * p[y] for y in range(len(labels))) for d in range(g.DIM)]
+            for d in range(g.DIM):
+                for y in range(len(labels)):
+                    s_out[d][y] += (mean[d] * p[y]) ** 2
+                    out[d][y] -= rate * mean[d] * p[y] / math.sqrt(s_out[d][y])
+            for y in range(len(labels)):
+                s_bias[y] += p[y] ** 2
+                bias[y] -= rate * p[y] / math.sqrt(s_bias[y])
+            for i, x in zip(b, c):
+                s_emb[i] += x * x * sum(v * v for v in back)
+                for d in range(g.DIM):
+                    emb[i][d] -= rate * x * back[d] / math.sqrt(s_emb[i])
+    return labels, held or fit, logits, shares, emb, out, bias
+
+
+def test_training_number_by_number(monkeypatch):
+    buckets = 64
+    monkeypatch.setattr(g, "BUCKETS", buckets)
+    rng = np.random.default_rng(11)
+    examples = []
+    for k in range(90):
+        y = k % 3
+        b = np.unique(np.concatenate([rng.integers(y * 20, y * 20 + 24, 8), rng.integers(0, buckets, 4)]))
+        c = rng.integers(1, 5, len(b)).astype(np.float64)
+        examples.append((f"l{(y + (k % 11 == 0)) % 3}", b, c / c.sum()))
+    m = g.train(examples)
+    labels, held, logits, shares, emb, out, bias = plain_training(examples, buckets)
+    assert m.labels == labels
+    assert np.allclose(m.table, np.asarray(emb) @ np.asarray(out), atol=1e-5) and np.allclose(m.bias, bias, atol=1e-8)
+    # The temperature is that of the least loss on what was held back, the
+    # threshold what rejects its share of those named rightly.
+    z = [logits(examples[k][1].tolist(), examples[k][2].tolist())[1] for k in sorted(held)]
+    y = [labels.index(examples[k][0]) for k in sorted(held)]
+    loss = lambda t: -sum(np.log(shares([v / t for v in row])[i]) for row, i in zip(z, y)) / len(y)
+    heats = np.exp(np.linspace(-2, 3, 101))
+    assert m.temperature == pytest.approx(min(heats, key=loss))
+    right = [max(p) for p, i in ((shares([v / m.temperature for v in row]), i) for row, i in zip(z, y)) if max(p) == p[i]]
+    assert m.threshold == pytest.approx(min(g.MOST_REJECT, np.quantile(right, g.REJECT_SHARE)), abs=1e-6)

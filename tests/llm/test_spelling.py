@@ -91,9 +91,10 @@ def made_up(seed=3, n=900, alphabet="abé", sizes=(1, 9)):
     return {x: int(5 * 3 ** rng.randint(0, 6)) for x in words}
 
 
-@pytest.mark.parametrize("sample,cell", [(5, 3), (100, 10), (100_000, 10_000)])
-def test_dense_words(spark, sample, cell):
+@pytest.mark.parametrize("sample,most,cell", [(5, 5, 3), (5, 10**6, 3), (100, 100, 10), (100_000, 100_000, 10_000)])
+def test_dense_words(spark, monkeypatch, sample, most, cell):
     """Cells that hold far more words than they should are dealt into blocks."""
+    monkeypatch.setattr(spelling, "MOST_SAMPLE", most)
     n = made_up()
     df = spark.createDataFrame(list(n.items()), "word string, n long")
     assert got(spelling.variants(df, sample=sample, cell=cell)) == brute(n)
