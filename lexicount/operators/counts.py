@@ -156,17 +156,19 @@ def _threshold(counts: DataFrame, n: int) -> tuple[int, int] | None:
     return cut, above
 
 
-def top_by_count(counts: DataFrame, n: int) -> DataFrame:
+def top_by_count(counts: DataFrame, n: int, stored: bool = False) -> DataFrame:
     """``(rank, word, count)`` of the ``n`` first words in the order of
     ``rank_by_count``, for an ``n`` of any size (O2).
 
     Histograms of the counts' digits (at most 2**16 rows each) give the count
     of the last word taken. All words above it are in; those that have just
     that count are ranked by word, and as many as are missing are taken. No
-    task merges ``n`` rows.
+    task merges ``n`` rows. ``counts`` is read several times, so it is written
+    first, unless it is a ``stored`` table already.
     """
     n = natural(n, "n")
-    counts = written(counts.select("word", "count"), "counts")
+    if not stored:
+        counts = written(counts.select("word", "count"), "counts")
     if n == 0:
         return exact_ranks(counts.limit(0))
     found = _threshold(counts, n)

@@ -198,7 +198,7 @@ def q_ranked_words(spark: SparkSession, d: str) -> DataFrame:
 def q_top_half_words(spark: SparkSession, d: str) -> DataFrame:
     # The larger half of the vocabulary; most of it are words that occur once.
     counts = written(q_word_count(spark, d), "counts")
-    return top_by_count(counts, counts.count() // 2)
+    return top_by_count(counts, counts.count() // 2, stored=True)
 
 
 def q_word_lookup_stored(spark: SparkSession, d: str) -> DataFrame:

@@ -181,7 +181,7 @@ def test_exact_ranks(spark):
 def test_top_of_any_size(spark, n):
     """Within a tie the smaller words are taken; all rows if there are fewer."""
     rows, df = made_up(spark)
-    assert sorted(tuple(r) for r in top_by_count(df, n).collect()) == ranked(rows)[:n]
+    assert sorted(tuple(r) for r in top_by_count(df, n, stored=n % 2 == 1).collect()) == ranked(rows)[:n]
 
 
 def test_top_of_equal_counts(spark):
